@@ -9,25 +9,17 @@ from pyspark.sql import types as T
 from tablebridge.functions.naming import ref
 
 
-def _plain_decimal(number: Column) -> Column:
+def _plain_decimal(text: Column) -> Column:
     """Fixed-point text of a double, trailing zeros dropped, one digit kept."""
-    digits = F.regexp_replace(
-        number.cast("string").cast(T.DecimalType(38, 18)).cast("string"), "0+$", ""
-    )
-    return F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-
-
-def _scientific(number: Column) -> Column:
-    """``1.5E-7`` as ``1.5e-07``: signed exponent of two digits, no ``.0``."""
-    text = number.cast("string")
-    mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
-    exponent = F.split_part(text, F.lit("E"), F.lit(2)).cast("int")
-    digits = F.abs(exponent).cast("string")
-    return F.concat(
-        mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits),
-    )
+    digits = text.cast(T.DecimalType(38, 18)).cast("string")
+    return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+
+
+def _scientific(text: Column) -> Column:
+    """``1.0E-7`` as ``1e-07``: signed exponent of two digits, no ``.0``."""
+    lower = F.regexp_replace(text, r"(\.0)?E", "e")
+    signed = F.regexp_replace(lower, r"e(\d)", "e+$1")
+    return F.regexp_replace(signed, r"(?<=e[+-])(\d)$", "0$1")
 
 
 def float_text(number: Column) -> Column:
@@ -36,15 +28,13 @@ def float_text(number: Column) -> Column:
     Plain from 1e-4 up to 1e16, scientific outside. Spark's own cast turns
     scientific at 1e-3 and 1e7 already.
     """
-    size = F.abs(number)
-    text = number.cast("string")
+    size, text = F.abs(number), number.cast("string")
     return (
-        F.when(F.isnan(number), F.lit("nan"))
-        .when(number == float("inf"), F.lit("inf"))
-        .when(number == float("-inf"), F.lit("-inf"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-        .when((size >= 1e-4) & (size < 1e16), _plain_decimal(number))
-        .otherwise(_scientific(number))
+        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
+        .when((size >= 1e-4) & (size < 1e16), _plain_decimal(text))
+        .when(F.isnan(number), F.lit("nan"))
+        .when(size == float("inf"), F.regexp_replace(text, "Infinity", "inf"))
+        .otherwise(_scientific(text))
     )
 
 
