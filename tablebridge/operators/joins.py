@@ -9,9 +9,8 @@ operator, target column)`` and a chain is a list of AND groups, ORed.
   group, each leaving out the pairs of the groups before it, so every pair comes
   out once.
 * A group without equality joins on ranges of one ordered column, so that no
-  side is compared with all of the other.
-
-A side small enough to broadcast skips all of this.
+  side is compared with all of the other. A nested loop is used only against a
+  side that a size probe found small.
 """
 
 from __future__ import annotations
@@ -47,19 +46,25 @@ def join_frames(
     names = base.columns + target.columns
     if how == "right":
         mirrored = [[(t, _MIRROR[op], b) for b, op, t in group] for group in groups]
-        return _outer(target, base, mirrored).select([ref(name) for name in names])
-    if fits_broadcast(target):
-        return base.join(F.broadcast(target), _any(groups), how)
-    if how == "left":
-        return _outer(base, target, groups, probed=True).select([ref(name) for name in names])
-    return _pairs(base, target, groups).select([ref(name) for name in names])
+        joined = _outer(target, base, mirrored)
+    elif how == "left":
+        joined = _outer(base, target, groups)
+    elif _loops(target, groups):
+        joined = base.join(F.broadcast(target), _any(groups), "inner")
+    else:
+        joined = _pairs(base, target, groups)
+    return joined.select([ref(name) for name in names])
 
 
-def _outer(
-    kept: DataFrame, other: DataFrame, groups: Sequence[Group], probed: bool = False
-) -> DataFrame:
+def _loops(side: DataFrame, groups: Sequence[Group]) -> bool:
+    """Whether a nested loop over ``side`` is due: some group has no equality,
+    and the side is small."""
+    return not all(_has_equality(group) for group in groups) and fits_broadcast(side)
+
+
+def _outer(kept: DataFrame, other: DataFrame, groups: Sequence[Group]) -> DataFrame:
     """All matching pairs, plus the rows of ``kept`` without one."""
-    if not probed and fits_broadcast(other):
+    if _loops(other, groups):
         return kept.join(F.broadcast(other), _any(groups), "left")
     pairs = _pairs(kept, other, groups)
     lonely = reduce(lambda rows, group: _without_match(rows, other, group), groups, kept)

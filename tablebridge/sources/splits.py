@@ -24,11 +24,11 @@ def split_number(column: str, low: int, high: int, splits: int) -> Column:
     place = ref(column).cast("bigint")
     if width * splits >= 2**62 or abs(low) >= 2**62:
         place = place.cast(T.DecimalType(20, 0))
-        scaled = (place - F.lit(Decimal(low))) * splits
-        return F.least(F.lit(splits - 1), F.floor(scaled / F.lit(Decimal(width)))).cast("bigint")
-    return F.least(
-        F.lit(splits - 1), F.call_function("div", (place - low) * splits, F.lit(width))
-    ).cast("bigint")
+        scaled = F.floor((place - F.lit(Decimal(low))) * splits / F.lit(Decimal(width)))
+    else:
+        scaled = F.call_function("div", (place - low) * splits, F.lit(width))
+    # least() would pass over a null.
+    return F.when(place.isNotNull(), F.least(F.lit(splits - 1), scaled).cast("bigint"))
 
 
 def with_splits(df: DataFrame, column: str, splits: int, name: str = "split") -> DataFrame:

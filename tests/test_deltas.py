@@ -1,0 +1,142 @@
+"""Change capture, as batch and as stream."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tablebridge.operators.deltas import delta_page, latest_changes
+from tablebridge.operators.paging import next_page, number_rows, page, page_text, read_page
+from tablebridge.streaming.deltas import stored_deltas, stream_deltas
+
+SCHEMA = "k int, j string, Date_operation string, note string"
+LOG = [
+    (1, "a", "2024-01-01 00:00:00", "too old"),
+    (1, "a", "2024-01-02 00:00:00", "at the bound"),
+    (1, "a", "2024-01-03 00:00:00", "old"),
+    (1, "a", "2024-01-04 00:00:00", "tie 1"),
+    (1, "a", "2024-01-04 00:00:00", "tie 2"),
+    (2, "a", "2024-01-02 00:00:00", "only at the bound"),
+    (2, "b", "2024-01-03 12:00:00", "new"),
+    (None, "a", "2024-01-05 00:00:00", "null key"),
+    (None, "a", "2024-01-06 00:00:00", "null key, newer"),
+    (3, None, None, "no time"),
+]
+SINCE = "2024-01-02"
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    rows = spark.createDataFrame(LOG, SCHEMA)
+    return rows.withColumn("Date_operation", rows.Date_operation.cast("timestamp_ntz"))
+
+
+def notes(df):
+    return sorted(row.note for row in df.collect())
+
+
+def test_one_per_key(log):
+    found = notes(latest_changes(log, "k", SINCE))
+    assert found in (["new", "null key, newer", "tie 1"], ["new", "null key, newer", "tie 2"])
+    assert notes(latest_changes(log, "k", SINCE)) == found
+
+
+def test_tie_break(log):
+    kept = latest_changes(log, ["k"], SINCE, tie_break=["note"])
+    assert notes(kept) == ["new", "null key, newer", "tie 2"]
+    assert kept.columns == log.columns
+
+
+def test_all_ties_without_null_keys(log):
+    kept = latest_changes(log, "k", SINCE, ties="all")
+    assert notes(kept) == ["new", "tie 1", "tie 2"]
+    assert kept.columns == log.columns
+
+
+def test_composite_key(log):
+    assert notes(latest_changes(log, "k, j", SINCE, ties="all")) == ["new", "tie 1", "tie 2"]
+    assert len(notes(latest_changes(log, ["k", "j"], None))) == 4
+
+
+def test_pages_cover_the_deltas(log):
+    pages = [delta_page(log, "k", SINCE, start, 2, tie_break=["note"]).collect() for start in (0, 2, 4)]
+    assert [row.note for rows in pages for row in rows] == ["null key, newer", "tie 2", "new"]
+
+
+def test_newest_is_kept_before_the_shuffle(log):
+    plan = latest_changes(log, "k", SINCE)._jdf.queryExecution().executedPlan().toString()
+    limit, exchange = plan.rindex("WindowGroupLimit"), plan.index("Exchange hashpartitioning")
+    assert limit > exchange
+
+
+def test_unknown_ties(log):
+    with pytest.raises(ValueError):
+        latest_changes(log, "k", SINCE, ties="some")
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    """Changes spread over files, the newest not always in the last."""
+    made = random.Random(5)
+    rows = [(1 if i % 3 == 0 else made.randint(2, 30), i, f"n{i}") for i in range(400)]
+    made.shuffle(rows)
+    schema = "k int, ts int, note string"
+    for i in range(4):
+        part = spark.createDataFrame(rows[i * 100 : (i + 1) * 100], schema).coalesce(1)
+        part.write.mode("append").parquet(f"{tmp_path}/log")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+
+    def run():
+        query = stream_deltas(
+            stream, "k", 50, f"{tmp_path}/out", f"{tmp_path}/offsets", ts="ts"
+        )
+        query.awaitTermination()
+        return stored_deltas(spark, f"{tmp_path}/out", "k", stream.schema)
+
+    batch = latest_changes(spark.read.schema(schema).parquet(f"{tmp_path}/log"), "k", 50, ts="ts")
+    assert sorted(map(tuple, run().collect())) == sorted(map(tuple, batch.collect()))
+
+    # Later files continue from the stored state.
+    late = spark.createDataFrame([(1, 1000, "late"), (2, 60, "late and old")], schema).coalesce(1)
+    late.write.mode("append").parquet(f"{tmp_path}/log")
+    found = {row.k: row.note for row in run().collect()}
+    assert found[1] == "late" and found[2] != "late and old"
+
+
+def shuffled(spark, count=500):
+    rows = [(i // 100, i, f"t{i}") for i in range(count)]
+    random.Random(9).shuffle(rows)
+    return spark.createDataFrame(rows, "a int, b int, c string")
+
+
+def test_page_shallow_and_deep_agree(spark):
+    table = shuffled(spark)
+    for offset, limit in [(0, 7), (95, 10), (490, 50), (600, 5), (3, 0)]:
+        expected = [(i // 100, i, f"t{i}") for i in range(500)][offset : offset + limit]
+        top = page(table, "a,b", offset, limit).collect()
+        deep = page(table, ["a", "b"], offset, limit, top_k_rows=-1).collect()
+        assert [tuple(row) for row in top] == expected
+        assert [tuple(row) for row in deep] == expected
+
+
+def test_numbered_copy_serves_many_pages(spark, tmp_path):
+    copy = number_rows(shuffled(spark).repartition(5), ["b"], f"{tmp_path}/copy")
+    seen = [row.b for start in range(0, 500, 120) for row in read_page(spark, copy, start, 120).collect()]
+    assert seen == list(range(500))
+
+
+def test_next_page_walks_the_table(spark):
+    table, after, seen = shuffled(spark, 90), None, []
+    while rows := next_page(table, ["a", "b"], after, 25).collect():
+        seen += [row.b for row in rows]
+        after = [rows[-1].a, rows[-1].b]
+    assert seen == list(range(90))
+
+
+def test_page_text_and_bad_bounds(spark):
+    table = spark.createDataFrame([(1, True, 2.0)], "i int, b boolean, d double")
+    assert page_text(table, "i").collect()[0].asDict() == {"i": "1", "b": "True", "d": "2.0"}
+    with pytest.raises(ValueError):
+        page(table, "i", -1, 5)
+    with pytest.raises(ValueError):
+        page(table, "")
