@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablebridge.functions.literals import FALSE_WORDS, TRUE_WORDS
 from tablebridge.functions.naming import ref
 from tablebridge.functions.text import value_text
 from tablebridge.functions.types import spark_type
@@ -18,12 +19,12 @@ from tablebridge.functions.types import spark_type
 BOOLEAN_WORDS = ("true", "false", "1", "0", "yes", "no", "y", "n")
 INTEGER = r"^-?\p{Nd}+$"
 DECIMAL = r"^-?\p{Nd}+\.\p{Nd}+$"
-DATE_FORMS = {
-    r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}$": "yyyy-MM-dd",
-    r"^\p{Nd}{2}/\p{Nd}{2}/\p{Nd}{4}$": "MM/dd/yyyy",
-    r"^\p{Nd}{1,2}/\p{Nd}{1,2}/\p{Nd}{4}$": "M/d/yyyy",
-    r"^\p{Nd}{4}/\p{Nd}{2}/\p{Nd}{2}$": "yyyy/MM/dd",
-}
+DATE_FORMS = (
+    r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}$",
+    r"^\p{Nd}{2}/\p{Nd}{2}/\p{Nd}{4}$",
+    r"^\p{Nd}{1,2}/\p{Nd}{1,2}/\p{Nd}{4}$",
+    r"^\p{Nd}{4}/\p{Nd}{2}/\p{Nd}{2}$",
+)
 TIMESTAMP_FORMS = (
     r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2} \p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}",
     r"^\p{Nd}{4}-\p{Nd}{2}-\p{Nd}{2}T\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2}",
@@ -36,16 +37,14 @@ _BOOLEAN, _INTEGER, _INT32, _NUMBER = 1, 2, 4, 8
 _DATES = tuple(1 << (4 + i) for i in range(len(DATE_FORMS)))
 _STAMPS = tuple(1 << (8 + i) for i in range(len(TIMESTAMP_FORMS)))
 
-# The characters that count as blank around a value.
-BLANKS = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
+# Fixed value: the characters that count as blank around a value.
+BLANK = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_CORE = rf"(?s)^[{BLANK}]*(.*[^{BLANK}])[{BLANK}]*$"
 
 
 def stripped(text: Column) -> Column:
     """Text without surrounding blanks; null when nothing is left."""
-    return F.nullif(F.btrim(text, F.lit(BLANKS)), F.lit(""))
+    return F.nullif(F.regexp_extract(text, _CORE, 1), F.lit(""))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -85,23 +84,33 @@ def _text(column: Column, dtype: T.DataType) -> Column:
 def _answers(value: Column) -> Column:
     """The questions a value passes; null for a null.
 
-    Only values that start like a number reach the patterns.
+    The forms exclude each other, so cheap looks at the value decide which
+    patterns it has to meet.
     """
 
-    def bit(test: Column, flag: int) -> Column:
-        return F.when(test, F.lit(flag)).otherwise(F.lit(0))
-
-    integer = value.rlike(INTEGER)
-    numeric = bit(integer, _INTEGER | _NUMBER)
-    numeric = numeric + bit(integer & value.try_cast("bigint").between(*INT32), _INT32)
-    numeric = numeric + bit(value.rlike(DECIMAL), _NUMBER)
-    for form, flag in zip(DATE_FORMS, _DATES):
-        numeric = numeric + bit(F.length(value).between(8, 10) & value.rlike(form), flag)
-    for form, flag in zip(TIMESTAMP_FORMS, _STAMPS):
-        numeric = numeric + bit((F.length(value) >= 19) & value.rlike(form), flag)
-    starts = value.rlike(r"^[-\p{Nd}]")
-    word = bit((F.length(value) <= 5) & F.lower(value).isin(*BOOLEAN_WORDS), _BOOLEAN)
-    return F.when(value.isNotNull(), word + F.when(starts, numeric).otherwise(F.lit(0)))
+    def bits(forms: Sequence[str], flags: Sequence[int]) -> Column:
+        hits = [F.when(value.rlike(form), F.lit(flag)).otherwise(F.lit(0)) for form, flag in zip(forms, flags)]
+        return reduce(lambda a, b: a + b, hits)
+
+    length = F.length(value)
+    stamp = F.substring(value, 14, 1) == ":"
+    date = length.between(8, 10) & (value.contains("/") | (F.substring(value, 5, 1) == "-"))
+    fits = (length <= 9) | value.try_cast("bigint").between(*INT32)
+    shape = (
+        F.when(stamp, bits(TIMESTAMP_FORMS, _STAMPS))
+        .when(date, bits(DATE_FORMS, _DATES))
+        .when(~value.rlike(r"^[-\p{Nd}]"), F.lit(0))
+        .when(
+            value.rlike(INTEGER),
+            F.when(fits, F.lit(_INTEGER | _NUMBER | _INT32)).otherwise(F.lit(_INTEGER | _NUMBER)),
+        )
+        .when(value.rlike(DECIMAL), F.lit(_NUMBER))
+        .otherwise(F.lit(0))
+    )
+    word = (length <= 5) & F.lower(value).isin(*BOOLEAN_WORDS)
+    return F.when(
+        value.isNotNull(), shape + F.when(word, F.lit(_BOOLEAN)).otherwise(F.lit(0))
+    )
 
 
 def _verdict(bits: Column, length: Column) -> Column:
@@ -122,6 +131,13 @@ def _verdict(bits: Column, length: Column) -> Column:
     return chosen.otherwise(F.lit("TEXT"))
 
 
+# What the text of a number, or of a number out of the ordinary, looks like. A
+# cast that fails costs far more than a pattern, so only such text is cast.
+_WHOLE = r"^[-+]?\d+$"
+_REAL = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
+_REAL_WORDS = ("nan", "inf", "-inf", "+inf", "infinity", "-infinity", "+infinity")
+
+
 def typed_value(text: Column, type_name: str) -> Column:
     """Text as a value of a target type; null where it is not one."""
     dtype = spark_type(type_name)
@@ -134,12 +150,27 @@ def typed_value(text: Column, type_name: str) -> Column:
         inner = F.nullif(F.regexp_replace(value, r"^\{|\}$", ""), F.lit(""))
         return F.when(value.isNotNull(), F.coalesce(F.split(inner, ","), F.array().cast(dtype)))
     if isinstance(dtype, T.DateType):
-        forms = [
-            F.when(value.rlike(form), F.try_to_date(value, pattern))
-            for form, pattern in DATE_FORMS.items()
-        ]
-        return F.coalesce(*forms)
-    return value.try_cast(dtype)
+        # One of the accepted forms, turned into the form a cast reads.
+        ordered = F.regexp_replace(value, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2")
+        iso = F.translate(ordered, "/", "-")
+        return F.when(value.rlike("|".join(DATE_FORMS)), iso.try_cast("date"))
+    if isinstance(dtype, T.BooleanType):
+        word = F.lower(value)
+        return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(
+            word.isin(*FALSE_WORDS), F.lit(False)
+        )
+    if isinstance(dtype, T.IntegralType):
+        wide = F.when(value.rlike(_WHOLE), value.try_cast("bigint"))
+        if isinstance(dtype, T.LongType):
+            return wide
+        limit = 2**15 if isinstance(dtype, T.ShortType) else 2**31
+        return F.when(wide.between(-limit, limit - 1), wide.cast(dtype))
+    if isinstance(dtype, T.DecimalType):
+        return F.when(value.rlike(_REAL), value.try_cast(dtype))
+    if isinstance(dtype, T.FractionalType):
+        known = value.rlike(_REAL) | F.lower(value).isin(*_REAL_WORDS)
+        return F.when(known, value.try_cast(dtype))
+    return F.when(value.rlike(r"^\d{4}-\d{1,2}"), value.try_cast(dtype))
 
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
