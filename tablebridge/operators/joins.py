@@ -4,7 +4,9 @@ Frames carry distinct column names, so a condition is a triple ``(base column,
 operator, target column)`` and a chain is a list of AND groups, ORed.
 
 * One group with an equality is a plain Spark join: Catalyst picks the strategy
-  and AQE splits skewed partitions.
+  and AQE splits skewed partitions. AQE cannot split the optional side of an
+  outer join, so when a sample finds a hot key there, the join runs as an inner
+  join plus the rows without a match.
 * Several groups would be one nested-loop join. They become one equi-join per
   group, each leaving out the pairs of the groups before it, so every pair comes
   out once.
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 
 from tablebridge.functions.naming import ref
 from tablebridge.operators.comparisons import ordered
-from tablebridge.operators.sizing import fits_broadcast
+from tablebridge.operators.sizing import fits_broadcast, has_hot_key
 
 Condition = tuple[str, str, str]
 Group = Sequence[Condition]
@@ -41,7 +43,10 @@ def join_frames(
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join: {how!r}")
     if len(groups) == 1 and _has_equality(groups[0]):
-        return base.join(target, _any(groups), how)
+        optional, side = (target, 2) if how == "left" else (base, 0)
+        keys = [condition[side] for condition in groups[0] if condition[1] == "="]
+        if how == "inner" or fits_broadcast(optional) or not has_hot_key(optional, keys):
+            return base.join(target, _any(groups), how)
 
     names = base.columns + target.columns
     if how == "right":
@@ -139,12 +144,12 @@ def _range_pairs(left: DataFrame, right: DataFrame, group: Group) -> DataFrame:
 
 def _without_match(rows: DataFrame, other: DataFrame, group: Group) -> DataFrame:
     """Rows of ``rows`` that the group matches with no row of ``other``."""
+    wanted = other.select([ref(name) for name in sorted({o for _, _, o in group})]).distinct()
     if _has_equality(group):
-        return rows.join(other, _all(group), "left_anti")
+        return rows.join(wanted, _all(group), "left_anti")
     # Only the compared columns decide whether a row has a match.
     compared = sorted({name for name, _, _ in group})
     asked = rows.select([ref(name) for name in compared]).distinct()
-    wanted = other.select([ref(name) for name in sorted({o for _, _, o in group})]).distinct()
     matched = _group_pairs(asked, wanted, group).select(
         [ref(name).alias(f"__m{i}") for i, name in enumerate(compared)]
     ).distinct()

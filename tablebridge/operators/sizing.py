@@ -1,10 +1,18 @@
-"""Capped size probes that gate every explicit broadcast."""
+"""Capped probes of size and skew that choose how a join runs.
+
+They never change a result.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.functions.naming import ref
+
 MAX_BROADCAST_ROWS = 10_000
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -19,3 +27,20 @@ def fits_broadcast(
     """
     sizes = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).take(max_rows + 1)
     return len(sizes) <= max_rows and sum(row["bytes"] or 0 for row in sizes) <= max_bytes
+
+
+HOT_SHARE = 0.005
+SAMPLE = 0.01
+SAMPLE_SEED = 11
+
+
+def has_hot_key(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> bool:
+    """Whether one key value holds more than ``share`` of the rows, by a sample.
+
+    Reads the key columns only; the sample is grouped where it is read.
+    """
+    known = reduce(lambda a, b: a & b, [ref(name).isNotNull() for name in keys])
+    sample = df.select([ref(name) for name in keys]).where(known).sample(SAMPLE, SAMPLE_SEED)
+    counts = sample.groupBy(*[ref(name) for name in keys]).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
+    return found["rows"] is not None and found["largest"] > max(100, share * found["rows"])

@@ -82,6 +82,7 @@ CHAINS = {
 @pytest.mark.parametrize("chain", CHAINS)
 def test_chain(spark, monkeypatch, chain, how, small):
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(joins, "has_hot_key", lambda df, keys: True)
     left, right = rows(40, 1), rows(30, 2)
     schema = "`{0}.k` int, `{0}.v` double, `{0}.s` string"
     base = spark.createDataFrame(left, schema.format("b"))
@@ -106,3 +107,30 @@ def test_size_probe(spark):
     assert fits_broadcast(table, max_rows=100)
     assert not fits_broadcast(table, max_rows=99)
     assert not fits_broadcast(table, max_rows=100, max_bytes=50)
+
+
+def test_hot_key_probe(spark):
+    from pyspark.sql import functions as F
+
+    from tablebridge.operators.sizing import has_hot_key
+
+    even = spark.range(200_000).withColumnRenamed("id", "k")
+    hot = even.withColumn("k", F.when(F.col("k") % 3 == 0, 1).otherwise(F.col("k")))
+    assert has_hot_key(hot, ["k"]) and not has_hot_key(even, ["k"])
+    assert not has_hot_key(even.limit(0), ["k"])
+
+
+def test_outer_join_on_a_hot_key_is_split(spark, monkeypatch):
+    """A third of the optional side shares one key."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    base = spark.range(1000).select(F.col("id").alias("b.k"))
+    target = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("t.k"), F.col("id").alias("t.v")
+    )
+    joined = joins.join_frames(base, target, "left", [[("b.k", "=", "t.k")]])
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "LeftAnti" in plan and "LeftOuter" not in plan
+    plain = base.join(target, F.col("`b.k`") == F.col("`t.k`"), "left")
+    assert joined.count() == plain.count()
