@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablebridge.functions.naming import ref
 
@@ -25,8 +26,20 @@ def fits_broadcast(
     ``take`` reads partitions only until the row bound is passed, and brings
     back one number per row, so the probe costs the same on any table.
     """
-    sizes = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("bytes")).take(max_rows + 1)
-    return len(sizes) <= max_rows and sum(row["bytes"] or 0 for row in sizes) <= max_bytes
+    size = reduce(lambda a, b: a + b, [_bytes(f) for f in df.schema.fields], F.lit(8))
+    sizes = df.select(size.alias("bytes")).take(max_rows + 1)
+    return len(sizes) <= max_rows and sum(row["bytes"] for row in sizes) <= max_bytes
+
+
+def _bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.AtomicType) and not isinstance(
+        field.dataType, (T.StringType, T.BinaryType)
+    ):
+        return F.lit(16)
+    value = ref(field.name)
+    if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        value = F.to_json(F.struct(value))
+    return F.coalesce(F.octet_length(value), F.lit(0)) + 16
 
 
 HOT_SHARE = 0.005

@@ -824,14 +824,13 @@ def create_table_insert(spark, folder):
 
 def order_texts(origin) -> DataFrame:
     """Orders as text columns, one for each kind of type to find."""
-    orders = origin.table("orders")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    orders = origin.table("orders").withColumn("d", F.to_date("o_orderdate"))
     return stringify(orders).select(
         "o_orderkey",
         "o_orderstatus",
         "o_totalprice",
         "o_orderdate",
-        F.substring("o_orderdate", 1, 10).alias("d"),
+        "d",
         (F.col("o_orderkey").cast("bigint") * 1000000).cast("string").alias("big"),
         F.when(F.col("o_orderstatus") == "F", "Yes").otherwise("n").alias("flag"),
         F.lit(" ").alias("blank"),

@@ -59,7 +59,7 @@ def run_spec(
     if not base_table:
         raise SpecError("baseTable is required")
 
-    frame = _Frame(base_table, tables)
+    frame = _Frame(base_table, tables, _mentioned(spec))
     for join in spec.get("joins") or []:
         frame.add_join(join)
 
@@ -84,8 +84,9 @@ def run_spec(
 class _Frame:
     """The joined rows so far and the tables behind their columns."""
 
-    def __init__(self, base_table: str, tables: Tables):
+    def __init__(self, base_table: str, tables: Tables, mentioned: set[str] | None):
         self._tables = tables
+        self._mentioned = mentioned
         self.base_table = base_table
         self._fields: dict[str, dict[str, T.DataType]] = {}
         self.rows = self._load(base_table)
@@ -100,8 +101,12 @@ class _Frame:
         df = self._tables(table) if callable(self._tables) else self._tables.get(table)
         if df is None:
             raise SpecError(f"unknown table: {table!r}")
-        self._fields[table] = {f.name: f.dataType for f in df.schema.fields}
-        return df.select([ref(name).alias(_flat(table, name)) for name in df.columns])
+        fields = df.schema.fields
+        if self._mentioned is not None:
+            used = [f for f in fields if f.name.lower() in self._mentioned]
+            fields = used or fields[:1]
+        self._fields[table] = {f.name: f.dataType for f in fields}
+        return df.select([ref(f.name).alias(_flat(table, f.name)) for f in fields])
 
     def add_join(self, join: Mapping[str, Any]) -> None:
         """Join one more table to the base table; entries without target or
@@ -168,6 +173,24 @@ class _Frame:
         return found
 
 
+def _mentioned(spec: Mapping[str, Any]) -> set[str] | None:
+    """All field names in a spec, in lower case; None when it selects all.
+
+    Tables are cut down to these before they are joined, so that size probes and
+    joins see no column the result does not need.
+    """
+    if not spec.get("selectedFields"):
+        return None
+    entries = [
+        entry
+        for part in ("selectedFields", "whereConditions", "groupByFields", "having")
+        for entry in spec.get(part) or []
+    ]
+    entries += [c for join in spec.get("joins") or [] for c in join.get("conditions") or []]
+    names = ("field", "targetField", "sourceField")
+    return {str(entry[n]).lower() for entry in entries for n in names if entry.get(n)}
+
+
 def _flat(table: str, field: str) -> str:
     return f"{table}.{field}"
 
