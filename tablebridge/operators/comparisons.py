@@ -98,7 +98,8 @@ def like_pattern(kind: str, value: Any) -> str:
     backslash goes.
     """
     pattern = _LIKE_FORMS[kind].format(value)
-    return re.sub(r"\\([^%_\\])|(\\[%_\\])", lambda m: m.group(1) or m.group(2), pattern, flags=re.S)
+    escape = re.compile(r"\\([^%_\\])|(\\[%_\\])", re.S)
+    return escape.sub(lambda match: match.group(1) or match.group(2), pattern)
 
 
 def compare(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tablebridge.functions.hashing import row_hash
 from tablebridge.functions.literals import typed_literal
 from tablebridge.functions.naming import name_list, ref
-from tablebridge.operators.paging import page
+from tablebridge.operators.paging import number_rows, page
 
 # Fixed value: the column that dates a change in a log table.
 CHANGE_TIME = "Date_operation"
@@ -72,6 +72,21 @@ def latest_changes(
     raise ValueError(f"ties must be 'one' or 'all', got {ties!r}")
 
 
+def delta_snapshot(
+    log: DataFrame,
+    keys: str | Sequence[str],
+    since: str | dt.date | dt.datetime | None,
+    path: str | None = None,
+    **options,
+) -> str:
+    """Store the newest changes in key order; ``read_page`` serves the pages.
+
+    All pages come from one state of the log, and the changes are worked out
+    once instead of once per page.
+    """
+    return number_rows(latest_changes(log, keys, since, **options), keys, path)
+
+
 def delta_page(
     log: DataFrame,
     keys: str | Sequence[str],

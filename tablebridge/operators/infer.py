@@ -89,7 +89,10 @@ def _answers(value: Column) -> Column:
     """
 
     def bits(forms: Sequence[str], flags: Sequence[int]) -> Column:
-        hits = [F.when(value.rlike(form), F.lit(flag)).otherwise(F.lit(0)) for form, flag in zip(forms, flags)]
+        hits = [
+            F.when(value.rlike(form), F.lit(flag)).otherwise(F.lit(0))
+            for form, flag in zip(forms, flags)
+        ]
         return reduce(lambda a, b: a + b, hits)
 
     length = F.length(value)

@@ -42,11 +42,14 @@ def page(
         raise ValueError("offset and limit must not be negative")
     rows = filter_rows(df, filters, strict)
     if offset + limit <= top_k_rows:
-        return rows.orderBy(*[ref(name) for name in name_list(order_by)]).offset(offset).limit(limit)
+        order = [ref(name) for name in name_list(order_by)]
+        return rows.orderBy(*order).offset(offset).limit(limit)
     return read_page(df.sparkSession, number_rows(rows, order_by), offset, limit)
 
 
-def page_text(df: DataFrame, order_by: str | Sequence[str], *args: Any, **options: Any) -> DataFrame:
+def page_text(
+    df: DataFrame, order_by: str | Sequence[str], *args: Any, **options: Any
+) -> DataFrame:
     """A page whose values are all text."""
     return stringify(page(df, order_by, *args, **options))
 

@@ -201,6 +201,10 @@ SELECT * FROM log a WHERE a.op_date > DATE '2024-01-15' AND a.op_date = (
     "delta_page": """
 SELECT * FROM (SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+ORDER BY user_id LIMIT 20 OFFSET 40""",
+    "delta_snapshot_page": """
+SELECT * FROM (SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
 ORDER BY user_id LIMIT 20 OFFSET 40""",
     "delta_stream": """
 SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'

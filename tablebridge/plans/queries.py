@@ -13,12 +13,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tablebridge.functions import types as names
 from tablebridge.functions.text import stringify
 from tablebridge.operators.checks import column_stats, key_violations
-from tablebridge.operators.deltas import delta_page, latest_changes
+from tablebridge.operators.deltas import delta_page, delta_snapshot, latest_changes
 from tablebridge.operators.filters import filter_rows
 from tablebridge.operators.infer import apply_types, infer_types, rejected_values
 from tablebridge.operators.paging import next_page, number_rows, read_page
@@ -30,7 +29,7 @@ from tablebridge.operators.schemas import (
 )
 from tablebridge.plans.spec import run_spec
 from tablebridge.session import scratch_path
-from tablebridge.sinks.layout import Layout, plan_layout, unique_violations, write_layout
+from tablebridge.sinks.layout import plan_layout, unique_violations, write_layout
 from tablebridge.sinks.partitions import (
     in_dates,
     read_partitioned,
@@ -165,7 +164,8 @@ def document_lists(origin) -> dict[str, DataFrame]:
 
 def pick(values: tuple[str, ...], number) -> Any:
     """The entry of a fixed list that a number points at."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values) + 1).cast("int"))
+    place = (number % len(values) + 1).cast("int")
+    return F.element_at(F.array(*[F.lit(value) for value in values]), place)
 
 
 # ---- sources and paging ---------------------------------------------------
@@ -257,7 +257,9 @@ filtered("f_lt", "orders", ["o_orderkey"], condition("o_totalprice", "<", 50000)
 filtered("f_ge", "part", ["p_partkey"], condition("p_size", "GREATER_THAN_OR_EQUAL", "40"))
 filtered("f_le", "part", ["p_partkey"], condition("p_size", "<=", 5))
 filtered("f_between", "part", ["p_partkey", "p_size"], condition("p_size", "BETWEEN", "10", "20"))
-filtered("f_not_between", "part", ["p_partkey", "p_size"], condition("p_size", "NOT BETWEEN", 10, 20))
+filtered(
+    "f_not_between", "part", ["p_partkey", "p_size"], condition("p_size", "NOT BETWEEN", 10, 20)
+)
 filtered(
     "f_in",
     "customer",
@@ -712,6 +714,14 @@ def delta_page_rows(spark, folder):
     return delta_page(events, "user_id", "2024-01-15", 40, 20, ts="ts")
 
 
+@query
+def delta_snapshot_page(spark, folder):
+    """A page of changes from a stored snapshot."""
+    events = source(spark, folder).table("events")
+    snapshot = delta_snapshot(events, "user_id", "2024-01-15", ts="ts")
+    return read_page(spark, snapshot, 40, 20)
+
+
 @query
 def delta_stream(spark, folder):
     origin = source(spark, folder)
@@ -815,7 +825,8 @@ def create_table_insert(spark, folder):
     path = scratch_path(spark, "target")
     table = create_table(spark, path.rsplit("/", 1)[1].replace("-", "_"), columns, path)
     customer = source(spark, folder).table("customer")
-    insert_rows(customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), table)
+    named = customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    insert_rows(named, table)
     return spark.table(table)
 
 
@@ -872,7 +883,10 @@ def stringify_events(spark, folder):
 def dedupe_customer_columns(spark, folder):
     customer = source(spark, folder).table("customer")
     doubled = customer.select(
-        "c_custkey", "c_name", F.col("c_nationkey").alias("C_NAME"), F.col("c_name").alias("C_Custkey")
+        "c_custkey",
+        "c_name",
+        F.col("c_nationkey").alias("C_NAME"),
+        F.col("c_name").alias("C_Custkey"),
     )
     return dedupe_columns(doubled)
 
@@ -883,7 +897,8 @@ def list_tables(spark, folder):
     origin = source(spark, folder)
     found = [row["table_name"] for row in origin.table_names().collect()]
     counts = [
-        origin.count_rows(name).select(F.lit(name).alias("table_name"), "n") for name in sorted(found)
+        origin.count_rows(name).select(F.lit(name).alias("table_name"), "n")
+        for name in sorted(found)
     ]
     return reduce(lambda a, b: a.unionByName(b), counts)
 

@@ -4,29 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "tablebridge", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library is tuned for.
+# What the library is tuned for. Only the UTC time zone touches results: it keeps
+# the text of zoned timestamps the same on every machine.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
 
-    Nothing here is needed for right results except the UTC time zone, which
-    keeps the text of zoned timestamps the same on every machine.
-    """
+
+def build_session(
+    app: str = "tablebridge", master: str | None = None, conf: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with ``SETTINGS``, and with ``conf`` on top."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-    }
-    settings.update({key.replace("__", "."): value for key, value in conf.items()})
-    for key, value in settings.items():
+    for key, value in {**SETTINGS, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

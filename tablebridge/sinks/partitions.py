@@ -89,7 +89,9 @@ def with_list_label(
     return df.withColumn(name, list_label(ref(column), dtype, values))
 
 
-def write_partitioned(df: DataFrame, path: str, label: str = LABEL, mode: str = "overwrite") -> None:
+def write_partitioned(
+    df: DataFrame, path: str, label: str = LABEL, mode: str = "overwrite"
+) -> None:
     """Write one folder per label.
 
     Rebalancing by label gives few files per folder, and AQE cuts a label with

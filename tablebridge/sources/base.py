@@ -37,13 +37,29 @@ class Source:
         """The whole table, in parallel where the source allows it."""
         return self.table(name)
 
-    def page(self, name: str, order_by: str | Sequence[str], *args: Any, **options: Any):
-        """A page of typed rows: offset, limit, filters."""
-        return page(self.table(name), order_by, *args, **options)
-
-    def page_text(self, name: str, order_by: str | Sequence[str], *args: Any, **options: Any):
+    def page(
+        self,
+        name: str,
+        order_by: str | Sequence[str],
+        offset: int = 0,
+        limit: int = 100,
+        filters: Any = None,
+        strict: bool = False,
+    ) -> DataFrame:
+        """A page of typed rows."""
+        return page(self.table(name), order_by, offset, limit, filters, strict)
+
+    def page_text(
+        self,
+        name: str,
+        order_by: str | Sequence[str],
+        offset: int = 0,
+        limit: int = 100,
+        filters: Any = None,
+        strict: bool = False,
+    ) -> DataFrame:
         """A page of rows whose values are all text."""
-        return page_text(self.table(name), order_by, *args, **options)
+        return page_text(self.table(name), order_by, offset, limit, filters, strict)
 
     def count_rows(self, name: str, filters: Any = None, strict: bool = False) -> DataFrame:
         """One row: ``n``."""
@@ -72,8 +88,10 @@ class Source:
             names = tuple(row["table_name"] for row in self.table_names().collect())
         return describe_columns(self.spark, {name: self.table(name) for name in names})
 
-    def changes(self, log_table: str, keys: str | Sequence[str], since: Any, **options: Any):
-        """The newest change of each key since a time."""
+    def changes(
+        self, log_table: str, keys: str | Sequence[str], since: Any, **options: Any
+    ) -> DataFrame:
+        """The newest change of each key since a time; see ``latest_changes``."""
         options.setdefault("ties", self.ties)
         return latest_changes(self.table(log_table), keys, since, **options)
 

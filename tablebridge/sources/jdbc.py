@@ -13,7 +13,6 @@ from typing import Any
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.operators.deltas import CHANGE_TIME
 from tablebridge.sources.base import Source
 
 # Rows per fetch and seconds to connect.
@@ -33,7 +32,8 @@ TABLE_LISTS = {
     ),
     "sqlserver": "SELECT name AS table_name FROM sys.tables WHERE is_ms_shipped = 0",
     "informix": (
-        "SELECT tabname AS table_name FROM systables WHERE tabtype = 'T' AND tabname NOT LIKE 'sys%'"
+        "SELECT tabname AS table_name FROM systables"
+        " WHERE tabtype = 'T' AND tabname NOT LIKE 'sys%'"
     ),
 }
 QUOTES = {"postgres": '"{}"', "sqlserver": "[{}]", "informix": "{}"}
@@ -146,9 +146,9 @@ class JdbcSource(Source):
             f"SELECT MIN({quoted}) AS min_val, MAX({quoted}) AS max_val FROM {checked_name(name)}"
         )
 
-    def changes(self, log_table, keys, since, **options):
-        options.setdefault("ts", CHANGE_TIME)
-        return super().changes(log_table, keys, since, **options)
+    def preview(self, query: str, rows: int = 100) -> DataFrame:
+        """The first rows of a query in the database's own SQL."""
+        return self.run(query.strip().rstrip(";")).limit(rows)
 
     def writer(self, df: DataFrame, name: str) -> DataFrameWriter:
         """A writer into one of the database's tables."""

@@ -17,13 +17,15 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="8",
-        spark__default__parallelism="4",
-        spark__ui__showConsoleProgress="false",
-        spark__python__sql__dataFrameDebugging__enabled="false",
-        spark__checkpoint__dir=scratch,
-        spark__sql__warehouse__dir=f"{scratch}/warehouse",
+        {
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.default.parallelism": "4",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
+            "spark.checkpoint.dir": scratch,
+            "spark.sql.warehouse.dir": f"{scratch}/warehouse",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -277,3 +277,50 @@ def test_ambiguous_bare_field(tables):
     }
     with pytest.raises(SpecError):
         run_spec(spec, tables)
+
+
+def test_random_chains_agree_with_sql(spark):
+    """AND/OR chains with nulls, inverted or not, against a second engine."""
+    import random
+
+    from tests.compare import duck_tables
+    from tests.conftest import SMALL
+
+    made = random.Random(23)
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    price = "CASE WHEN o_totalprice > 100000 THEN o_totalprice END"
+    tables = {"orders": orders.selectExpr("*", f"{price} AS price")}
+    duck = duck_tables(SMALL)
+    terms = [
+        (("price", "<", 250000, "number"), "price < 250000"),
+        (("price", "NOT BETWEEN", 150000, "number"), "price NOT BETWEEN 150000 AND 300000"),
+        (("price", "IS NULL", None, "number"), "price IS NULL"),
+        (("o_orderstatus", "!=", "F", "string"), "o_orderstatus != 'F'"),
+        (("o_orderstatus", "NOT IN", "F, O", "list"), "o_orderstatus NOT IN ('F', 'O')"),
+        (("o_orderpriority", "CONTAINS", "-_R", "string"), "o_orderpriority LIKE '%-_R%'"),
+        (("o_orderdate", ">=", "1998-06-01", "Date"), "o_orderdate >= '1998-06-01'"),
+        (("o_orderpriority", "NOT MATCHES", "^[12]", "string"),
+         "NOT regexp_matches(o_orderpriority, '^[12]')"),
+    ]
+    for _ in range(12):
+        chosen = [made.choice(terms) for _ in range(made.randint(1, 6))]
+        connectors = [made.choice(["AND", "OR"]) for _ in chosen]
+        conditions = [
+            {"field": f, "operator": op, "value": v, "valueType": kind, "secondValue": 300000,
+             "connector": c}
+            for ((f, op, v, kind), _), c in zip(chosen, connectors)
+        ]
+        text = chosen[0][1]
+        for connector, (_, sql) in zip(connectors, chosen[1:]):
+            text += f" {connector} {sql}"
+        for invert in (False, True):
+            spec = {
+                "baseTable": "orders",
+                "selectedFields": [{"field": "o_orderkey"}],
+                "whereConditions": conditions,
+            }
+            found = sorted(row[0] for row in run_spec(spec, tables, invert).collect())
+            source = f"(SELECT *, {price} AS price FROM orders)"
+            test = f"NOT ({text})" if invert else text
+            rows = duck.execute(f"SELECT o_orderkey FROM {source} WHERE {test}").fetchall()
+            assert found == sorted(row[0] for row in rows), (text, invert)
