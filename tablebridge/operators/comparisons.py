@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablebridge.functions.patterns import java_pattern
+
 Literal = Callable[[Any], Column]
 
 # Operator names of the two payload forms, by canonical name.
@@ -126,7 +128,7 @@ def compare(
         hit = _text(column, dtype).like(like_pattern(operator, value))
         return ~hit if operator == "not_contains" else hit
     if operator in ("matches", "not_matches"):
-        hit = _text(column, dtype).rlike(str(value))
+        hit = _text(column, dtype).rlike(java_pattern(str(value)))
         return hit if operator == "matches" else ~hit
     if operator in ("between", "not_between"):
         if second is None:

@@ -250,6 +250,15 @@ filtered("f_ends_with", "part", _PART, condition("p_name", "ENDS_WITH", "bolt"))
 filtered("f_contains_wildcard", "part", _PART, condition("p_name", "CONTAINS", "r_d"))
 filtered("f_matches", "part", _PART, condition("p_name", "MATCHES", _RED_BLUE))
 filtered("f_not_matches", "part", _PART, condition("p_name", "NOT_MATCHES", _RED_BLUE))
+filtered(
+    "f_matches_class", "part", _PART, condition("p_name", "MATCHES", "^[[:lower:]]{3} [^[:space:]]+t$")
+)
+filtered(
+    "f_matches_lines",
+    "documents",
+    ["doc_id"],
+    condition("text", "MATCHES", "^[A-Z].*\\n[a-zA-Z ]+.*[.]$"),
+)
 filtered("f_eq", "orders", ["o_orderkey"], condition("o_orderpriority", "EQUALS", "1-URGENT"))
 filtered("f_ne", "orders", ["o_orderkey"], condition("o_orderpriority", "!=", "1-URGENT"))
 filtered("f_gt", "orders", ["o_orderkey"], condition("o_totalprice", "GREATER_THAN", "400000"))

@@ -150,14 +150,25 @@ class JdbcSource(Source):
         """The first rows of a query in the database's own SQL."""
         return self.run(query.strip().rstrip(";")).limit(rows)
 
-    def writer(self, df: DataFrame, name: str) -> DataFrameWriter:
-        """A writer into one of the database's tables."""
-        options = {**self.options, "dbtable": checked_name(name), "batchsize": str(FETCH_ROWS)}
-        return df.write.format("jdbc").options(**options)
-
-    def reload(self, df: DataFrame, name: str) -> None:
+    def writer(self, df: DataFrame, name: str, connections: int = 16) -> DataFrameWriter:
+        """A writer into one of the database's tables.
+
+        Executors write in parallel, through at most ``connections`` at a time.
+        """
+        return df.write.format("jdbc").options(**self.writer_options(name, connections))
+
+    def writer_options(self, name: str, connections: int) -> dict[str, str]:
+        return {
+            **self.options,
+            "dbtable": checked_name(name),
+            "batchsize": str(FETCH_ROWS),
+            "numPartitions": str(connections),
+        }
+
+    def reload(self, df: DataFrame, name: str, connections: int = 16) -> None:
         """Empty the table, keep its structure, and load all rows."""
-        self.writer(df, name).option("truncate", "true").mode("overwrite").save()
+        writer = self.writer(df, name, connections).option("truncate", "true")
+        writer.mode("overwrite").save()
 
     def truncate(self, name: str) -> None:
         """Empty the table and keep its structure."""

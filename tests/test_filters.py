@@ -118,6 +118,40 @@ def test_like_pattern_backslashes():
     assert like_pattern("starts_with", "50\\%") == "50\\%%"
 
 
+@pytest.mark.parametrize(
+    ("pattern", "text", "hit"),
+    [
+        ("^[[:alpha:]]+$", "abcé", True),
+        ("^[[:alpha:]]+$", "ab1", False),
+        ("[^[:digit:][:space:]]", "1 2", False),
+        ("a.c", "a\nc", True),
+        ("a$", "a\n", False),
+        ("a\\$", "a$", True),
+        ("[$]$", "a$", True),
+        ("[]x]", "]", True),
+        ("[^]x]", "]", False),
+        ("[a[]", "[", True),
+        ("^[a&&b]+$", "&ab", True),
+        ("\\mcat\\M", "a cat!", True),
+        ("\\mcat\\M", "concat", False),
+        ("[[:<:]]cat[[:>:]]", "a cat!", True),
+        ("\\ycat", "concat", False),
+        ("(?i)CAT", "cat", True),
+        ("[\\d.]+\\Z", "1.5", True),
+    ],
+)
+def test_pattern_syntax(spark, pattern, text, hit):
+    row = spark.createDataFrame([(text,)], "name string")
+    payload = [entry("name", "MATCHES", pattern)]
+    assert (filter_rows(row, payload).count() == 1) == hit
+
+
+@pytest.mark.parametrize("pattern", ["[a", "[[:nope:]]"])
+def test_bad_pattern(table, pattern):
+    with pytest.raises(ValueError):
+        filter_rows(table, [entry("name", "MATCHES", pattern)])
+
+
 def test_filter_reaches_the_scan(spark, tmp_path, table):
     table.write.parquet(f"{tmp_path}/t")
     stored = spark.read.parquet(f"{tmp_path}/t")

@@ -59,6 +59,8 @@ def test_jdbc_statements_and_splits(spark):
     assert source.min_max_statement("t", "day") == (
         'SELECT MIN("day") AS min_val, MAX("day") AS max_val FROM t'
     )
+    written = source.writer_options("t", 8)
+    assert (written["numPartitions"], written["batchsize"]) == ("8", "10000")
     server = open_source(spark, "sqlserver", SETTINGS)
     assert "MIN([day])" in server.min_max_statement("t", "day")
     informix = open_source(spark, "informix", {**SETTINGS, "protocol": "onsoctcp"})
