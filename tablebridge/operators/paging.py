@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablebridge.functions.hashing import row_hash
+from tablebridge.functions.hashing import range_partitioned
 from tablebridge.functions.naming import name_list, ref
 from tablebridge.functions.text import stringify
 from tablebridge.operators.filters import filter_rows
@@ -82,16 +82,12 @@ def number_rows(
     Rows are range-partitioned and sorted, and written with their place inside
     the partition. Partition sizes, one row each, are summed up to starting
     numbers beside it. The copy is written before the sizes are read, so both
-    see the same partitions even if executors are lost. A hash of the row splits
-    runs of equal keys.
+    see the same partitions even if executors are lost.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "numbered")
-    order = [ref(name) for name in name_list(order_by)]
-    hashed = df.withColumn("__hash", row_hash(df))
-    hashed.repartitionByRange(*order, F.col("__hash")).sortWithinPartitions(
-        *order, "__hash"
-    ).select(
+    ranged, order = range_partitioned(df, [ref(name) for name in name_list(order_by)])
+    ranged.sortWithinPartitions(*order).select(
         *[ref(name) for name in df.columns],
         F.spark_partition_id().alias("__part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("__place"),

@@ -12,9 +12,8 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tablebridge.functions.hashing import row_hash
+from tablebridge.functions.hashing import HELPERS, range_partitioned
 from tablebridge.functions.naming import ref
 from tablebridge.operators.checks import key_violations
 
@@ -63,15 +62,13 @@ def unique_violations(df: DataFrame, layout: Layout) -> list[DataFrame]:
 def write_layout(df: DataFrame, path: str, layout: Layout) -> None:
     """Write parquet in the layout.
 
-    The row hash after the sort columns lets range partitioning cut a run of
-    equal values; rows are sorted inside each file.
+    Ranges may cut a run of equal values; rows are sorted inside each file.
     """
     rows = df
     if layout.sort_columns:
         order = [ref(name) for name in layout.sort_columns]
-        hashed = df.withColumn("__hash", row_hash(df))
-        rows = hashed.repartitionByRange(*order, F.col("__hash")).sortWithinPartitions(*order)
-        rows = rows.drop("__hash")
+        ranged, _ = range_partitioned(df, order)
+        rows = ranged.sortWithinPartitions(*order).drop(*HELPERS)
     writer = rows.write.mode("overwrite")
     for name in layout.bloom_columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")

@@ -117,7 +117,9 @@ class JdbcSource(Source):
 
     def scan(self, name: str, split_column: str | None = None, splits: int = 0) -> DataFrame:
         """The whole table; with a numeric, date or timestamp column to split
-        on, in parallel ranges between its bounds. Nulls join the first range."""
+        on, in parallel ranges between its bounds. Nulls join the first range.
+
+        Ranges are equally wide and cannot cut one value, so split on a key."""
         if not split_column or splits < 2:
             return self.table(name)
         bounds = self.min_max(name, split_column).first()

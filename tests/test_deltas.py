@@ -5,6 +5,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
+from tablebridge.functions.hashing import range_partitioned
 
 from tablebridge.operators.deltas import delta_page, latest_changes
 from tablebridge.operators.paging import next_page, number_rows, page, page_text, read_page
@@ -125,6 +128,18 @@ def test_numbered_copy_serves_many_pages(spark, tmp_path):
     assert seen == list(range(500))
 
 
+def test_ranges_cut_runs_of_copies(spark):
+    """A third of the rows are one row; no range holds them all."""
+    table = spark.range(3000).select((F.col("id") % 3 * F.col("id")).alias("a")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranged, _ = range_partitioned(table, [F.col("a")])
+        sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 3000 and max(sizes) < 700
+
+
 def test_next_page_walks_the_table(spark):
     table, after, seen = shuffled(spark, 90), None, []
     while rows := next_page(table, ["a", "b"], after, 25).collect():
