@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,13 @@ def ref(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a new column; raises when the table has it already."""
+    if name.lower() in (column.lower() for column in df.columns):
+        raise ValueError(f"the table has a column {name!r} already; choose another name")
+    return name
+
+
 def name_list(names: str | Sequence[str]) -> list[str]:
     """Key columns as a list; comma text is accepted."""
     if isinstance(names, str):

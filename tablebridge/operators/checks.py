@@ -18,13 +18,17 @@ def key_violations(
     """Key values that break a primary key, with their row counts.
 
     A value breaks it by occurring twice or by holding a null. A unique index
-    allows nulls, and null values never equal each other there.
+    allows nulls, and null values never equal each other there. The count is
+    named ``n``, or ``row_count`` where a key column is called ``n``.
     """
     names = name_list(columns)
+    count = "row_count" if "n" in names else "n"
     any_null = reduce(lambda a, b: a | b, [ref(name).isNull() for name in names])
     rows = df.where(~any_null) if nulls_allowed else df
-    counts = rows.groupBy(*[ref(name) for name in names]).agg(F.count(F.lit(1)).alias("n"))
-    broken = F.col("n") > 1
+    counts = rows.groupBy(*[ref(name) for name in names]).agg(
+        F.count(F.lit(1)).alias(count)
+    )
+    broken = F.col(count) > 1
     return counts.where(broken if nulls_allowed else broken | any_null)
 
 

@@ -81,8 +81,8 @@ SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^(red|blue) .*t
 SELECT p_partkey, p_name FROM part WHERE NOT regexp_matches(p_name, '^(red|blue) .*t$')""",
     "f_matches_class": """
 SELECT p_partkey, p_name FROM part WHERE regexp_matches(p_name, '^[a-z]{3} [^ ]+t$')""",
-    "f_matches_lines": r"""
-SELECT doc_id FROM documents WHERE regexp_matches(text, '^[A-Z].*\n[a-zA-Z ]+.*[.]$', 's')""",
+    "f_matches_lines": """
+SELECT doc_id FROM documents WHERE regexp_matches(text, '[.].\\p{Lu}[a-z]+.$', 's')""",
     "f_eq": "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'",
     "f_ne": "SELECT o_orderkey FROM orders WHERE o_orderpriority != '1-URGENT'",
     "f_gt": "SELECT o_orderkey FROM orders WHERE o_totalprice > 400000",

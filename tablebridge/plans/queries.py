@@ -257,7 +257,7 @@ filtered(
     "f_matches_lines",
     "documents",
     ["doc_id"],
-    condition("text", "MATCHES", "^[A-Z].*\\n[a-zA-Z ]+.*[.]$"),
+    condition("text", "MATCHES", "[.].[[:upper:]][a-z]+.$"),
 )
 filtered("f_eq", "orders", ["o_orderkey"], condition("o_orderpriority", "EQUALS", "1-URGENT"))
 filtered("f_ne", "orders", ["o_orderkey"], condition("o_orderpriority", "!=", "1-URGENT"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablebridge.functions.literals import typed_literal
-from tablebridge.functions.naming import quoted, ref
+from tablebridge.functions.naming import quoted, ref, unused
 
 # Partition methods, and where unmatched rows and nulls go.
 METHODS = ("RANGE", "LIST", "HASH")
@@ -79,14 +79,14 @@ def list_label(column: Column, dtype: T.DataType, values: Iterable[Any]) -> Colu
 def with_range_label(
     df: DataFrame, column: str, strategy: str, ranges: Sequence[str], name: str = LABEL
 ) -> DataFrame:
-    return df.withColumn(name, range_label(ref(column), strategy, ranges))
+    return df.withColumn(unused(df, name), range_label(ref(column), strategy, ranges))
 
 
 def with_list_label(
     df: DataFrame, column: str, values: Iterable[Any], name: str = LABEL
 ) -> DataFrame:
     dtype = df.select(ref(column)).schema[0].dataType
-    return df.withColumn(name, list_label(ref(column), dtype, values))
+    return df.withColumn(unused(df, name), list_label(ref(column), dtype, values))
 
 
 def write_partitioned(
@@ -164,6 +164,7 @@ def write_target(
     values: Sequence[Any] = (),
     table: str | None = None,
     buckets: int = 0,
+    label: str = LABEL,
 ) -> T.StructType | None:
     """A partitioned target by RANGE, LIST or HASH.
 
@@ -177,10 +178,10 @@ def write_target(
         write_hashed(df, table, column, buckets, path)
         return None
     if method == "RANGE":
-        labelled = with_range_label(df, column, strategy, ranges)
+        labelled = with_range_label(df, column, strategy, ranges, label)
     else:
-        labelled = with_list_label(df, column, values)
-    write_partitioned(labelled, path)
+        labelled = with_list_label(df, column, values, label)
+    write_partitioned(labelled, path, label)
     return labelled.schema
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablebridge.functions.naming import ref
+from tablebridge.functions.naming import ref, unused
 
 # Fixed value: rows in a batch of a full scan.
 BATCH_ROWS = 10_000
@@ -33,6 +33,7 @@ def split_number(column: str, low: int, high: int, splits: int) -> Column:
 
 def with_splits(df: DataFrame, column: str, splits: int, name: str = "split") -> DataFrame:
     """Rows with the number of their range; null keys have none."""
+    unused(df, name)
     bounds = df.agg(F.min(ref(column)).alias("low"), F.max(ref(column)).alias("high")).first()
     if bounds["low"] is None:
         return df.withColumn(name, F.lit(None).cast("bigint"))

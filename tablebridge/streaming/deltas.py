@@ -19,7 +19,7 @@ from tablebridge.functions.hashing import row_hash
 from tablebridge.functions.naming import name_list, ref
 from tablebridge.operators.deltas import CHANGE_TIME, changes_since
 
-BATCH = "batch_id"
+BATCH = "__batch"
 
 
 def newest_by_key(
@@ -49,12 +49,16 @@ def stream_deltas(
     ts: str = CHANGE_TIME,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Write each micro-batch's changed keys to ``target/batch_id=N``.
+    """Write each micro-batch's changed keys to ``target/__batch=N``.
 
     A batch that is run again overwrites its own folder, so each change arrives
     once. With ``available_now`` the query stops when the input is used up.
     """
 
+    # A target without rows is a target too.
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
+    empty.write.mode("ignore").parquet(f"{target}/{BATCH}=-1")
+
     def store(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch}")
 

@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablebridge.functions.hashing import range_partitioned
-
 from tablebridge.operators.deltas import delta_page, latest_changes
 from tablebridge.operators.paging import next_page, number_rows, page, page_text, read_page
 from tablebridge.streaming.deltas import stored_deltas, stream_deltas
@@ -106,6 +105,16 @@ def test_stream_equals_batch(spark, tmp_path):
     assert found[1] == "late" and found[2] != "late and old"
 
 
+def test_stream_without_rows(spark, tmp_path):
+    schema = "k int, ts int"
+    spark.createDataFrame([(1, 5)], schema).write.parquet(f"{tmp_path}/log")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/log")
+    stream_deltas(
+        stream, "k", 50, f"{tmp_path}/out", f"{tmp_path}/offsets", ts="ts"
+    ).awaitTermination()
+    assert stored_deltas(spark, f"{tmp_path}/out", "k", stream.schema).count() == 0
+
+
 def shuffled(spark, count=500):
     rows = [(i // 100, i, f"t{i}") for i in range(count)]
     random.Random(9).shuffle(rows)

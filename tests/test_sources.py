@@ -68,6 +68,25 @@ def test_jdbc_statements_and_splits(spark):
     assert (source.ties, informix.ties) == ("one", "all")
 
 
+def test_jdbc_results_by_position(spark):
+    """Databases fold result names as they like; values are taken by position."""
+
+    class Canned(JdbcSource):
+        def run(self, statement):
+            self.statement = statement
+            return spark.createDataFrame([(3, 9)], "`MIN_VAL` int, `MAX_VAL` int") if (
+                "MIN" in statement
+            ) else spark.createDataFrame([(7,)], "`N` int")
+
+    source = Canned(spark, "postgres", {**SETTINGS, "schema": "s"})
+    counted = source.count_rows("t")
+    assert counted.dtypes == [("n", "bigint")] and counted.first().n == 7
+    assert tuple(source.min_max("t", "day").first()) == (3, 9)
+    assert source.min_max("t", "day").columns == ["min_val", "max_val"]
+    assert source.table_names().columns == ["table_name"] and "'s'" in source.statement
+    assert source.preview(" SELECT 1; ", 5).count() == 1 and source.statement == "SELECT 1"
+
+
 def test_parquet_source(spark):
     source = open_source(spark, "parquet", {"folder": SMALL})
     names = {row.table_name for row in source.table_names().collect()}

@@ -187,6 +187,20 @@ def test_key_violations(spark):
     assert [tuple(r) for r in unique[0].collect()] == [(1, 1, 2)]
 
 
+def test_key_named_like_the_count(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,)], "n int")
+    assert [tuple(r) for r in key_violations(rows, "n").collect()] == [(1, 2)]
+
+
+def test_label_never_replaces_a_column(dated):
+    for make in (
+        lambda t: P.with_range_label(t, "day", "year", ["1996"], "ID"),
+        lambda t: P.with_list_label(t, "id", [1], "day"),
+    ):
+        with pytest.raises(ValueError):
+            make(dated)
+
+
 def test_column_stats(spark):
     rows = spark.createDataFrame(
         [(1, "b", True), (None, "a", None), (1, None, False), (5, "a", True)], "i int, s string, b boolean"
