@@ -37,28 +37,48 @@ _RANGES = ("<", "<=", ">", ">=")
 
 
 def join_frames(
-    base: DataFrame, target: DataFrame, how: str, groups: Sequence[Group]
+    base: DataFrame,
+    target: DataFrame,
+    how: str,
+    groups: Sequence[Group],
+    base_is_table: bool = True,
 ) -> DataFrame:
-    """``base`` joined to ``target``; ``how`` is inner, left or right."""
+    """``base`` joined to ``target``; ``how`` is inner, left or right.
+
+    ``target`` is a table. ``base`` may be the outcome of other joins; it is then
+    never probed, which would run them.
+    """
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join: {how!r}")
     if len(groups) == 1 and _has_equality(groups[0]):
-        optional, side = (target, 2) if how == "left" else (base, 0)
-        keys = [condition[side] for condition in groups[0] if condition[1] == "="]
-        if how == "inner" or fits_broadcast(optional) or not has_hot_key(optional, keys):
+        if how == "inner" or not _may_be_hot(base, target, how, groups[0], base_is_table):
             return base.join(target, _any(groups), how)
 
-    names = base.columns + target.columns
+    ranges = _Ranges(target)
     if how == "right":
         mirrored = [[(t, _MIRROR[op], b) for b, op, t in group] for group in groups]
-        joined = _outer(target, base, mirrored)
+        loops = base_is_table and _loops(base, groups)
+        joined = _outer(target, base, mirrored, ranges, loops)
     elif how == "left":
-        joined = _outer(base, target, groups)
+        joined = _outer(base, target, groups, ranges, _loops(target, groups))
     elif _loops(target, groups):
         joined = base.join(F.broadcast(target), _any(groups), "inner")
     else:
-        joined = _pairs(base, target, groups)
-    return joined.select([ref(name) for name in names])
+        joined = _pairs(base, target, groups, ranges)
+    return joined.select([ref(name) for name in base.columns + target.columns])
+
+
+def _may_be_hot(
+    base: DataFrame, target: DataFrame, how: str, group: Group, base_is_table: bool
+) -> bool:
+    """Whether the optional side of an outer join may hold a hot key."""
+    if how == "left":
+        optional, keys = target, [name for _, operator, name in group if operator == "="]
+    elif base_is_table:
+        optional, keys = base, [name for name, operator, _ in group if operator == "="]
+    else:
+        return True
+    return not fits_broadcast(optional) and has_hot_key(optional, keys)
 
 
 def _loops(side: DataFrame, groups: Sequence[Group]) -> bool:
@@ -67,23 +87,29 @@ def _loops(side: DataFrame, groups: Sequence[Group]) -> bool:
     return not all(_has_equality(group) for group in groups) and fits_broadcast(side)
 
 
-def _outer(kept: DataFrame, other: DataFrame, groups: Sequence[Group]) -> DataFrame:
+def _outer(
+    kept: DataFrame, other: DataFrame, groups: Sequence[Group], ranges: _Ranges, loops: bool
+) -> DataFrame:
     """All matching pairs, plus the rows of ``kept`` without one."""
-    if _loops(other, groups):
+    if loops:
         return kept.join(F.broadcast(other), _any(groups), "left")
-    pairs = _pairs(kept, other, groups)
-    lonely = reduce(lambda rows, group: _without_match(rows, other, group), groups, kept)
+    pairs = _pairs(kept, other, groups, ranges)
+    lonely = reduce(
+        lambda rows, group: _without_match(rows, other, group, ranges), groups, kept
+    )
     padded = lonely.select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
     )
     return pairs.select([ref(name) for name in kept.columns + other.columns]).unionByName(padded)
 
 
-def _pairs(left: DataFrame, right: DataFrame, groups: Sequence[Group]) -> DataFrame:
+def _pairs(
+    left: DataFrame, right: DataFrame, groups: Sequence[Group], ranges: _Ranges
+) -> DataFrame:
     """Every pair that some group accepts, from the first group that does."""
     branches = []
     for index, group in enumerate(groups):
-        pairs = _group_pairs(left, right, group)
+        pairs = _group_pairs(left, right, group, ranges)
         if index:
             earlier = F.coalesce(_any(groups[:index]), F.lit(False))
             pairs = pairs.where(~earlier)
@@ -91,58 +117,67 @@ def _pairs(left: DataFrame, right: DataFrame, groups: Sequence[Group]) -> DataFr
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-def _group_pairs(left: DataFrame, right: DataFrame, group: Group) -> DataFrame:
+def _group_pairs(left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges) -> DataFrame:
     if _has_equality(group):
         return left.join(right, _all(group), "inner")
     for index, (name, operator, other) in enumerate(group):
         if operator in ("!=", "<>"):
             # Two disjoint ranges instead of everything but one value.
             rest = [c for i, c in enumerate(group) if i != index]
-            return _range_or_split(left, right, (name, other), rest)
-    return _range_pairs(left, right, group)
+            below = _group_pairs(left, right, [(name, "<", other), *rest], ranges)
+            above = _group_pairs(left, right, [(name, ">", other), *rest], ranges)
+            return below.unionByName(above)
+    return _range_pairs(left, right, group, ranges)
 
 
-def _range_or_split(
-    left: DataFrame, right: DataFrame, pair: tuple[str, str], rest: list[Condition]
-) -> DataFrame:
-    name, other = pair
-    below = _group_pairs(left, right, [(name, "<", other), *rest])
-    above = _group_pairs(left, right, [(name, ">", other), *rest])
-    return below.unionByName(above)
+class _Ranges:
+    """Buckets of equal width over the values of a table's column."""
 
+    def __init__(self, table: DataFrame):
+        self._table = table
+        self._bounds: dict[str, tuple[float, float]] = {}
 
-def _range_pairs(left: DataFrame, right: DataFrame, group: Group) -> DataFrame:
+    def bucket(self, place: Column, *names: str) -> Column:
+        """The bucket of a position; whatever lies outside joins the ends.
+
+        The bounds are those of the one named column that the table has.
+        """
+        lo, hi = self._of(next(name for name in names if name in self._table.columns))
+        scaled = (place - lo) * RANGE_BUCKETS / ((hi - lo) or 1.0)
+        last = F.lit(float(RANGE_BUCKETS - 1))
+        return F.floor(F.greatest(F.least(scaled, last), F.lit(0.0))).cast("int")
+
+    def _of(self, name: str) -> tuple[float, float]:
+        if name not in self._bounds:
+            place = _position(self._table, name)
+            found = self._table.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
+            self._bounds[name] = (float(found["lo"] or 0), float(found["hi"] or 0))
+        return self._bounds[name]
+
+
+def _range_pairs(left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges) -> DataFrame:
     """A join on the first range condition, by buckets of its column.
 
-    The right rows fall into buckets of equal width over their own value range;
-    a left row visits only the buckets that can hold a match. The position of a
-    value never decreases with the value, so no match is lost, and the full
-    condition is still checked. AQE splits crowded buckets.
+    A right row lies in one bucket; a left row visits only the buckets that can
+    hold a match. The bucket never decreases with the value, so no match is
+    lost, and the full condition is still checked. AQE splits crowded buckets.
     """
     name, operator, other = next(c for c in group if c[1] in _RANGES)
-    position = _position(right, other)
-    bounds = right.agg(F.min(position).alias("lo"), F.max(position).alias("hi")).first()
-    if bounds["lo"] is None:
-        return left.join(right, _all(group), "inner")
-    lo, hi = float(bounds["lo"]), float(bounds["hi"])
-
-    def bucket(place: Column) -> Column:
-        scaled = (place - lo) * RANGE_BUCKETS / ((hi - lo) or 1.0)
-        clipped = F.greatest(F.least(scaled, F.lit(float(RANGE_BUCKETS - 1))), F.lit(-1.0))
-        return F.when(place < lo, F.lit(-1)).otherwise(F.floor(clipped).cast("int"))
-
-    own = bucket(_position(left, name))
+    own = ranges.bucket(_position(left, name), name, other)
     if operator in ("<", "<="):
-        visits = F.sequence(F.greatest(own, F.lit(0)), F.lit(RANGE_BUCKETS - 1))
+        visits = F.sequence(own, F.lit(RANGE_BUCKETS - 1))
     else:
-        visits = F.when(own >= 0, F.sequence(F.lit(0), own))
+        visits = F.sequence(F.lit(0), own)
+    held = ranges.bucket(_position(right, other), name, other)
     seekers = left.where(ref(name).isNotNull()).select("*", F.explode(visits).alias("__visit"))
-    held = right.where(ref(other).isNotNull()).select("*", bucket(position).alias("__bucket"))
-    joined = seekers.join(held, (F.col("__visit") == F.col("__bucket")) & _all(group), "inner")
+    found = right.where(ref(other).isNotNull()).select("*", held.alias("__bucket"))
+    joined = seekers.join(found, (F.col("__visit") == F.col("__bucket")) & _all(group), "inner")
     return joined.drop("__visit", "__bucket")
 
 
-def _without_match(rows: DataFrame, other: DataFrame, group: Group) -> DataFrame:
+def _without_match(
+    rows: DataFrame, other: DataFrame, group: Group, ranges: _Ranges
+) -> DataFrame:
     """Rows of ``rows`` that the group matches with no row of ``other``."""
     wanted = other.select([ref(name) for name in sorted({o for _, _, o in group})]).distinct()
     if _has_equality(group):
@@ -150,7 +185,7 @@ def _without_match(rows: DataFrame, other: DataFrame, group: Group) -> DataFrame
     # Only the compared columns decide whether a row has a match.
     compared = sorted({name for name, _, _ in group})
     asked = rows.select([ref(name) for name in compared]).distinct()
-    matched = _group_pairs(asked, wanted, group).select(
+    matched = _group_pairs(asked, wanted, group, ranges).select(
         [ref(name).alias(f"__m{i}") for i, name in enumerate(compared)]
     ).distinct()
     same = reduce(

@@ -158,6 +158,10 @@ INNER JOIN customer c ON o.o_custkey = c.c_custkey OR o.o_orderkey = c.c_custkey
     "j_left_or": """
 SELECT o.o_orderkey, s.s_suppkey FROM orders o
 LEFT JOIN supplier s ON o.o_custkey = s.s_suppkey OR o.o_orderkey = s.s_suppkey""",
+    "j_right_chain": """
+SELECT p.p_brand, count(l.l_orderkey) AS lines, count(DISTINCT o.o_custkey) AS buyers
+FROM lineitem l INNER JOIN orders o ON l.l_orderkey = o.o_orderkey
+RIGHT JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_brand""",
     "j_star": """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, o.o_orderpriority, s.s_name FROM lineitem l
 INNER JOIN orders o ON l.l_orderkey = o.o_orderkey

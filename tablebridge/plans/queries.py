@@ -551,6 +551,19 @@ specified(
         ],
     },
 )
+specified(
+    "j_right_chain",
+    {
+        "baseTable": "lineitem",
+        "selectedFields": [
+            field("part", "p_brand"),
+            measure("COUNT", "lines", "lineitem", "l_orderkey"),
+            measure("COUNT(DISTINCT)", "buyers", "orders", "o_custkey"),
+        ],
+        "joins": [*_LINE_ORDER, join("part", ("l_partkey", "=", "p_partkey"), kind="RIGHT")],
+        "groupByFields": [{"table": "part", "field": "p_brand"}],
+    },
+)
 specified(
     "j_star",
     {

@@ -136,7 +136,8 @@ class _Frame:
                 groups.append([triple])
         if not groups:
             raise SpecError(f"no usable join condition for {target!r}")
-        self.rows = join_frames(self.rows, frame, how, groups)
+        alone = len(self._fields) == 2
+        self.rows = join_frames(self.rows, frame, how, groups, base_is_table=alone)
 
     def resolve(self, table: str | None, field: str | None) -> tuple[Column, T.DataType]:
         """A column and its type; a bare field must be unambiguous."""

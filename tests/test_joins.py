@@ -77,17 +77,21 @@ CHAINS = {
 }
 
 
-@pytest.mark.parametrize("small", [True, False])
-@pytest.mark.parametrize("how", ["inner", "left", "right"])
+# How, whether a probe finds the sides small, whether the base is a table.
+KINDS = [(how, small, True) for how in ("inner", "left", "right") for small in (True, False)]
+KINDS.append(("right", False, False))
+
+
+@pytest.mark.parametrize(("how", "small", "is_table"), KINDS)
 @pytest.mark.parametrize("chain", CHAINS)
-def test_chain(spark, monkeypatch, chain, how, small):
+def test_chain(spark, monkeypatch, chain, how, small, is_table):
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: small)
     monkeypatch.setattr(joins, "has_hot_key", lambda df, keys: True)
     left, right = rows(40, 1), rows(30, 2)
     schema = "`{0}.k` int, `{0}.v` double, `{0}.s` string"
     base = spark.createDataFrame(left, schema.format("b"))
     target = spark.createDataFrame(right, schema.format("t"))
-    joined = joins.join_frames(base, target, how, CHAINS[chain])
+    joined = joins.join_frames(base, target, how, CHAINS[chain], is_table)
     assert joined.columns == BASE + TARGET
     assert Counter(tuple(row) for row in joined.collect()) == brute(left, right, how, CHAINS[chain])
 
