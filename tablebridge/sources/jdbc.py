@@ -77,6 +77,8 @@ def jdbc_options(dialect: str, settings: Mapping[str, Any]) -> dict[str, str]:
         "user": str(settings["user"]),
         "password": str(settings["password"]),
         "fetchsize": str(FETCH_ROWS),
+        # Times without a zone stay without one.
+        "preferTimestampNTZ": "true",
     }
 
 
