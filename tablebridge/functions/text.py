@@ -59,9 +59,30 @@ def value_text(column: Column, dtype: T.DataType) -> Column:
         return _timestamp_text(column, zoned=False)
     if isinstance(dtype, T.TimestampType):
         return _timestamp_text(column, zoned=True)
+    if isinstance(dtype, T.ArrayType):
+        return _list_text(column, dtype.elementType)
     return column.cast("string")
 
 
+def _list_text(column: Column, element: T.DataType) -> Column:
+    """A list with its texts quoted: ``['a', "it's", None, 1.5]``."""
+
+    def one(item: Column) -> Column:
+        text = value_text(item, element)
+        if isinstance(element, T.StringType):
+            escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+            for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+                escaped = F.replace(escaped, F.lit(raw), F.lit(shown))
+            single = F.concat(
+                F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")
+            )
+            double = F.concat(F.lit('"'), escaped, F.lit('"'))
+            text = F.when(text.contains("'") & ~text.contains('"'), double).otherwise(single)
+        return F.when(item.isNull(), F.lit("None")).otherwise(text)
+
+    return F.concat(F.lit("["), F.array_join(F.transform(column, one), ", "), F.lit("]"))
+
+
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as text, same names and order."""
     return df.select(

@@ -189,6 +189,19 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
+def apply_inferred(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Text columns converted to the types their values have.
+
+    The types, one name per column, are worked out first.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    wanted = [name for name in texts if columns is None or name in columns]
+    if not wanted:
+        return df
+    found = {row["column_name"]: row["inferred"] for row in infer_types(df, wanted).collect()}
+    return apply_types(df, found)
+
+
 def rejected_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """How many non-blank values of each column do not convert."""
     counts = [

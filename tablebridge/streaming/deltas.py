@@ -85,3 +85,19 @@ def stored_deltas(
         F.max_by(row, F.col(BATCH)).alias("__row")
     )
     return newest.select("__row.*")
+
+
+def compact_deltas(
+    spark: SparkSession,
+    target: str,
+    keys: str | Sequence[str],
+    schema: T.StructType,
+    new_target: str,
+) -> None:
+    """Start a new target with one row per key.
+
+    Run it while the stream is stopped, then restart the stream on the new
+    target with its old checkpoint: later batches follow on.
+    """
+    newest = stored_deltas(spark, target, keys, schema)
+    newest.write.mode("overwrite").parquet(f"{new_target}/{BATCH}=-1")

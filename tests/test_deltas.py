@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tablebridge.functions.hashing import range_partitioned
 from tablebridge.operators.deltas import delta_page, latest_changes
 from tablebridge.operators.paging import next_page, number_rows, page, page_text, read_page
-from tablebridge.streaming.deltas import stored_deltas, stream_deltas
+from tablebridge.streaming.deltas import compact_deltas, stored_deltas, stream_deltas
 
 SCHEMA = "k int, j string, Date_operation string, note string"
 LOG = [
@@ -104,6 +104,16 @@ def test_stream_equals_batch(spark, tmp_path):
     found = {row.k: row.note for row in run().collect()}
     assert found[1] == "late" and found[2] != "late and old"
 
+    # A compacted target goes on where the old one ended.
+    compact_deltas(spark, f"{tmp_path}/out", "k", stream.schema, f"{tmp_path}/new")
+    last = spark.createDataFrame([(2, 2000, "last")], schema).coalesce(1)
+    last.write.mode("append").parquet(f"{tmp_path}/log")
+    stream_deltas(
+        stream, "k", 50, f"{tmp_path}/new", f"{tmp_path}/offsets", ts="ts"
+    ).awaitTermination()
+    after = stored_deltas(spark, f"{tmp_path}/new", "k", stream.schema).collect()
+    assert {row.k: row.note for row in after} == found | {2: "last"}
+
 
 def test_stream_without_rows(spark, tmp_path):
     schema = "k int, ts int"

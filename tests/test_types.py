@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablebridge.functions import types as names
 from tablebridge.functions.text import stringify
-from tablebridge.operators.infer import apply_types, infer_types, rejected_values
+from tablebridge.operators.infer import apply_inferred, apply_types, infer_types, rejected_values
 from tablebridge.operators.schemas import (
     convert_catalog,
     dedupe_columns,
@@ -44,6 +44,14 @@ def test_values_as_text(spark):
     )
 
 
+def test_lists_as_text(spark):
+    texts = ["a", "it's", 'say "x"', "it's \"x\"", "a\\b\nc", None, ""]
+    numbers = [[1.5, None], [], [1e16]]
+    row = spark.createDataFrame([(texts, numbers, [True])], "t array<string>, n array<array<double>>, b array<boolean>")
+    found = stringify(row).first()
+    assert tuple(found) == (str(texts), str(numbers), str([True]))
+
+
 INFERRED = {
     "all_null": ([None, None], "TEXT"),
     "blank": ([" ", "\t \n"], "TEXT"),
@@ -120,6 +128,20 @@ def test_inferred_dates_apply(spark):
     assert tuple(apply_types(table, types).first()) == (dt.date(2024, 2, 3),) * 4
 
 
+def test_apply_inferred(spark):
+    table = spark.createDataFrame(
+        [("1", "2.5", "yes", "x", 9), ("2", "3", "no", "y", 8)],
+        "i string, d string, b string, t string, n int",
+    )
+    typed = apply_inferred(table)
+    assert dict(typed.dtypes) == {
+        "i": "int", "d": "decimal(38,18)", "b": "boolean", "t": "string", "n": "int"
+    }
+    assert [r.i for r in typed.collect()] == [1, 2]
+    assert dict(apply_inferred(table, ["i"]).dtypes)["d"] == "string"
+    assert apply_inferred(table.select("n")).dtypes == [("n", "int")]
+
+
 def test_spark_types():
     assert names.spark_type("serial") == T.IntegerType()
     assert names.spark_type("numeric(10, 2)") == T.DecimalType(10, 2)
