@@ -276,6 +276,19 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
        CASE WHEN date_trunc('second', ts) = ts THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
             ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts,
        event_type, CAST(value AS VARCHAR) AS value FROM events""",
+    "stringify_lists": r"""
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, string_split(source, 'c') AS parts,
+  string_split(text, chr(10)) AS lines FROM documents)
+SELECT doc_id, '[' || array_to_string(list_transform(parts, lambda x: '''' || x || ''''), ', ')
+    || ']' AS parts,
+  '[' || array_to_string(list_transform(list_transform(lines, lambda x:
+      replace(replace(replace(x, '\', '\\'), chr(13), '\r'), chr(9), '\t')), lambda x: CASE
+      WHEN contains(x, '''') AND NOT contains(x, '"') THEN '"' || x || '"'
+      ELSE '''' || replace(x, '''', '\''') || '''' END), ', ') || ']' AS lines
+FROM d""",
+    "apply_inferred_orders": """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d,
+       o_orderkey * 1000000 AS big, o_orderstatus = 'F' AS flag FROM orders""",
     "dedupe_columns": "SELECT c_custkey, c_name FROM customer",
     "list_tables": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"

@@ -19,7 +19,12 @@ from tablebridge.functions.text import stringify
 from tablebridge.operators.checks import column_stats, key_violations
 from tablebridge.operators.deltas import delta_page, delta_snapshot, latest_changes
 from tablebridge.operators.filters import filter_rows
-from tablebridge.operators.infer import apply_types, infer_types, rejected_values
+from tablebridge.operators.infer import (
+    apply_inferred,
+    apply_types,
+    infer_types,
+    rejected_values,
+)
 from tablebridge.operators.paging import next_page, number_rows, read_page
 from tablebridge.operators.schemas import (
     convert_catalog,
@@ -901,6 +906,22 @@ def stringify_events(spark, folder):
     return stringify(rows)
 
 
+@query
+def stringify_lists(spark, folder):
+    """Lists as text, over whole documents."""
+    rows = document_lists(source(spark, folder))["documents"]
+    return stringify(rows.select("doc_id", "parts", "lines"))
+
+
+@query
+def apply_inferred_orders(spark, folder):
+    """Text columns converted to the types found in them."""
+    texts = order_texts(source(spark, folder)).select(
+        "o_orderkey", "o_orderstatus", "d", "big", "flag"
+    )
+    return apply_inferred(texts)
+
+
 @named("dedupe_columns")
 def dedupe_customer_columns(spark, folder):
     customer = source(spark, folder).table("customer")
