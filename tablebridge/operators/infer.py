@@ -141,14 +141,36 @@ _REAL = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
 _REAL_WORDS = ("nan", "inf", "-inf", "+inf", "infinity", "-infinity", "+infinity")
 
 
-def typed_value(text: Column, type_name: str) -> Column:
-    """Text as a value of a target type; null where it is not one."""
+def _keeps_blanks(type_name: str) -> bool:
+    return isinstance(spark_type(type_name), (T.StringType, T.BinaryType))
+
+
+def _stripped_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """The frame with values to convert stripped, as a step of its own so that
+    each value is stripped once however often its conversion looks at it."""
+    unknown = set(types) - set(df.columns)
+    if unknown:
+        raise ValueError(f"no such columns: {sorted(unknown)}")
+    return df.select(
+        [
+            stripped(ref(name)).alias(name)
+            if name in types and not _keeps_blanks(types[name])
+            else ref(name)
+            for name in df.columns
+        ]
+    )
+
+
+def typed_value(value: Column, type_name: str) -> Column:
+    """Text as a value of a target type; null where it is not one.
+
+    Expects stripped text for all types that are not text themselves.
+    """
     dtype = spark_type(type_name)
     if isinstance(dtype, T.StringType):
-        return text
+        return value
     if isinstance(dtype, T.BinaryType):
-        return text.cast("binary")
-    value = stripped(text)
+        return value.cast("binary")
     if isinstance(dtype, T.ArrayType):
         inner = F.nullif(F.regexp_replace(value, r"^\{|\}$", ""), F.lit(""))
         return F.when(value.isNotNull(), F.coalesce(F.split(inner, ","), F.array().cast(dtype)))
@@ -178,10 +200,7 @@ def typed_value(text: Column, type_name: str) -> Column:
 
 def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Text columns converted to the named target types; others unchanged."""
-    unknown = set(types) - set(df.columns)
-    if unknown:
-        raise ValueError(f"no such columns: {sorted(unknown)}")
-    return df.select(
+    return _stripped_columns(df, types).select(
         [
             typed_value(ref(name), types[name]).alias(name) if name in types else ref(name)
             for name in df.columns
@@ -205,10 +224,9 @@ def apply_inferred(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def rejected_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """How many non-blank values of each column do not convert."""
     counts = [
-        F.count_if(
-            stripped(ref(name)).isNotNull()
-            & typed_value(ref(name), type_name).isNull()
-        ).alias(f"n{i}")
+        F.count_if(ref(name).isNotNull() & typed_value(ref(name), type_name).isNull()).alias(
+            f"n{i}"
+        )
         for i, (name, type_name) in enumerate(types.items())
     ]
     entries = [
@@ -219,4 +237,5 @@ def rejected_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
         )
         for i, (name, type_name) in enumerate(types.items())
     ]
-    return df.agg(*counts).select(F.inline(F.array(*entries)))
+    measured = _stripped_columns(df, types).agg(*counts)
+    return measured.select(F.inline(F.array(*entries)))
