@@ -703,14 +703,19 @@ FLAGSHIP = {
         where("part", "p_size", "BETWEEN", 5, "number", secondValue=40),
     ],
     "groupByFields": [{"table": "part", "field": "p_brand"}],
-    "having": [having("COUNT(*)", ">", 100)],
 }
 
 
+def flagship(spark: SparkSession, folder: str, more_than: int) -> DataFrame:
+    """Brands by orders and buyers, where a brand has enough line items."""
+    spec = {**FLAGSHIP, "having": [having("COUNT(*)", ">", more_than)]}
+    rows = source(spark, folder).query(spec)
+    return rows.withColumn("revenue", F.round("revenue", 2))
+
+
 @query
 def flagship_spec(spark, folder):
-    rows = source(spark, folder).query(FLAGSHIP)
-    return rows.withColumn("revenue", F.round("revenue", 2))
+    return flagship(spark, folder, 100)
 
 
 # ---- change data capture --------------------------------------------------

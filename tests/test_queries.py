@@ -21,7 +21,7 @@ def test_every_query_has_sql():
 def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.columns == ["p_brand", "n", "buyers", "revenue"]
-    rows.collect()
+    assert rows.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
