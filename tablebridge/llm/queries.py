@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.packing import pack_documents
+from tablebridge.llm.secrets import scan_secrets
 from tablebridge.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,5 +33,13 @@ def op7_count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary_path())
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op7_count_tokens)}
+def op8_scan_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op9_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op7_count_tokens, op8_scan_licenses, op9_scan_secrets)}
 ORACLES: dict[str, str] = {}
