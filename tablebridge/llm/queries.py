@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablebridge.llm.brown import score_texts
 from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.packing import pack_documents
 from tablebridge.llm.secrets import scan_secrets
@@ -41,5 +42,9 @@ def op9_scan_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op7_count_tokens, op8_scan_licenses, op9_scan_secrets)}
+def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
 ORACLES: dict[str, str] = {}
