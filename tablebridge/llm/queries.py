@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablebridge.llm.brown import score_texts
 from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.packing import pack_documents
+from tablebridge.llm.quality import classify_quality
 from tablebridge.llm.secrets import scan_secrets
 from tablebridge.llm.token_counts import count_tokens
 
@@ -30,6 +31,10 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary_path())
 
 
+def op6_classify_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_count_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"), vocabulary_path())
 
@@ -46,5 +51,5 @@ def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
 ORACLES: dict[str, str] = {}
