@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablebridge.llm.brown import score_texts
 from tablebridge.llm.licenses import scan_licenses
@@ -12,6 +13,7 @@ from tablebridge.llm.packing import pack_documents
 from tablebridge.llm.quality import classify_quality
 from tablebridge.llm.secrets import scan_secrets
 from tablebridge.llm.token_counts import count_tokens
+from tablebridge.llm.topk import top_inner_products
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,10 @@ def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary_path())
 
 
+def op4_top_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 def op6_classify_quality(spark: SparkSession, folder: str) -> DataFrame:
     return classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -51,5 +57,20 @@ def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_pack, op4_top_inner_products, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
+TOP_SQL = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM (SELECT * FROM rows WHERE vec_id % 20 = 0) q JOIN rows c ON q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op4_top_inner_products": TOP_SQL}
