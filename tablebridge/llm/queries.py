@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tablebridge.llm.brown import score_texts
 from tablebridge.llm.decontamination import find_contaminated
 from tablebridge.llm.licenses import scan_licenses
+from tablebridge.llm.lines import drop_recurring_lines
 from tablebridge.llm.packing import pack_documents
 from tablebridge.llm.quality import classify_quality
 from tablebridge.llm.secrets import scan_secrets
@@ -42,6 +43,11 @@ def op4_top_inner_products(spark: SparkSession, folder: str) -> DataFrame:
     return top_inner_products(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
 
 
+def op5_drop_recurring_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return drop_recurring_lines(docs, dropped="dropped")
+
+
 def op6_classify_quality(spark: SparkSession, folder: str) -> DataFrame:
     return classify_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -62,7 +68,7 @@ def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_find_contaminated, op3_pack, op4_top_inner_products, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_find_contaminated, op3_pack, op4_top_inner_products, op5_drop_recurring_lines, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
 TOP_SQL = """
 WITH rows AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
