@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.llm.filters import bit_filter, passes
 from tablebridge.llm.storage import stored
 from tablebridge.llm.words import chunks, mix, signed, words
 
@@ -117,33 +118,12 @@ def item_windows(items: DataFrame, masks: list[str]) -> DataFrame:
     return items.select("sequence", "tokens").mapInArrow(run, "hash long, sequence long, place int").dropDuplicates()
 
 
-def bit_filter(windows: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A filter that has three bits set for each hash; as many bytes as the filter has come to the driver."""
-    last = (1 << bits) - 1
-    spots = F.explode(F.array(*(F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(last).cast("long")) for s in (0, 20, 40))))
-    set_bits = windows.select(spots.alias("spot")).groupBy(F.shiftright("spot", 6).alias("word"))
-    words_set = set_bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("value")).toArrow()
-    table = np.zeros(max(1, 1 << bits >> 6), np.int64)
-    table[words_set["word"].to_numpy()] = words_set["value"].to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").view(bool)
-
-
-def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Places of the hashes that may be in the filter."""
-    last = np.uint64(len(table) - 1)
-    at = np.flatnonzero(table[hashes & last])
-    for shift in (20, 40):
-        at = at[table[(hashes[at] >> np.uint64(shift)) & last]]
-    return at
-
-
 def stretches(docs: DataFrame, row: str, text: str, masks: list[str], table: np.ndarray) -> DataFrame:
     """row (what column `row` has), start, tokens, hashes, places: the stretches of texts that hold windows which pass the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast((masks, np.packbits(table)))  # the filter's fixed size
+    shared = docs.sparkSession.sparkContext.broadcast((masks, table))  # the filter's fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_masks, packed = shared.value
-        bits = np.unpackbits(packed).view(bool)
+        own_masks, bits = shared.value
         for batch in batches:
             for a, _, data, offsets in chunks(batch.column(1)):
                 h, first = words(data, offsets, _WORD_BYTES)
@@ -216,7 +196,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, row: str, text: str, item: s
     lengths = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") < max(map(len, MASKS))).distinct().collect()]  # a dozen at most
     masks = masks_for(lengths)
     windows = stored(item_windows(items, masks), "benchmark-windows")
-    found = stored(stretches(docs, row, text, masks, bit_filter(windows)).withColumn("stretch", F.monotonically_increasing_id()), "stretches")
+    found = stored(stretches(docs, row, text, masks, bit_filter(windows, "hash", FILTER_BITS)).withColumn("stretch", F.monotonically_increasing_id()), "stretches")
     hits = found.select("stretch", F.explode(F.arrays_zip("hashes", "places")).alias("hit")).select("stretch", F.col("hit.hashes").alias("hash"), F.col("hit.places").alias("at"))
     pairs = hits.join(windows, "hash").select("stretch", "sequence", (F.col("at") - F.col("place")).alias("shift")).distinct()
     laid = pairs.join(found.select("stretch", "row", "start", "tokens"), "stretch").join(items.select("sequence", "item", F.col("tokens").alias("sequence_tokens")), "sequence")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tablebridge.llm.decontamination import bit_filter, passes
+from tablebridge.llm.filters import bit_filter, passes
 from tablebridge.llm.storage import stored
 from tablebridge.llm.words import LOWER, NOT_BLANK, chunks, mix, powers, signed, span_hashes, word_spans
 
@@ -31,6 +31,8 @@ LEAST_VARIABLE = 8
 AGREEMENT = 0.8
 #: Lines of a leaf that are compared with each other's templates in one piece of work.
 LEAF_ROWS = 1024
+#: Bits of the filter for leaves with several lines: 1 MB whatever the input's size.
+FILTER_BITS = 23
 #: Times that the templates of larger leaves are brought together.
 ROUNDS = 3
 
@@ -80,14 +82,13 @@ def line_rows(docs: DataFrame, row: str, text: str) -> DataFrame:
 
 def leaf_tokens(docs: DataFrame, text: str, table: np.ndarray) -> DataFrame:
     """leaf, print, codes (two bytes a token) of the lines long enough to vary whose leaf passes the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(table))  # the filter's fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(table)  # the filter's fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).view(bool)
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 p = parse_lines(data, offsets)
-                at = passes(bits, p["leaf"])
+                at = passes(shared.value, p["leaf"])
                 at = at[p["n"][at] >= LEAST_VARIABLE]
                 _, unique = np.unique(p["print"][at], return_index=True)
                 at = at[unique]
@@ -168,8 +169,8 @@ def templates_of(leaves: DataFrame) -> DataFrame:
 
 def generalise(docs: DataFrame, text: str, distinct: DataFrame) -> DataFrame:
     """print, template for the distinct lines (leaf, print) that share a leaf with others."""
-    shared_leaves = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select(F.col("leaf").alias("hash"))
-    own = stored(templates_of(leaf_tokens(docs, text, bit_filter(shared_leaves))), "line-templates")
+    shared_leaves = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
+    own = stored(templates_of(leaf_tokens(docs, text, bit_filter(shared_leaves, "leaf", FILTER_BITS))), "line-templates")
     for _ in range(ROUNDS - 1):
         split = own.where("pieces > 1")
         if split.isEmpty():

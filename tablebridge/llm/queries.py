@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.llm.brown import score_texts
 from tablebridge.llm.decontamination import find_contaminated
+from tablebridge.llm.jaccard import jaccard_groups
 from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.lines import drop_recurring_lines
 from tablebridge.llm.packing import pack_documents
@@ -35,6 +36,10 @@ def op1_find_contaminated(spark: SparkSession, folder: str) -> DataFrame:
     return find_contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"))
+
+
 def op3_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary_path())
 
@@ -68,7 +73,7 @@ def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_find_contaminated, op3_pack, op4_top_inner_products, op5_drop_recurring_lines, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_find_contaminated, op2_jaccard_groups, op3_pack, op4_top_inner_products, op5_drop_recurring_lines, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
 TOP_SQL = """
 WITH rows AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
