@@ -7,9 +7,13 @@ segment's subsets collide much, it can be left out, if another is indexed with a
 its neighbours with one element deleted, which finds pairs that differ there in one element;
 costs measured on all sets decide. What meets is verified on the sets themselves.
 
-Texts with the same set stand for one node. Nodes that meet are not paired all with all:
-each is verified against the least it met, the links found are closed, and only nodes
-that still lie in different components are verified against each other.
+Empty segments are equal in many sets. A few segments to spare let a set leave its empty ones out:
+even if all of its and its partner's are lost, enough remain for one to be equal.
+
+Texts with the same set stand for one node. Nodes that meet are not paired all with all: in
+each round every index key picks one of its nodes at random, every other node verifies the most
+alike of those it met, and the links found are closed. Once a round finds nothing more, nodes that met and still
+lie in different components are verified against each other, all that a parity sketch cannot rule out.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablebridge.llm.components import components
@@ -35,6 +39,10 @@ ROW_BITS = 25
 #: What verifying a pair costs, counted in rows of the index.
 PAIR_COST = 4.0
 _SIGNS = 4
+#: Rounds of random partners at most; what they leave is verified in full.
+ROUNDS = 3
+#: Longs of a parity sketch. Each differing element flips one bit, so unequal bits never exceed the difference.
+SKETCH = [f"p{i}" for i in range(8)]
 
 
 class Bands:
@@ -48,7 +56,10 @@ class Bands:
         self.low = np.array(low, np.int64)
         # Two sets of sizes s <= r that reach the share differ in at most (s + r)(1 - share)/(1 + share) elements.
         top = [x - 1 for x in low[1:]]
-        self.segments = np.array([int((s + int(s / share)) * (1 - share) / (1 + share)) + 1 for s in top] + [1], np.int64)
+        enough = np.array([int((s + int(s / share)) * (1 - share) / (1 + share)) + 1 for s in top] + [1], np.int64)
+        # Spare segments: a set may leave its empty ones out of the index as long as these are at most half the spare ones.
+        self.spare = np.where(enough < 12, 0, np.maximum(2, enough * 3 // 25))
+        self.segments = enough + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, size, side="right") - 1
@@ -98,16 +109,18 @@ def keys_of(grams: np.ndarray, first: np.ndarray, band: np.ndarray, bands: Bands
     owner, code, sums, start, end = segment_sums(grams, first, band, bands)
     seeded = sums + mix(code.astype(np.uint64))
     codes, kinds = exceptions
-    if not len(codes):
-        return owner, mix(seeded)
-    at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-    kind = np.where(codes[at] == code, kinds[at], 0)
+    kind = np.zeros(len(code), np.int64)
+    if len(codes):
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        kind = np.where(codes[at] == code, kinds[at], 0)
+    empty = start == end
+    lost = np.bincount(owner[empty], weights=1 + kind[empty], minlength=len(band))
+    keep = (kind >= 0) & ~(empty & (2 * lost <= bands.spare[band])[owner])
     near = np.flatnonzero(kind == 1)
     size = (end - start)[near]
     begin = np.concatenate(([0], np.cumsum(size)))
     element = np.repeat(start[near] - begin[:-1], size) + np.arange(begin[-1])
     fewer = np.repeat(seeded[near], size) - mix(grams[element])
-    keep = kind >= 0
     return np.concatenate((owner[keep], np.repeat(owner[near], size))), mix(np.concatenate((seeded[keep], fewer)))
 
 
@@ -131,8 +144,16 @@ class Seen:
         return np.sort(first[fresh])
 
 
+def parity_sketches(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each set a row of longs: bit b tells whether an odd number of elements hash to b."""
+    size, bits = np.diff(first), 64 * len(SKETCH)
+    spot = np.repeat(np.arange(len(size)) * bits, size) + (mix(grams ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(spot, minlength=len(size) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(len(size), len(SKETCH))
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """row, key, n (set size), print (0 for empty sets) of every row."""
+    """row, key, n (set size), print (0 for empty sets) and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,9 +161,11 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
                 grams, first = sets_of(data, offsets, width)
                 n = np.diff(first)
                 prints = np.where(n > 0, fingerprints(grams, first), np.uint64(0))
-                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(a, b - a) for j in (0, 1)), pa.array(n), pa.array(signed(prints))], ["row", "key", "n", "print"])
+                sketch = parity_sketches(grams, first).T
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(a, b - a) for j in (0, 1)), pa.array(n), pa.array(signed(prints)), *map(pa.array, sketch)], ["row", "key", "n", "print", *SKETCH])
 
-    return docs.select("row", "key", "text").mapInArrow(run, f"row long, key {docs.schema['key'].dataType.simpleString()}, n long, print long")
+    kind = docs.schema["key"].dataType.simpleString()
+    return docs.select("row", "key", "text").mapInArrow(run, f"row long, key {kind}, n long, print long, " + ", ".join(f"{c} long" for c in SKETCH))
 
 
 def segment_costs(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -266,6 +289,16 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long").distinct()
 
 
+def may_be_similar(percent: int, other: str = "_y") -> Column:
+    """What sizes and sketches of two nodes, whose columns end in `other` for the second, leave possible."""
+    n, m = F.col("n"), F.col(f"n{other}")
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (unequal_bits(other) * (100 + percent) <= (n + m) * (100 - percent))
+
+
+def unequal_bits(other: str = "_y") -> Column:
+    return sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}{other}"))) for c in SKETCH[1:]), F.bit_count(F.col(SKETCH[0]).bitwiseXOR(F.col(f"{SKETCH[0]}{other}"))))
+
+
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The linked ones among pairs (a, b) of nodes, written; sets are made anew from the texts that stand for the nodes."""
 
@@ -277,39 +310,70 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
 
 
 def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """key, hub, print, n, own: index entries of every key that two nodes or more have, and the key's least node."""
+    """key, print, own: index entries of every key that two nodes or more have."""
     kinds = segment_costs(docs, width, percent).groupBy("band").applyInPandas(allocate, "code long, kind int").toPandas().sort_values("code")
     exceptions = (kinds["code"].to_numpy(np.int64), kinds["kind"].to_numpy(np.int64))
     entries = index_entries(docs, width, percent, exceptions)
-    shared = entries.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("last")).where("hub <> last").select("key", "hub")
+    shared = entries.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("last")).where("hub <> last").select("key")
     shared = stored(shared, "jaccard-keys")
     again = index_entries(docs, width, percent, exceptions, bit_filter(shared, "key", KEY_BITS))
-    return stored(again.join(shared, "key"), "jaccard-members")
+    return stored(again.join(shared, "key").select("key", "print", "own"), "jaccard-members")
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """a, b: nodes that meet, may be similar by their sizes, and lie in different components so far."""
-    labelled = members.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    x = stored(labelled.join(mixed, "key").select("key", "print", "n", "own", "label").distinct(), "jaccard-open")
-    y = x.select("key", *(F.col(c).alias(f"{c}_y") for c in ("print", "n", "own", "label")))
-    close = F.least("n", "n_y") * 100 >= F.greatest("n", "n_y") * percent
-    return x.join(y, "key").where((F.col("print") > F.col("print_y")) & (F.col("label") != F.col("label_y")) & (F.col("own") | F.col("own_y")) & close).select(F.col("print").alias("a"), F.col("print_y").alias("b")).distinct()
+def unsettled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """key, print, own, label of the keys whose nodes lie in different components so far."""
+    if labels is None:
+        return members.withColumn("label", F.col("print"))
+    named = members.join(labels.select(F.col("node").alias("print"), "label"), "print", "left").withColumn("label", F.coalesce("label", "print"))
+    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    return stored(named.join(mixed, "key").select("key", "print", "own", "label"), "jaccard-open")
+
+
+def second(nodes: DataFrame, *names: str) -> DataFrame:
+    """Nodes with columns named as a pair's second."""
+    return nodes.select(*(F.col(c).alias(f"{c}_y") for c in ("print", "n", *SKETCH, *names)))
+
+
+def random_partners(members: DataFrame, nodes: DataFrame, turn: int, percent: int) -> DataFrame:
+    """a, b: for each node the most alike of those that its keys pick in this turn, if it may be similar."""
+    order = F.xxhash64("print", F.lit(turn))
+    picks = members.groupBy("key").agg(F.min(order).alias("pick"))
+    met = members.join(picks, "key").select("print", "label", "pick").distinct()
+    picked = members.select("print", "label").distinct().join(nodes, "print").withColumn("pick", order)
+    pairs = met.join(second(picked, "label", "pick").withColumnRenamed("pick_y", "pick"), "pick")
+    pairs = pairs.where("label <> label_y").join(nodes, "print").where(may_be_similar(percent))
+    best = pairs.groupBy(F.col("print").alias("a")).agg(F.min(F.struct(unequal_bits().alias("bits"), "print_y")).alias("best"))
+    return stored(best.select("a", F.col("best.print_y").alias("b")), "jaccard-pairs")
+
+
+def all_pairs_left(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """a, b: nodes that met, lie in different components and may be similar."""
+    x = members.join(nodes.select("print", "n", *SKETCH), "print")
+    y = x.select("key", *(F.col(c).alias(f"{c}_y") for c in x.columns if c != "key"))
+    apart = (F.col("print") > F.col("print_y")) & (F.col("label") != F.col("label_y")) & (F.col("own") | F.col("own_y"))
+    return x.join(y, "key").where(apart & may_be_similar(percent)).select(F.col("print").alias("a"), F.col("print_y").alias("b")).distinct()
 
 
 def near_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """row, key, n, component (a number) of every row of `docs` (row, key, text); rows with empty sets have none."""
     described = stored(describe(docs, width), "jaccard-sets")
-    nodes = stored(described.where("n > 0").groupBy("print").agg(F.min("row").alias("row")), "jaccard-nodes")
+    nodes = described.where("n > 0").groupBy("print").agg(*(F.min(c).alias(c) for c in ("row", "n", *SKETCH)))
+    nodes = stored(nodes, "jaccard-nodes")
     members = meetings(docs, width, percent)
-    first = members.where("print <> hub").groupBy("print").agg(F.min("hub").alias("b")).select(F.col("print").alias("a"), "b")
-    first = stored(first, "jaccard-pairs")
-    links = verify(first, nodes, docs, width, percent)
-    rest = stored(cross_pairs(members, components(links), percent).join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
-    more = verify(rest, nodes, docs, width, percent)
+    labels, links, tried = None, None, None
+    for turn in range(ROUNDS):
+        pairs = random_partners(unsettled(members, labels), nodes, turn, percent)
+        found = verify(pairs, nodes, docs, width, percent)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        if found.isEmpty():
+            break
+        labels = components(links)
+    rest = all_pairs_left(unsettled(members, labels), nodes, percent).join(tried, ["a", "b"], "left_anti")
+    more = verify(stored(rest, "jaccard-pairs"), nodes, docs, width, percent)
     labels = components(links.unionByName(more))
-    found = described.join(labels.select(F.col("node").alias("print"), "label"), "print", "left")
-    return found.select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("label", "print")).alias("component"))
+    named = described.join(labels.select(F.col("node").alias("print"), "label"), "print", "left")
+    return named.select("row", "key", "n", F.when(F.col("n") > 0, F.coalesce("label", "print")).alias("component"))
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
