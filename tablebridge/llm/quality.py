@@ -23,7 +23,8 @@ TRAIN_ROWS = 4000
 TRAIN_PASSAGES = 48
 HIDDEN = 24
 ATTENTION = 16
-EPOCHS = 60
+#: Steps of the fit, however few the rows are.
+STEPS = 1000
 BATCH = 256
 RATE = 0.01
 DECAY = 1e-4
@@ -145,10 +146,11 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Attention:
     weights[3] = rng.normal(0, 0.1, shapes[3])
     model = Attention(*weights)
     first, second = [np.zeros(s) for s in shapes], [np.zeros(s) for s in shapes]
-    t = 0
-    for epoch in range(EPOCHS if len(bags) else 0):
-        rate = RATE * (1 - epoch / EPOCHS)
-        for at in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // BATCH)):
+    parts = max(1, min(len(bags), 8), len(bags) // BATCH)
+    epochs, t = -(-STEPS // parts) if len(bags) else 0, 0
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
+        for at in np.array_split(rng.permutation(len(bags)), parts):
             x = np.concatenate([bags[i] for i in at])
             place = np.concatenate(([0], np.cumsum([len(bags[i]) for i in at])))
             t += 1

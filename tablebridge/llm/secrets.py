@@ -65,7 +65,7 @@ def upper_tail(x: float, freedom: int) -> float:
 def randomness(token: str) -> float:
     """Combined p-value of the battery: small if a token is not even, independent symbols of its encoding.
 
-    Chi-squared of the alphabet in equal bins, runs about the middle of the alphabet, and serial
+    Chi-squared of the whole alphabet, runs about the middle of the alphabet, and serial
     correlation, joined by Fisher's method. 0 for tokens without an encoding.
     """
     alphabet = infer_encoding(token)
@@ -76,10 +76,8 @@ def randomness(token: str) -> float:
     n, size = len(x), len(alphabet)
     if n < 8:
         return 0.0
-    bins = max(2, min(size, n // 4))
-    share = np.bincount(np.arange(size) * bins // size, minlength=bins) / size
-    seen = np.bincount(x.astype(np.int64) * bins // size, minlength=bins)
-    even = upper_tail(float((((seen - n * share) ** 2) / (n * share)).sum()), bins - 1)
+    seen = np.bincount(x.astype(np.int64), minlength=size)
+    even = upper_tail(float(((seen - n / size) ** 2).sum() * size / n), size - 1)
     high = x >= size / 2
     a, b = int(high.sum()), int((~high).sum())
     runs = 1 + int((high[1:] != high[:-1]).sum())
