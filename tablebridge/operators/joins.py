@@ -5,19 +5,23 @@ operator, target column)`` and a chain is a list of AND groups, ORed.
 
 * One group with an equality is a plain Spark join: Catalyst picks the strategy
   and AQE splits skewed partitions. AQE cannot split the optional side of an
-  outer join, so when a sample finds a hot key there, the join runs as an inner
-  join plus the rows without a match.
+  outer join, so keys that a sample finds hot there are joined apart: as an
+  inner join plus the rows without a match. All other keys are joined once.
 * Several groups would be one nested-loop join. They become one equi-join per
   group, each leaving out the pairs of the groups before it, so every pair comes
   out once.
 * A group without equality joins on ranges of one ordered column, so that no
   side is compared with all of the other. A nested loop is used only against a
   side that a size probe found small.
+
+Columns of different types are compared in one type, which the conditions name
+in every plan, so the choice of a plan never changes what matches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -26,12 +30,16 @@ from pyspark.sql import types as T
 
 from tablebridge.functions.naming import ref
 from tablebridge.operators.comparisons import ordered
-from tablebridge.operators.sizing import fits_broadcast, has_hot_key
+from tablebridge.operators.sizing import fits_broadcast, hot_keys
 
 Condition = tuple[str, str, str]
 Group = Sequence[Condition]
 
-RANGE_BUCKETS = 64
+# Rows of the sampled table per range, and how many ranges there are at most;
+# AQE splits what is still too large.
+ROWS_PER_RANGE = 5_000
+LEAST_RANGES, MOST_RANGES = 8, 256
+SAMPLE_ROWS = 4_000
 _MIRROR = {"=": "=", "!=": "!=", "<>": "<>", "<": ">", ">": "<", "<=": ">=", ">=": "<="}
 _RANGES = ("<", "<=", ">", ">=")
 
@@ -51,34 +59,55 @@ def join_frames(
     if how not in ("inner", "left", "right"):
         raise ValueError(f"unsupported join: {how!r}")
     if len(groups) == 1 and _has_equality(groups[0]):
-        if how == "inner" or not _may_be_hot(base, target, how, groups[0], base_is_table):
-            return base.join(target, _any(groups), how)
+        return _equal_join(base, target, how, groups[0], base_is_table)
 
+    compare = _Compare(base, target)
     ranges = _Ranges(target)
     if how == "right":
         mirrored = [[(t, _MIRROR[op], b) for b, op, t in group] for group in groups]
         loops = base_is_table and _loops(base, groups)
-        joined = _outer(target, base, mirrored, ranges, loops)
+        joined = _outer(target, base, mirrored, ranges, compare, loops)
     elif how == "left":
-        joined = _outer(base, target, groups, ranges, _loops(target, groups))
+        joined = _outer(base, target, groups, ranges, compare, _loops(target, groups))
     elif _loops(target, groups):
-        joined = base.join(F.broadcast(target), _any(groups), "inner")
+        joined = base.join(F.broadcast(target), compare.any(groups), "inner")
     else:
-        joined = _pairs(base, target, groups, ranges)
+        joined = _pairs(base, target, groups, ranges, compare)
     return joined.select([ref(name) for name in base.columns + target.columns])
 
 
-def _may_be_hot(
+def _equal_join(
     base: DataFrame, target: DataFrame, how: str, group: Group, base_is_table: bool
-) -> bool:
-    """Whether the optional side of an outer join may hold a hot key."""
-    if how == "left":
-        optional, keys = target, [name for _, operator, name in group if operator == "="]
-    elif base_is_table:
-        optional, keys = base, [name for name, operator, _ in group if operator == "="]
-    else:
-        return True
-    return not fits_broadcast(optional) and has_hot_key(optional, keys)
+) -> DataFrame:
+    """A join with an equality. Only a table is asked for hot keys."""
+    compare = _Compare(base, target)
+    plain = base.join(target, compare.all(group), how)
+    if how == "inner":
+        return plain
+    own = [(b, t) for b, operator, t in group if operator == "="]
+    optional, at = (target, 1) if how == "left" else (base, 0)
+    if (how == "right" and not base_is_table) or fits_broadcast(optional):
+        return plain
+    if any(compare.types[b] != compare.types[t] for b, t in own):
+        return plain
+    hot = hot_keys(optional, [pair[at] for pair in own])
+    if not hot:
+        return plain
+
+    def is_hot(side: int) -> Column:
+        found = [
+            reduce(lambda a, b: a & b, [ref(pair[side]) == F.lit(v) for pair, v in zip(own, key)])
+            for key in hot
+        ]
+        return F.coalesce(reduce(lambda a, b: a | b, found), F.lit(False))
+
+    kept, other = (base, target) if how == "left" else (target, base)
+    mine, theirs = (0, 1) if how == "left" else (1, 0)
+    chain = group if how == "left" else [(t, _MIRROR[op], b) for b, op, t in group]
+    usual = kept.where(~is_hot(mine)).join(other.where(~is_hot(theirs)), compare.all(chain), "left")
+    apart = _outer(kept.where(is_hot(mine)), other.where(is_hot(theirs)), [chain], _Ranges(target), compare, False)
+    names = [ref(name) for name in base.columns + target.columns]
+    return usual.select(names).unionByName(apart.select(names))
 
 
 def _loops(side: DataFrame, groups: Sequence[Group]) -> bool:
@@ -88,14 +117,19 @@ def _loops(side: DataFrame, groups: Sequence[Group]) -> bool:
 
 
 def _outer(
-    kept: DataFrame, other: DataFrame, groups: Sequence[Group], ranges: _Ranges, loops: bool
+    kept: DataFrame,
+    other: DataFrame,
+    groups: Sequence[Group],
+    ranges: _Ranges,
+    compare: _Compare,
+    loops: bool,
 ) -> DataFrame:
     """All matching pairs, plus the rows of ``kept`` without one."""
     if loops:
-        return kept.join(F.broadcast(other), _any(groups), "left")
-    pairs = _pairs(kept, other, groups, ranges)
+        return kept.join(F.broadcast(other), compare.any(groups), "left")
+    pairs = _pairs(kept, other, groups, ranges, compare)
     lonely = reduce(
-        lambda rows, group: _without_match(rows, other, group, ranges), groups, kept
+        lambda rows, group: _without_match(rows, other, group, ranges, compare), groups, kept
     )
     padded = lonely.select(
         "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
@@ -104,88 +138,193 @@ def _outer(
 
 
 def _pairs(
-    left: DataFrame, right: DataFrame, groups: Sequence[Group], ranges: _Ranges
+    left: DataFrame,
+    right: DataFrame,
+    groups: Sequence[Group],
+    ranges: _Ranges,
+    compare: _Compare,
 ) -> DataFrame:
     """Every pair that some group accepts, from the first group that does."""
     branches = []
     for index, group in enumerate(groups):
-        pairs = _group_pairs(left, right, group, ranges)
+        pairs = _group_pairs(left, right, group, ranges, compare)
         if index:
-            earlier = F.coalesce(_any(groups[:index]), F.lit(False))
+            earlier = F.coalesce(compare.any(groups[:index]), F.lit(False))
             pairs = pairs.where(~earlier)
         branches.append(pairs)
     return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-def _group_pairs(left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges) -> DataFrame:
+def _group_pairs(
+    left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges, compare: _Compare
+) -> DataFrame:
     if _has_equality(group):
-        return left.join(right, _all(group), "inner")
-    for index, (name, operator, other) in enumerate(group):
-        if operator in ("!=", "<>"):
-            # Two disjoint ranges instead of everything but one value.
-            rest = [c for i, c in enumerate(group) if i != index]
-            below = _group_pairs(left, right, [(name, "<", other), *rest], ranges)
-            above = _group_pairs(left, right, [(name, ">", other), *rest], ranges)
-            return below.unionByName(above)
-    return _range_pairs(left, right, group, ranges)
+        return left.join(right, compare.all(group), "inner")
+    if not any(operator in _RANGES for _, operator, _ in group):
+        # Two disjoint ranges instead of everything but one value.
+        (name, _, other), *rest = group
+        below = _group_pairs(left, right, [(name, "<", other), *rest], ranges, compare)
+        above = _group_pairs(left, right, [(name, ">", other), *rest], ranges, compare)
+        return below.unionByName(above)
+    return _range_pairs(left, right, group, ranges, compare)
+
+
+class _Compare:
+    """Conditions between columns of two frames, each in the one type both sides are cast to."""
+
+    def __init__(self, base: DataFrame, target: DataFrame):
+        self._base, self._target = base, target
+        self.types = {f.name: f.dataType for f in base.schema.fields + target.schema.fields}
+        self._common: dict[frozenset[str], T.DataType] = {}
+
+    def type_of(self, *names: str) -> T.DataType:
+        """The type that columns are compared in: text gives way to numbers, times and truth values."""
+        key = frozenset(names)
+        if key not in self._common:
+            kinds = [self.types[name] for name in names]
+            values = [F.lit(None).cast(kind) for kind in kinds if not isinstance(kind, T.StringType)]
+            if len(values) < len(kinds) and values:
+                only = self._base.sparkSession.range(0).select(F.coalesce(*values)).schema[0].dataType
+                if isinstance(only, T.IntegralType):
+                    only = T.LongType()
+                elif isinstance(only, T.NumericType):
+                    only = T.DoubleType()
+            else:
+                only = self._base.sparkSession.range(0).select(F.coalesce(*values)).schema[0].dataType if values else T.StringType()
+            self._common[key] = only
+        return self._common[key]
+
+    def value(self, name: str, kind: T.DataType) -> Column:
+        return ref(name) if self.types[name] == kind else ref(name).cast(kind)
+
+    def one(self, condition: Condition) -> Column:
+        name, operator, other = condition
+        kind = self.type_of(name, other)
+        return ordered(self.value(name, kind), operator, self.value(other, kind))
+
+    def all(self, group: Group) -> Column:
+        return reduce(lambda a, b: a & b, [self.one(condition) for condition in group])
+
+    def any(self, groups: Sequence[Group]) -> Column:
+        return reduce(lambda a, b: a | b, [self.all(group) for group in groups])
 
 
 class _Ranges:
-    """Buckets of equal width over the values of a table's column."""
+    """Ranges of a table's column that hold about as many rows each."""
 
     def __init__(self, table: DataFrame):
         self._table = table
-        self._bounds: dict[str, tuple[float, float]] = {}
-
-    def bucket(self, place: Column, *names: str) -> Column:
-        """The bucket of a position; whatever lies outside joins the ends.
-
-        The bounds are those of the one named column that the table has.
-        """
-        lo, hi = self._of(next(name for name in names if name in self._table.columns))
-        scaled = (place - lo) * RANGE_BUCKETS / ((hi - lo) or 1.0)
-        last = F.lit(float(RANGE_BUCKETS - 1))
-        return F.floor(F.greatest(F.least(scaled, last), F.lit(0.0))).cast("int")
-
-    def _of(self, name: str) -> tuple[float, float]:
-        if name not in self._bounds:
-            place = _position(self._table, name)
-            found = self._table.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
-            self._bounds[name] = (float(found["lo"] or 0), float(found["hi"] or 0))
-        return self._bounds[name]
-
-
-def _range_pairs(left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges) -> DataFrame:
-    """A join on the first range condition, by buckets of its column.
+        self._bounds: dict[tuple[str, str], list] = {}
+
+    def bounds(self, compare: _Compare, kind: T.DataType, *names: str) -> list:
+        """Ascending values of type ``kind`` that part the ranges, from the table's one of ``names``."""
+        name = next(name for name in names if name in self._table.columns)
+        key = (name, kind.simpleString())
+        if key not in self._bounds:
+            value = compare.value(name, kind)
+            known = self._table.select(value.alias("value")).where("value is not null")
+            rows = known.count()
+            count = min(MOST_RANGES, max(LEAST_RANGES, rows // ROWS_PER_RANGE))
+            share = min(1.0, SAMPLE_ROWS / max(rows, 1))
+            sampled = known if share == 1.0 else known.sample(share, seed=11)
+            found = [row[0] for row in sampled.orderBy("value").limit(2 * SAMPLE_ROWS).collect()]
+            picked = [found[len(found) * i // count] for i in range(1, count)] if found else []
+            self._bounds[key] = [v for i, v in enumerate(picked) if not i or v != picked[i - 1]]
+        return self._bounds[key]
+
+
+def _range_of(value: Column, bounds: list, kind: T.DataType) -> Column:
+    """How many bounds are at most ``value``, by a search tree; it never decreases with the value."""
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(bounds[middle]).cast(kind), tree(low, middle)).otherwise(tree(middle + 1, high))
+
+    return tree(0, len(bounds))
+
+
+@dataclass
+class _Band:
+    """One column's values, and the columns of the other side that bound them."""
+
+    point: str
+    point_is_right: bool
+    low: str | None
+    high: str | None
+
+
+def _band(group: Group, compare: _Compare) -> _Band:
+    """The column of either side that is bounded on both ends if there is one, else on one end."""
+    found: list[_Band] = []
+    for right in (True, False):
+        lows: dict[str, str] = {}
+        highs: dict[str, str] = {}
+        for name, operator, other in group:
+            if operator in _RANGES:
+                point, bound = (other, name) if right else (name, other)
+                below = operator in ("<", "<=")  # the base value is below the target's
+                (lows if below == right else highs).setdefault(point, bound)
+        for point in {**lows, **highs}:
+            low, high = lows.get(point), highs.get(point)
+            if low and high and compare.type_of(point, low) != compare.type_of(point, high):
+                high = None
+            found.append(_Band(point, right, low, high))
+    return max(found, key=lambda band: (band.low is not None) + (band.high is not None))
+
+
+def _range_pairs(
+    left: DataFrame, right: DataFrame, group: Group, ranges: _Ranges, compare: _Compare
+) -> DataFrame:
+    """A join by ranges of one column's values.
 
-    A right row lies in one bucket; a left row visits only the buckets that can
-    hold a match. The bucket never decreases with the value, so no match is
-    lost, and the full condition is still checked. AQE splits crowded buckets.
+    A row with the value lies in one range; a row with the bounds visits the ranges
+    between them. Both count the same bounds in the type of the comparison, so
+    no match is lost, and the full condition is still checked.
     """
-    name, operator, other = next(c for c in group if c[1] in _RANGES)
-    own = ranges.bucket(_position(left, name), name, other)
-    if operator in ("<", "<="):
-        visits = F.sequence(own, F.lit(RANGE_BUCKETS - 1))
-    else:
-        visits = F.sequence(F.lit(0), own)
-    held = ranges.bucket(_position(right, other), name, other)
-    seekers = left.where(ref(name).isNotNull()).select("*", F.explode(visits).alias("__visit"))
-    found = right.where(ref(other).isNotNull()).select("*", held.alias("__bucket"))
-    joined = seekers.join(found, (F.col("__visit") == F.col("__bucket")) & _all(group), "inner")
-    return joined.drop("__visit", "__bucket")
+    band = _band(group, compare)
+    names = [name for name in (band.point, band.low, band.high) if name]
+    kind = compare.type_of(*names[:2])
+    bounds = ranges.bounds(compare, kind, *names)
+    points, seekers = (right, left) if band.point_is_right else (left, right)
+
+    def place(name: str) -> Column:
+        return _range_of(compare.value(name, kind), bounds, kind)
+
+    first = place(band.low) if band.low else F.lit(0)
+    last = place(band.high) if band.high else F.lit(len(bounds))
+    usable = reduce(lambda a, b: a & b, [ref(name).isNotNull() for name in names[1:]])
+    if band.low and band.high:
+        usable = usable & (first <= last)
+    visiting = seekers.where(usable).select("*", F.explode(F.sequence(first, last)).alias("__visit"))
+    held = points.where(ref(band.point).isNotNull()).select("*", place(band.point).alias("__range"))
+    joined = visiting.join(held, (F.col("__visit") == F.col("__range")) & compare.all(group), "inner")
+    return joined.select([ref(name) for name in left.columns + right.columns])
 
 
 def _without_match(
-    rows: DataFrame, other: DataFrame, group: Group, ranges: _Ranges
+    rows: DataFrame, other: DataFrame, group: Group, ranges: _Ranges, compare: _Compare
 ) -> DataFrame:
     """Rows of ``rows`` that the group matches with no row of ``other``."""
+    if len(group) == 1 and not _has_equality(group):
+        # Some value lies beyond another if the greatest or the least does: one row decides.
+        name, operator, target = group[0]
+        value = compare.value(target, compare.type_of(name, target))
+        ends = other.agg(F.min(value).alias("__least"), F.max(value).alias("__most"))
+        own = compare.value(name, compare.type_of(name, target))
+        least, most = F.col("__least"), F.col("__most")
+        hit = ordered(own, operator, most if operator in ("<", "<=") else least)
+        if operator in ("!=", "<>"):
+            hit = (own != least) | (own != most)
+        return rows.join(F.broadcast(ends), hit, "left_anti")  # one row
     wanted = other.select([ref(name) for name in sorted({o for _, _, o in group})]).distinct()
     if _has_equality(group):
-        return rows.join(wanted, _all(group), "left_anti")
+        return rows.join(wanted, compare.all(group), "left_anti")
     # Only the compared columns decide whether a row has a match.
     compared = sorted({name for name, _, _ in group})
     asked = rows.select([ref(name) for name in compared]).distinct()
-    matched = _group_pairs(asked, wanted, group, ranges).select(
+    matched = _group_pairs(asked, wanted, group, ranges, compare).select(
         [ref(name).alias(f"__m{i}") for i, name in enumerate(compared)]
     ).distinct()
     same = reduce(
@@ -195,32 +334,5 @@ def _without_match(
     return rows.join(matched, same, "left_anti")
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """A number that never decreases when the value increases."""
-    column, dtype = ref(name), df.select(ref(name)).schema[0].dataType
-    if isinstance(dtype, T.StringType):
-        # The first six bytes as a number; a double holds them exactly.
-        head = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return column.cast("int").cast("double")
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.unix_date(column.cast("date")).cast("double")
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # Bucket arithmetic needs finite ends; NaN sorts above infinity.
-        big = F.lit(1e300)
-        finite = F.greatest(F.least(column.cast("double"), big), -big)
-        return F.when(F.isnan(column), big).otherwise(finite)
-    return column.cast("double")
-
-
 def _has_equality(group: Group) -> bool:
     return any(operator == "=" for _, operator, _ in group)
-
-
-def _all(group: Group) -> Column:
-    return reduce(lambda a, b: a & b, [ordered(ref(b), op, ref(t)) for b, op, t in group])
-
-
-def _any(groups: Sequence[Group]) -> Column:
-    return reduce(lambda a, b: a | b, [_all(group) for group in groups])

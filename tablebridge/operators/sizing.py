@@ -47,13 +47,18 @@ SAMPLE = 0.01
 SAMPLE_SEED = 11
 
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> bool:
-    """Whether one key value holds more than ``share`` of the rows, by a sample.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
+    """Key values that hold more than ``share`` of the rows, by a sample; at most ``1 / share`` of them.
 
     Reads the key columns only; the sample is grouped where it is read.
     """
     known = reduce(lambda a, b: a & b, [ref(name).isNotNull() for name in keys])
     sample = df.select([ref(name) for name in keys]).where(known).sample(SAMPLE, SAMPLE_SEED)
-    counts = sample.groupBy(*[ref(name) for name in keys]).agg(F.count(F.lit(1)).alias("n"))
-    found = counts.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
-    return found["rows"] is not None and found["largest"] > max(100, share * found["rows"])
+    counts = sample.groupBy(*[ref(name) for name in keys]).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.persist()
+    try:
+        rows = counts.agg(F.sum("__n")).first()[0] or 0
+        most = counts.where(F.col("__n") > max(100, share * rows)).collect()
+    finally:
+        counts.unpersist()
+    return [tuple(row[name] for name in keys) for row in most]
