@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -201,15 +200,16 @@ def segment_costs(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return sums.withColumn("band", F.shiftright("code", 32))
 
 
-def allocate(costs: pd.DataFrame) -> pd.DataFrame:
+def allocate(costs: pa.Table) -> pa.Table:
     """Exceptions of one band: code, kind.
 
     The costliest segment is left out if another with its deletions costs less than it; and so on with the next.
     """
-    rows = costs["rows"].to_numpy(np.float64)
-    meet = np.maximum((costs[[f"s{j}" for j in range(_SIGNS)]].to_numpy(np.float64) ** 2).mean(axis=1) - rows, 0) / 2
+    codes, rows, elements = (costs[c].to_numpy() for c in ("code", "rows", "elements"))
+    squares = np.mean([costs[f"s{j}"].to_numpy().astype(np.float64) ** 2 for j in range(_SIGNS)], axis=0)
+    meet = np.maximum(squares - rows, 0) / 2
     equal = rows + PAIR_COST * meet
-    deleted = costs["elements"].to_numpy(np.float64) + PAIR_COST * meet * (1 + costs["elements"].to_numpy(np.float64) / np.maximum(rows, 1))
+    deleted = elements + PAIR_COST * meet * (1 + elements / np.maximum(rows, 1))
     dear, cheap = np.argsort(-equal, kind="stable"), np.argsort(deleted, kind="stable")
     out, near, used, at = [], [], set(), 0
     for i in dear.tolist():
@@ -220,8 +220,8 @@ def allocate(costs: pd.DataFrame) -> pd.DataFrame:
         used |= {i, int(cheap[at])}
         out.append(i)
         near.append(int(cheap[at]))
-    codes = costs["code"].to_numpy()
-    return pd.DataFrame({"code": np.concatenate((codes[out], codes[near])).astype(np.int64), "kind": np.repeat([-1, 1], [len(out), len(near)]).astype(np.int32)})
+    kinds = np.repeat([-1, 1], [len(out), len(near)]).astype(np.int32)
+    return pa.table({"code": pa.array(np.concatenate((codes[out], codes[near])), pa.int64()), "kind": pa.array(kinds)})
 
 
 def index_entries(docs: DataFrame, width: int, percent: int, exceptions: tuple[np.ndarray, np.ndarray], keep_keys: np.ndarray | None = None) -> DataFrame:
@@ -311,8 +311,8 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
 
 def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """key, print, own: index entries of every key that two nodes or more have."""
-    kinds = segment_costs(docs, width, percent).groupBy("band").applyInPandas(allocate, "code long, kind int").toPandas().sort_values("code")
-    exceptions = (kinds["code"].to_numpy(np.int64), kinds["kind"].to_numpy(np.int64))
+    kinds = segment_costs(docs, width, percent).groupBy("band").applyInArrow(allocate, "code long, kind int").toArrow().sort_by("code")
+    exceptions = (kinds["code"].to_numpy(), kinds["kind"].to_numpy().astype(np.int64))
     entries = index_entries(docs, width, percent, exceptions)
     shared = entries.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("last")).where("hub <> last").select("key")
     shared = stored(shared, "jaccard-keys")

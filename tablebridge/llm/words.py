@@ -2,7 +2,7 @@
 
 A text column arrives in a task as one buffer of bytes with offsets. Words are
 found and hashed on that buffer with numpy, so no text becomes a Python string.
-Work goes on in chunks of about a megabyte of whole texts, which bounds memory.
+Work goes on in chunks of about half a megabyte of whole texts, which bounds memory.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_RADIX), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}

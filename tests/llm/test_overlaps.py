@@ -8,7 +8,7 @@ import re
 
 import corpus_pipeline
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tablebridge.llm import decontamination, jaccard, lines
@@ -125,11 +125,12 @@ def test_sketches_never_rule_out_a_link():
 
 
 def test_allocation_trades_dear_segments_for_deletions():
-    costs = pd.DataFrame({"code": np.arange(5), "band": 0, "rows": [100] * 5, "elements": [800, 100, 800, 800, 800], **{f"s{j}": [10, 10, 10, 95, 10] for j in range(4)}})
-    out = jaccard.allocate(costs)
+    def costs(third):
+        return pa.table({"code": range(5), "band": [0] * 5, "rows": [100] * 5, "elements": [800, 100, 800, 800, 800], **{f"s{j}": [10, 10, 10, third, 10] for j in range(4)}})
+
+    out = jaccard.allocate(costs(95)).to_pydict()
     assert dict(zip(out["code"], out["kind"], strict=True)) == {3: -1, 1: 1}
-    costs[[f"s{j}" for j in range(4)]] = 10
-    assert not len(jaccard.allocate(costs))
+    assert not len(jaccard.allocate(costs(10)))
 
 
 def test_components(spark):
