@@ -7,8 +7,9 @@ segment's subsets collide much, it can be left out, if another is indexed with a
 its neighbours with one element deleted, which finds pairs that differ there in one element;
 costs measured on all sets decide. What meets is verified on the sets themselves.
 
-Empty segments are equal in many sets. A few segments to spare let a set leave its empty ones out:
-even if all of its and its partner's are lost, enough remain for one to be equal.
+Empty segments, and those with nothing but a common passage, are equal in many sets. With segments to
+spare, linked sets have several keys in common, so each may leave out its empty segments and then its most
+frequent keys, up to half of the spare ones: whatever its partner leaves out, one common key remains.
 
 Texts with the same set stand for one node. Nodes that meet are not paired all with all: in
 each round every index key picks one of its nodes at random, every other node verifies the most
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablebridge.llm.components import components
 from tablebridge.llm.filters import bit_filter, passes
@@ -56,8 +58,7 @@ class Bands:
         # Two sets of sizes s <= r that reach the share differ in at most (s + r)(1 - share)/(1 + share) elements.
         top = [x - 1 for x in low[1:]]
         enough = np.array([int((s + int(s / share)) * (1 - share) / (1 + share)) + 1 for s in top] + [1], np.int64)
-        # Spare segments: a set may leave its empty ones out of the index as long as these are at most half the spare ones.
-        self.spare = np.where(enough < 12, 0, np.maximum(2, enough * 3 // 25))
+        self.spare = np.where(enough < 12, 0, np.maximum(4, enough * 7 // 25))
         self.segments = enough + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
@@ -99,8 +100,8 @@ def segment_sums(grams: np.ndarray, first: np.ndarray, band: np.ndarray, bands:
     return of_segment, code, total[edge[1:]] - total[edge[:-1]], edge[:-1], edge[1:]
 
 
-def keys_of(grams: np.ndarray, first: np.ndarray, band: np.ndarray, bands: Bands, exceptions: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, key) of all index entries of sets cut as in `band`.
+def keys_of(grams: np.ndarray, first: np.ndarray, band: np.ndarray, bands: Bands, exceptions: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner and key of all index entries of sets cut as in `band`, and how many entries each set may still leave out.
 
     A segment gives one key, its subset's. Exceptions name segments that give none (-1), or
     also the keys of the subset with one element deleted (1).
@@ -113,14 +114,22 @@ def keys_of(grams: np.ndarray, first: np.ndarray, band: np.ndarray, bands: Bands
         at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
         kind = np.where(codes[at] == code, kinds[at], 0)
     empty = start == end
-    lost = np.bincount(owner[empty], weights=1 + kind[empty], minlength=len(band))
-    keep = (kind >= 0) & ~(empty & (2 * lost <= bands.spare[band])[owner])
+    half = bands.spare[band] // 2
+    # Each set leaves out its first empty segments, as many as half of the spare ones weigh up.
+    weight = np.where(empty, 1 + kind, 0)
+    so_far = np.cumsum(weight)
+    so_far -= np.repeat((so_far - weight)[np.searchsorted(owner, np.arange(len(band)))], bands.segments[band]) if len(band) else 0
+    left_out = empty & (so_far <= half[owner])
+    lost = np.bincount(owner[left_out], weights=weight[left_out], minlength=len(band))
+    keep = (kind >= 0) & ~left_out
     near = np.flatnonzero(kind == 1)
     size = (end - start)[near]
     begin = np.concatenate(([0], np.cumsum(size)))
     element = np.repeat(start[near] - begin[:-1], size) + np.arange(begin[-1])
     fewer = np.repeat(seeded[near], size) - mix(grams[element])
-    return np.concatenate((owner[keep], np.repeat(owner[near], size))), mix(np.concatenate((seeded[keep], fewer)))
+    # Where deletions are indexed, one common segment counts as two, so no more is left out there.
+    more = np.where(np.bincount(owner[near], minlength=len(band)) == 0, half - lost, 0).astype(np.int64)
+    return np.concatenate((owner[keep], np.repeat(owner[near], size))), mix(np.concatenate((seeded[keep], fewer))), more
 
 
 def subset(grams: np.ndarray, first: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,8 +177,8 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
 
 
 def segment_costs(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """band, place and what indexing a segment costs: rows, elements, and signed sums whose squares estimate the pairs that meet."""
-    names = ["code", "rows", "elements", *(f"s{j}" for j in range(_SIGNS))]
+    """band, place and what indexing a segment costs: rows, elements, rows with one element or none, and signed sums whose squares estimate the pairs that meet."""
+    names = ["code", "rows", "elements", "tiny", *(f"s{j}" for j in range(_SIGNS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen, parts = Bands(percent), Seen(), []
@@ -188,8 +197,9 @@ def segment_costs(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 grams, first = subset(grams, first, keep)
                 _, code, sums, start, end = segment_sums(grams, first, band[keep], bands)
                 key = mix(sums + mix(code.astype(np.uint64)))
-                signs = [((key >> np.uint64(j)) & np.uint64(1)).astype(np.float64) * 2 - 1 for j in range(_SIGNS)]
-                parts.append([code, np.ones(len(code)), (end - start).astype(np.float64), *signs])
+                size = end - start
+                signs = [(((key >> np.uint64(j)) & np.uint64(1)).astype(np.float64) * 2 - 1) * (size > 0) for j in range(_SIGNS)]
+                parts.append([code, np.ones(len(code)), size.astype(np.float64), (size <= 1).astype(np.float64), *signs])
             if parts:
                 parts = [summed()]
         if parts:
@@ -205,11 +215,12 @@ def allocate(costs: pa.Table) -> pa.Table:
 
     The costliest segment is left out if another with its deletions costs less than it; and so on with the next.
     """
-    codes, rows, elements = (costs[c].to_numpy() for c in ("code", "rows", "elements"))
+    codes, rows, elements, tiny = (costs[c].to_numpy() for c in ("code", "rows", "elements", "tiny"))
     squares = np.mean([costs[f"s{j}"].to_numpy().astype(np.float64) ** 2 for j in range(_SIGNS)], axis=0)
     meet = np.maximum(squares - rows, 0) / 2
     equal = rows + PAIR_COST * meet
-    deleted = elements + PAIR_COST * meet * (1 + elements / np.maximum(rows, 1))
+    # With one element deleted, all segments of one element or none meet.
+    deleted = elements + PAIR_COST * (meet * (1 + elements / np.maximum(rows, 1)) + tiny.astype(np.float64) ** 2 / 2)
     dear, cheap = np.argsort(-equal, kind="stable"), np.argsort(deleted, kind="stable")
     out, near, used, at = [], [], set(), 0
     for i in dear.tolist():
@@ -225,7 +236,10 @@ def allocate(costs: pa.Table) -> pa.Table:
 
 
 def index_entries(docs: DataFrame, width: int, percent: int, exceptions: tuple[np.ndarray, np.ndarray], keep_keys: np.ndarray | None = None) -> DataFrame:
-    """key, print, n, own: entries of the sets in their own band, and in the band below where they probe (own is false)."""
+    """key, print, own, spare: entries of the sets in their own band, and in the band below where they probe (own is false).
+
+    Without a filter only the keys come.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((exceptions, keep_keys))  # the exceptions, and a filter of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,16 +259,18 @@ def index_entries(docs: DataFrame, width: int, percent: int, exceptions: tuple[n
                     # One segment means that only equal sets are linked, and these are one node already.
                     meets = (bands.segments[cut] > 1) & (own | ((cut >= 0) & (least < bands.low[band])))
                     rows, at = keep[meets], cut[meets]
-                    owner, key = keys_of(*subset(grams, first, rows), at, bands, unusual)
-                    if table is not None:
-                        some = passes(table, key)
-                        owner, key = owner[some], key[some]
+                    owner, key, spare = keys_of(*subset(grams, first, rows), at, bands, unusual)
+                    if table is None:
+                        yield pa.RecordBatch.from_arrays([pa.array(signed(key))], ["key"])
+                        continue
+                    some = passes(table, key)
+                    owner = owner[some]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(key)), pa.array(signed(prints[rows][owner])), pa.array(n[meets][owner]), pa.array(np.full(len(key), own))],
-                        ["key", "print", "n", "own"],
+                        [pa.array(signed(key[some])), pa.array(signed(prints[rows][owner])), pa.array(np.full(len(owner), own)), pa.array(spare[owner])],
+                        ["key", "print", "own", "spare"],
                     )
 
-    return docs.select("text").mapInArrow(run, "key long, print long, n long, own boolean")
+    return docs.select("text").mapInArrow(run, "key long" if keep_keys is None else "key long, print long, own boolean, spare long")
 
 
 def node_sets(docs: DataFrame, width: int, wanted: np.ndarray) -> DataFrame:
@@ -310,14 +326,15 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
 
 
 def meetings(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """key, print, own: index entries of every key that two nodes or more have."""
+    """key, print, own: the index entries that nodes can meet by, without each node's most frequent spare ones."""
     kinds = segment_costs(docs, width, percent).groupBy("band").applyInArrow(allocate, "code long, kind int").toArrow().sort_by("code")
     exceptions = (kinds["code"].to_numpy(), kinds["kind"].to_numpy().astype(np.int64))
-    entries = index_entries(docs, width, percent, exceptions)
-    shared = entries.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("last")).where("hub <> last").select("key")
+    shared = index_entries(docs, width, percent, exceptions).groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     shared = stored(shared, "jaccard-keys")
-    again = index_entries(docs, width, percent, exceptions, bit_filter(shared, "key", KEY_BITS))
-    return stored(again.join(shared, "key").select("key", "print", "own"), "jaccard-members")
+    again = index_entries(docs, width, percent, exceptions, bit_filter(shared, "key", KEY_BITS)).distinct()
+    frequent = Window.partitionBy("print", "own").orderBy(F.desc("times"), "key")
+    kept = again.join(shared, "key").withColumn("place", F.row_number().over(frequent)).where("place > spare")
+    return stored(kept.select("key", "print", "own"), "jaccard-members")
 
 
 def unsettled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -329,21 +346,20 @@ def unsettled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return stored(named.join(mixed, "key").select("key", "print", "own", "label"), "jaccard-open")
 
 
-def second(nodes: DataFrame, *names: str) -> DataFrame:
+def second(nodes: DataFrame) -> DataFrame:
     """Nodes with columns named as a pair's second."""
-    return nodes.select(*(F.col(c).alias(f"{c}_y") for c in ("print", "n", *SKETCH, *names)))
+    return nodes.select(*(F.col(c).alias(f"{c}_y") for c in ("print", "n", *SKETCH)))
 
 
 def random_partners(members: DataFrame, nodes: DataFrame, turn: int, percent: int) -> DataFrame:
-    """a, b: for each node the most alike of those that its keys pick in this turn, if it may be similar."""
+    """a, b: for each node the one that most of its keys pick in this turn, if it may be similar."""
     order = F.xxhash64("print", F.lit(turn))
     picks = members.groupBy("key").agg(F.min(order).alias("pick"))
-    met = members.join(picks, "key").select("print", "label", "pick").distinct()
-    picked = members.select("print", "label").distinct().join(nodes, "print").withColumn("pick", order)
-    pairs = met.join(second(picked, "label", "pick").withColumnRenamed("pick_y", "pick"), "pick")
-    pairs = pairs.where("label <> label_y").join(nodes, "print").where(may_be_similar(percent))
-    best = pairs.groupBy(F.col("print").alias("a")).agg(F.min(F.struct(unequal_bits().alias("bits"), "print_y")).alias("best"))
-    return stored(best.select("a", F.col("best.print_y").alias("b")), "jaccard-pairs")
+    picked = members.select(order.alias("pick"), F.col("print").alias("print_y"), F.col("label").alias("label_y")).distinct()
+    met = members.join(picks, "key").groupBy("print", "label", "pick").agg(F.count("*").alias("times")).join(picked, "pick").where("label <> label_y")
+    best = met.groupBy("print").agg(F.max(F.struct("times", "print_y")).alias("best")).select("print", "best.print_y")
+    pairs = best.join(nodes, "print").join(second(nodes), "print_y").where(may_be_similar(percent))
+    return stored(pairs.select(F.col("print").alias("a"), F.col("print_y").alias("b")), "jaccard-pairs")
 
 
 def all_pairs_left(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
