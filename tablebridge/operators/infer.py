@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -14,8 +15,11 @@ from tablebridge.functions.naming import ref
 from tablebridge.functions.text import value_text
 from tablebridge.functions.types import spark_type
 
+_log = logging.getLogger(__name__)
+
 # What a column must hold, throughout, to be of a type. The types
-# are tried in the order boolean, integer, decimal, date, timestamp, text.
+# are tried in the order boolean, integer, decimal, date, timestamp, text. Digits
+# are those of any script, which Java writes as \p{Nd}: its \d is ASCII only.
 BOOLEAN_WORDS = ("true", "false", "1", "0", "yes", "no", "y", "n")
 INTEGER = r"^-?\p{Nd}+$"
 DECIMAL = r"^-?\p{Nd}+\.\p{Nd}+$"
@@ -38,41 +42,54 @@ _DATES = tuple(1 << (4 + i) for i in range(len(DATE_FORMS)))
 _STAMPS = tuple(1 << (8 + i) for i in range(len(TIMESTAMP_FORMS)))
 
 # Fixed value: the characters that count as blank around a value.
-BLANK = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CORE = rf"(?s)^[{BLANK}]*(.*[^{BLANK}])[{BLANK}]*$"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# Columns that one pass measures together.
+COLUMNS_AT_ONCE = 40
 
 
 def stripped(text: Column) -> Column:
-    """Text without surrounding blanks; null when nothing is left."""
-    return F.nullif(F.regexp_extract(text, _CORE, 1), F.lit(""))
+    """Text without surrounding blanks; empty when nothing is left."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: ``column_name`` and the ``inferred`` target type.
 
-    Nulls and blank values say nothing. Each row becomes one row per column, so
-    one expression serves any number of columns, and a map task reduces them to
-    two numbers per column before the shuffle: the questions every value passes,
-    as bits, and the longest value.
+    Nulls and blank values say nothing. A map task reduces each column to two
+    numbers before the shuffle: the questions every value passes, as bits, and the
+    longest value. Wide tables are measured ``COLUMNS_AT_ONCE`` columns at a time.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     names = list(columns or fields)
-    texts = df.select(F.posexplode(F.array(*[_text(ref(n), fields[n]) for n in names])))
-    # One null per column, so that a table without rows has columns too.
-    nulls = df.sparkSession.range(len(names)).select(
-        F.col("id").cast("int").alias("pos"), F.lit(None).cast("string").alias("col")
-    )
-    values = texts.unionByName(nulls).select("pos", stripped(F.col("col")).alias("value"))
-    measured = values.groupBy("pos").agg(
-        F.bit_and(_answers(F.col("value"))).alias("bits"),
-        F.max(F.length("value")).alias("length"),
+    parts = [names[i : i + COLUMNS_AT_ONCE] for i in range(0, len(names), COLUMNS_AT_ONCE)]
+    return reduce(lambda a, b: a.unionByName(b), [_inferred(df, part, fields) for part in parts])
+
+
+def _inferred(df: DataFrame, names: Sequence[str], fields: Mapping[str, T.DataType]) -> DataFrame:
+    texts = df.select(
+        [stripped(_text(ref(name), fields[name])).alias(f"v{i}") for i, name in enumerate(names)]
     )
-    return measured.select(
-        F.element_at(F.array(*[F.lit(name) for name in names]), F.col("pos") + 1).alias(
-            "column_name"
-        ),
-        _verdict(F.col("bits"), F.col("length")).alias("inferred"),
+    values = [F.when(F.col(f"v{i}") != "", F.col(f"v{i}")) for i in range(len(names))]
+    measured = texts.select(
+        [_answers(value).alias(f"a{i}") for i, value in enumerate(values)]
+        + [F.length(value).alias(f"l{i}") for i, value in enumerate(values)]
+    ).agg(
+        *[F.bit_and(f"a{i}").alias(f"a{i}") for i in range(len(names))],
+        *[F.max(f"l{i}").alias(f"l{i}") for i in range(len(names))],
     )
+    entries = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            _verdict(F.col(f"a{i}"), F.col(f"l{i}")).alias("inferred"),
+        )
+        for i, name in enumerate(names)
+    ]
+    return measured.select(F.inline(F.array(*entries)))
 
 
 def _text(column: Column, dtype: T.DataType) -> Column:
@@ -151,16 +168,31 @@ def _stripped_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     unknown = set(types) - set(df.columns)
     if unknown:
         raise ValueError(f"no such columns: {sorted(unknown)}")
-    return df.select(
+    changed = [name for name in df.columns if name in types and not _keeps_blanks(types[name])]
+    bare = df.select(
+        [stripped(ref(name)).alias(name) if name in changed else ref(name) for name in df.columns]
+    )
+    return bare.select(
         [
-            stripped(ref(name)).alias(name)
-            if name in types and not _keeps_blanks(types[name])
-            else ref(name)
+            F.when(ref(name) != "", ref(name)).alias(name) if name in changed else ref(name)
             for name in df.columns
         ]
     )
 
 
+def converts(value: Column, type_name: str) -> Column:
+    """Whether stripped text is a value of the target type, with nothing of it lost."""
+    whole = typed_value(value, type_name).isNotNull()
+    dtype = spark_type(type_name)
+    if isinstance(dtype, T.DecimalType):
+        fraction = F.rtrim(F.regexp_extract(value, r"\.(\d*)$", 1), F.lit("0"))
+        return whole & ~value.rlike("[eE]") & (F.length(fraction) <= dtype.scale)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        fraction = F.rtrim(F.regexp_extract(value, r":\d\d\.(\d+)", 1), F.lit("0"))
+        return whole & (F.length(fraction) <= 6)
+    return whole
+
+
 def typed_value(value: Column, type_name: str) -> Column:
     """Text as a value of a target type; null where it is not one.
 
@@ -198,8 +230,20 @@ def typed_value(value: Column, type_name: str) -> Column:
     return F.when(value.rlike(r"^\d{4}-\d{1,2}"), value.try_cast(dtype))
 
 
-def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Text columns converted to the named target types; others unchanged."""
+def apply_types(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
+    """Text columns converted to the named target types; others unchanged.
+
+    What does not convert becomes null, as ``rejected_values`` counts; with
+    ``strict`` it raises, before anything is converted.
+    """
+    if strict:
+        lost = {
+            row["column_name"]: row["rejected"]
+            for row in rejected_values(df, types).collect()
+            if row["rejected"]
+        }
+        if lost:
+            raise ValueError(f"values that do not convert whole, by column: {lost}")
     return _stripped_columns(df, types).select(
         [
             typed_value(ref(name), types[name]).alias(name) if name in types else ref(name)
@@ -208,25 +252,36 @@ def apply_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     )
 
 
-def apply_inferred(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def apply_inferred(
+    df: DataFrame, columns: Sequence[str] | None = None, strict: bool = False
+) -> DataFrame:
     """Text columns converted to the types their values have.
 
-    The types, one name per column, are worked out first.
+    The types, one name per column, and the number of values that would be lost are
+    worked out first. A column that does not convert whole stays text, which is
+    logged; with ``strict`` it raises instead.
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     wanted = [name for name in texts if columns is None or name in columns]
     if not wanted:
         return df
     found = {row["column_name"]: row["inferred"] for row in infer_types(df, wanted).collect()}
-    return apply_types(df, found)
+    lost = {
+        row["column_name"]: row["rejected"]
+        for row in rejected_values(df, found).collect()
+        if row["rejected"]
+    }
+    if lost and strict:
+        raise ValueError(f"values that do not convert whole, by column: {lost}")
+    if lost:
+        _log.warning("columns left as text, by values that do not convert whole: %s", lost)
+    return apply_types(df, {name: kind for name, kind in found.items() if name not in lost})
 
 
 def rejected_values(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """How many non-blank values of each column do not convert."""
+    """How many non-blank values of each column do not convert, or not without loss."""
     counts = [
-        F.count_if(ref(name).isNotNull() & typed_value(ref(name), type_name).isNull()).alias(
-            f"n{i}"
-        )
+        F.count_if(ref(name).isNotNull() & ~converts(ref(name), type_name)).alias(f"n{i}")
         for i, (name, type_name) in enumerate(types.items())
     ]
     entries = [

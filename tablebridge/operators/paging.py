@@ -3,7 +3,8 @@
 A shallow page is a top-k, which Spark runs without a full sort. A deep page
 would pull everything before it through one task, so it is read from a numbered
 copy instead: one distributed sort gives every row its number, and any page is
-then a range of numbers.
+then a range of numbers. Both order rows by the key columns, nulls first, and then
+by a hash of the row, so pages fit together whichever way each was read.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablebridge.functions.hashing import range_partitioned
+from tablebridge.functions.hashing import range_partitioned, row_hash
 from tablebridge.functions.naming import name_list, ref
 from tablebridge.functions.text import stringify
 from tablebridge.operators.filters import filter_rows
@@ -33,18 +34,25 @@ def page(
     filters: Any = None,
     strict: bool = False,
     top_k_rows: int = TOP_K_ROWS,
+    copy: str | None = None,
 ) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of the key columns.
 
-    The order must be a key for pages to be repeatable.
+    Past ``top_k_rows`` it needs ``copy``, the path that ``number_rows`` returned for
+    the same rows and order: sorting them all again for every page would not do.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
     rows = filter_rows(df, filters, strict)
     if offset + limit <= top_k_rows:
         order = [ref(name) for name in name_list(order_by)]
-        return rows.orderBy(*order).offset(offset).limit(limit)
-    return read_page(df.sparkSession, number_rows(rows, order_by), offset, limit)
+        return rows.orderBy(*order, row_hash(rows)).offset(offset).limit(limit)
+    if copy is None:
+        raise ValueError(
+            f"a page that ends past row {top_k_rows} is read from a numbered copy: "
+            "pass copy=number_rows(rows, order_by)"
+        )
+    return read_page(df.sparkSession, copy, offset, limit)
 
 
 def page_text(
@@ -60,7 +68,9 @@ def next_page(
     """The page that follows the key values of the last row seen.
 
     Unlike an offset this skips nothing it has to read first: the key bound is
-    pushed down to the scan and the limit is a plain top-k.
+    pushed down to the scan and the limit is a plain top-k. Nulls come first, in
+    the bound as in the order. The columns together must be a key: rows that share
+    all their values with the last one seen would not follow it.
     """
     names = name_list(order_by)
     if after is not None:
@@ -68,9 +78,12 @@ def next_page(
             raise ValueError("one value per key column is required")
         bound, equal = F.lit(False), F.lit(True)
         for name, value in zip(names, after):
-            bound = bound | (equal & (ref(name) > F.lit(value)))
-            equal = equal & (ref(name) == F.lit(value))
-        df = df.where((ref(names[0]) >= F.lit(after[0])) & bound)
+            beyond = ref(name).isNotNull() if value is None else ref(name) > F.lit(value)
+            bound = bound | (equal & beyond)
+            equal = equal & ref(name).eqNullSafe(F.lit(value))
+        if after[0] is not None:
+            bound = (ref(names[0]) >= F.lit(after[0])) & bound
+        df = df.where(bound)
     return df.orderBy(*[ref(name) for name in names]).limit(limit)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 _BALANCES = """(SELECT *, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS bal FROM customer)"""
 
 _LINE_ORDER = "lineitem l INNER JOIN orders o ON l.l_orderkey = o.o_orderkey"
@@ -46,6 +48,52 @@ _POSTGRES_NAMES = """['smallint', 'integer', 'bigint', 'numeric', 'decimal', 're
  'timestamp with time zone', 'interval', 'json', 'jsonb', 'uuid', 'USER-DEFINED', 'point', 'bytea']"""
 _POSTGRES_DECLARED = "['numeric(', 'character varying(', 'timestamp(', 'bit(', 'time (', 'uuid(']"
 
+# The given tables: columns in order, each with the first letter of its type name.
+_TABLES = {
+    "region": "r_regionkey:n r_name:s",
+    "nation": "n_nationkey:n n_name:s n_regionkey:n",
+    "customer": "c_custkey:n c_name:s c_nationkey:n c_acctbal:n c_mktsegment:s",
+    "supplier": "s_suppkey:n s_name:s s_nationkey:n s_acctbal:n",
+    "part": "p_partkey:n p_name:s p_brand:s p_type:s p_size:n p_retailprice:n",
+    "orders": "o_orderkey:n o_custkey:n o_orderstatus:s o_totalprice:n o_orderdate:D "
+    "o_orderpriority:s",
+    "lineitem": "l_orderkey:n l_partkey:n l_suppkey:n l_linenumber:n l_quantity:n "
+    "l_extendedprice:n l_discount:n l_tax:n l_returnflag:s l_linestatus:s l_shipdate:D",
+    "events": "event_id:n ts:D user_id:n event_type:s value:n props:s",
+    "documents": "doc_id:n text:s lang:s source:s n_chars:n",
+    "embeddings": "vec_id:n embedding:a label:n",
+    "pages": "page_id:n url:s html:s",
+    "benchmark": "item_id:n text:s",
+    "labels": "doc_id:n quality:n toxic:n",
+    "conversations": "conv_id:n turn:n role:s text:s",
+}
+_KINDS = {"n": "number", "s": "string", "D": "Date", "a": "number[]"}
+
+
+def _described() -> str:
+    """One row per column of each table; text columns with their greatest length."""
+    rows = []
+    for table, columns in _TABLES.items():
+        for position, entry in enumerate(columns.split(), 1):
+            name, kind = entry.split(":")
+            length = f"(SELECT max(length({name})) FROM {table})" if kind == "s" else "NULL"
+            rows.append(
+                f"SELECT '{table}' AS table_name, {position} AS position, '{name}' AS name, "
+                f"'{_KINDS[kind]}' AS type, CAST({length} AS INTEGER) AS length"
+            )
+    return " UNION ALL ".join(rows)
+
+
+def _stats(table: str, texts: dict[str, str]) -> str:
+    """Counts and ends of columns, each with the text form of its values."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(*) - count({name}) AS nulls, "
+        f"count(DISTINCT {name}) AS distincts, {text.format(f'min({name})')} AS lo, "
+        f"{text.format(f'max({name})')} AS hi FROM {table}"
+        for name, text in texts.items()
+    )
+
+
 ORACLES = {
     "scan_full": "SELECT * FROM supplier",
     "scan_split_counts": """
@@ -63,6 +111,9 @@ FROM orders WHERE o_orderstatus = 'F' ORDER BY orders.o_orderkey LIMIT 50 OFFSET
     "page_next": """
 SELECT * FROM orders WHERE o_custkey > 700 OR (o_custkey = 700 AND o_orderkey > 0)
 ORDER BY o_custkey, o_orderkey LIMIT 50""",
+    "page_walk": """
+WITH r AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation, c_custkey FROM customer)
+SELECT nation, c_custkey, 'offset' AS how FROM r UNION ALL SELECT nation, c_custkey, 'after' FROM r""",
     "preview": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus LIMIT 100",
     "count_filtered": """
 SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000""",
@@ -149,6 +200,14 @@ SELECT s.s_suppkey, c.c_custkey FROM supplier s RIGHT JOIN customer c ON s.s_sup
     "j_theta": """
 SELECT s.s_suppkey, n.n_nationkey FROM supplier s
 INNER JOIN nation n ON s.s_nationkey > n.n_nationkey""",
+    "j_theta_large": """
+SELECT e.event_id, o.o_orderkey FROM events e JOIN orders o
+ON o.o_orderkey BETWEEN e.event_id * 3 AND e.event_id * 3 + 2 WHERE e.event_id % 7 <> 0""",
+    "j_theta_left": """
+SELECT e.event_id, o.o_orderkey FROM events e LEFT JOIN orders o
+ON o.o_orderkey BETWEEN e.event_id * 3 AND e.event_id * 3 + 2 AND e.event_id % 7 <> 0""",
+    "j_theta_mixed": """
+SELECT o.o_orderkey, l.l_orderkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "j_compound_and": """
 SELECT o.o_orderkey, l.l_linenumber, l.l_partkey FROM orders o
 INNER JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND o.o_orderdate < l.l_shipdate""",
@@ -229,6 +288,11 @@ SELECT CASE WHEN o_orderdate >= DATE '1996-12-01' AND o_orderdate < DATE '1997-0
     "part_list": """
 SELECT coalesce(CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus END, 'default') AS part,
        count(*) AS n FROM orders GROUP BY 1""",
+    "part_list_odd": f"""
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'a-b'
+  WHEN o_orderstatus = 'O' THEN 'a_b' ELSE 'default' END AS odd FROM orders)
+SELECT o_orderkey, odd, CASE odd WHEN 'a-b' THEN 'a_b' WHEN 'a_b' THEN 'a_b_{zlib.crc32(b"a_b"):08x}'
+  WHEN 'default' THEN 'default_{zlib.crc32(b"default"):08x}' ELSE 'default' END AS part FROM r""",
     "part_range_read": """
 SELECT o_orderkey, o_orderdate FROM orders
 WHERE o_orderdate >= DATE '1996-11-15' AND o_orderdate < DATE '1997-02-01'""",
@@ -239,15 +303,21 @@ HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
     "unique_index_violations": """
 SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
 WHERE c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
-    "column_stats": """
-SELECT 'o_custkey' AS column_name, count(*) - count(o_custkey) AS nulls,
-       count(DISTINCT o_custkey) AS distincts, CAST(min(o_custkey) AS VARCHAR) AS lo,
-       CAST(max(o_custkey) AS VARCHAR) AS hi FROM orders
-UNION ALL
-SELECT 'o_orderstatus', count(*) - count(o_orderstatus), count(DISTINCT o_orderstatus),
-       min(o_orderstatus), max(o_orderstatus) FROM orders""",
+    "column_stats": _stats(
+        "orders",
+        {
+            "o_orderkey": "CAST({} AS VARCHAR)",
+            "o_custkey": "CAST({} AS VARCHAR)",
+            "o_orderstatus": "{}",
+            "o_totalprice": "CAST({} AS VARCHAR)",
+            "o_orderdate": "strftime({}, '%Y-%m-%d %H:%M:%S')",
+            "o_orderpriority": "{}",
+        },
+    ),
     "layout_roundtrip": "SELECT * FROM orders",
     "reload_roundtrip": "SELECT * FROM customer",
+    "truncate_and_reload": """
+SELECT c_custkey, c_name, CAST(0 AS BIGINT) AS left_after_truncate FROM customer WHERE c_custkey % 2 = 0""",
     "create_table_insert": "SELECT c_custkey AS id, c_name AS name, 'n/a' AS note FROM customer",
     # schemas and types
     "infer_types": f"""
@@ -274,8 +344,8 @@ UNION ALL SELECT 'd', 'DATE', count(*) FILTER (TRY_CAST(d AS DATE) IS NULL) FROM
     "stringify": """
 SELECT CAST(event_id AS VARCHAR) AS event_id,
        CASE WHEN date_trunc('second', ts) = ts THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts,
-       event_type, CAST(value AS VARCHAR) AS value FROM events""",
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S.%f') END AS ts, CAST(user_id AS VARCHAR) AS user_id,
+       event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
     "stringify_lists": r"""
 WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, string_split(source, 'c') AS parts,
   string_split(text, chr(10)) AS lines FROM documents)
@@ -289,6 +359,12 @@ FROM d""",
     "apply_inferred_orders": """
 SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d,
        o_orderkey * 1000000 AS big, o_orderstatus = 'F' AS flag FROM orders""",
+    "apply_inferred_rejects": """
+SELECT CAST(doc_id AS INTEGER) AS id, text,
+       '1234567890123' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS large,
+       CASE WHEN doc_id % 2 = 0 THEN '13/02/2024' ELSE '02/13/2024' END AS day,
+       CAST(n_chars AS VARCHAR) || '.1234567890123456789012' AS fine FROM documents""",
+    "bytes_as_text": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text AS body FROM documents",
     "dedupe_columns": "SELECT c_custkey, c_name FROM customer",
     "list_tables": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
@@ -297,29 +373,7 @@ SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, CAST(o_orderdat
             "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
         )
     ),
-    "describe_columns": """
-WITH lengths AS (
-  SELECT 'o_orderstatus' AS name, max(length(o_orderstatus)) AS length FROM orders
-  UNION ALL SELECT 'o_orderpriority', max(length(o_orderpriority)) FROM orders
-  UNION ALL SELECT 'event_type', max(length(event_type)) FROM events
-  UNION ALL SELECT 'props', max(length(props)) FROM events
-  UNION ALL SELECT 'text', max(length(text)) FROM documents
-  UNION ALL SELECT 'lang', max(length(lang)) FROM documents
-  UNION ALL SELECT 'source', max(length(source)) FROM documents),
-columns(table_name, position, name, type) AS (VALUES
-  ('orders', 1, 'o_orderkey', 'number'), ('orders', 2, 'o_custkey', 'number'),
-  ('orders', 3, 'o_orderstatus', 'string'), ('orders', 4, 'o_totalprice', 'number'),
-  ('orders', 5, 'o_orderdate', 'Date'), ('orders', 6, 'o_orderpriority', 'string'),
-  ('events', 1, 'event_id', 'number'), ('events', 2, 'ts', 'Date'),
-  ('events', 3, 'user_id', 'number'), ('events', 4, 'event_type', 'string'),
-  ('events', 5, 'value', 'number'), ('events', 6, 'props', 'string'),
-  ('embeddings', 1, 'vec_id', 'number'), ('embeddings', 2, 'embedding', 'number[]'),
-  ('embeddings', 3, 'label', 'number'),
-  ('documents', 1, 'doc_id', 'number'), ('documents', 2, 'text', 'string'),
-  ('documents', 3, 'lang', 'string'), ('documents', 4, 'source', 'string'),
-  ('documents', 5, 'n_chars', 'number'))
-SELECT table_name, position, name, type, CAST(length AS INTEGER) AS length
-FROM columns LEFT JOIN lengths USING (name)""",
+    "describe_columns": _described(),
     "schema_sqlserver": f"""
 WITH c AS (
   SELECT p_brand AS table_name, CAST(p_partkey AS INTEGER) AS position,

@@ -25,7 +25,8 @@ from tablebridge.operators.infer import (
     infer_types,
     rejected_values,
 )
-from tablebridge.operators.paging import next_page, number_rows, read_page
+from tablebridge.operators.joins import join_frames
+from tablebridge.operators.paging import next_page, number_rows, page, read_page
 from tablebridge.operators.schemas import (
     convert_catalog,
     dedupe_columns,
@@ -40,7 +41,13 @@ from tablebridge.sinks.partitions import (
     read_partitioned,
     write_target,
 )
-from tablebridge.sinks.tables import create_table, insert_rows, reload_files
+from tablebridge.sinks.tables import (
+    create_table,
+    insert_rows,
+    reload_files,
+    reload_table,
+    truncate_table,
+)
 from tablebridge.sources.factory import open_source
 from tablebridge.sources.splits import map_batches, with_splits
 from tablebridge.streaming.deltas import stored_deltas, stream_deltas
@@ -226,6 +233,24 @@ def page_next(spark, folder):
     return next_page(orders, ["o_custkey", "o_orderkey"], [700, 0], 50)
 
 
+@query
+def page_walk(spark, folder):
+    """All pages of a nullable order, after the last key and by offset across the switch."""
+    customer = source(spark, folder).table("customer")
+    rows = customer.select(F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")).alias("nation"), "c_custkey")
+    names, size = ["nation", "c_custkey"], rows.count() // 8 + 1
+    copy = number_rows(rows, names)
+    pages, after = [], None
+    for number in range(8):
+        pages.append(page(rows, names, number * size, size, top_k_rows=4 * size, copy=copy).withColumn("how", F.lit("offset")))
+        found = next_page(rows, names, after, size)
+        last = found.orderBy(*[F.col(name).desc() for name in names]).first()
+        if last is not None:
+            after = list(last)
+            pages.append(found.withColumn("how", F.lit("after")))
+    return reduce(lambda a, b: a.unionByName(b), pages)
+
+
 @query
 def preview(spark, folder):
     statement = "SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderstatus;"
@@ -511,6 +536,50 @@ specified(
         "joins": [join("nation", ("s_nationkey", ">", "n_nationkey"))],
     },
 )
+
+
+def bands(spark: SparkSession, folder: str, how: str) -> DataFrame:
+    """Events against orders whose key lies in a narrow band of the event's number."""
+    origin = source(spark, folder)
+    number = F.col("event_id")
+    spans = origin.table("events").select(
+        number.alias("e.id"),
+        (number * 3).alias("e.low"),
+        F.when(number % 7 != 0, number * 3 + 2).alias("e.high"),
+    )
+    orders = origin.table("orders").select(F.col("o_orderkey").alias("o.key"))
+    group = [("e.low", "<=", "o.key"), ("e.high", ">=", "o.key")]
+    found = join_frames(spans, orders, how, [group])
+    return found.select(F.col("`e.id`").alias("event_id"), F.col("`o.key`").alias("o_orderkey"))
+
+
+@query
+def j_theta_large(spark, folder):
+    """A band between two tables that are too large for a nested loop."""
+    return bands(spark, folder, "inner")
+
+
+@query
+def j_theta_left(spark, folder):
+    """The band again, with the events that no order meets."""
+    return bands(spark, folder, "left")
+
+
+@query
+def j_theta_mixed(spark, folder):
+    """A band whose bounds are text and whose values are numbers."""
+    origin = source(spark, folder)
+    lines = origin.table("lineitem").select(F.col("l_orderkey").alias("l.key"))
+    orders = origin.table("orders").select(
+        F.col("o_orderkey").alias("o.key"),
+        F.col("o_orderkey").cast("string").alias("o.low"),
+        (F.col("o_orderkey") + 1).cast("string").alias("o.high"),
+    )
+    group = [("l.key", ">=", "o.low"), ("l.key", "<", "o.high")]
+    found = join_frames(lines, orders, "inner", [group])
+    return found.select(F.col("`o.key`").alias("o_orderkey"), F.col("`l.key`").alias("l_orderkey"))
+
+
 specified(
     "j_compound_and",
     {
@@ -792,6 +861,18 @@ def part_list(spark, folder):
     return _label_counts(read_partitioned(spark, path, schema))
 
 
+@query
+def part_list_odd(spark, folder):
+    """Listed values whose labels would be the same, one of them named as the default."""
+    status = F.col("o_orderstatus")
+    odd = F.when(status == "F", "a-b").when(status == "O", "a_b").otherwise("default")
+    orders = source(spark, folder).table("orders")
+    rows = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, odd).alias("odd"))
+    path = scratch_path(spark, "odd")
+    schema = write_target(rows, path, "odd", "LIST", values=["a-b", "a_b", "default"])
+    return read_partitioned(spark, path, schema).select("o_orderkey", "odd", "part")
+
+
 @query
 def part_range_read(spark, folder):
     """A date range read from its own partitions only."""
@@ -825,7 +906,7 @@ def unique_index_violations(spark, folder):
 
 @named("column_stats")
 def column_stats_orders(spark, folder):
-    return column_stats(source(spark, folder).table("orders"), ["o_custkey", "o_orderstatus"])
+    return column_stats(source(spark, folder).table("orders"))
 
 
 @query
@@ -847,6 +928,23 @@ def reload_roundtrip(spark, folder):
     return reload_files(source(spark, folder).scan("customer"), scratch_path(spark, "reload"))
 
 
+@query
+def truncate_and_reload(spark, folder):
+    """A filled table, emptied, filled again and reloaded with other rows."""
+    customer = source(spark, folder).table("customer").select("c_custkey", "c_name")
+    path = scratch_path(spark, "filled")
+    columns = [{"name": "c_custkey", "type": "BIGINT"}, {"name": "c_name", "type": "TEXT"}]
+    table = create_table(spark, path.rsplit("/", 1)[1].replace("-", "_"), columns, path)
+    insert_rows(customer, table)
+    truncate_table(spark, table)
+    emptied = spark.table(table).count()
+    insert_rows(customer, table)
+    reload_table(customer.where("c_custkey % 2 = 0"), table)
+    spark.sql(f"DROP TABLE {table}")
+    stored = spark.read.schema(customer.schema).parquet(path)
+    return stored.withColumn("left_after_truncate", F.lit(emptied))
+
+
 @query
 def create_table_insert(spark, folder):
     columns = [
@@ -907,8 +1005,7 @@ def rejected_order_values(spark, folder):
 
 @named("stringify")
 def stringify_events(spark, folder):
-    rows = source(spark, folder).table("events").select("event_id", "ts", "event_type", "value")
-    return stringify(rows)
+    return stringify(source(spark, folder).table("events"))
 
 
 @query
@@ -927,6 +1024,28 @@ def apply_inferred_orders(spark, folder):
     return apply_inferred(texts)
 
 
+@query
+def apply_inferred_rejects(spark, folder):
+    """Whole texts with columns that look typed but do not convert whole: they stay text."""
+    documents = source(spark, folder).table("documents")
+    number = F.col("doc_id")
+    texts = documents.select(
+        F.col("doc_id").cast("string").alias("id"),
+        "text",
+        F.concat(F.lit("1234567890123"), F.lpad(number.cast("string"), 9, "0")).alias("large"),
+        F.when(number % 2 == 0, "13/02/2024").otherwise("02/13/2024").alias("day"),
+        F.concat(F.col("n_chars").cast("string"), F.lit(".1234567890123456789012")).alias("fine"),
+    )
+    return apply_inferred(texts)
+
+
+@query
+def bytes_as_text(spark, folder):
+    """Binary columns as text, over whole documents."""
+    documents = source(spark, folder).table("documents")
+    return stringify(documents.select("doc_id", F.col("text").cast("binary").alias("body")))
+
+
 @named("dedupe_columns")
 def dedupe_customer_columns(spark, folder):
     customer = source(spark, folder).table("customer")
@@ -955,7 +1074,7 @@ def list_tables(spark, folder):
 def describe_columns(spark, folder):
     origin = source(spark, folder)
     return measured_columns(
-        {name: origin.table(name) for name in ("orders", "events", "embeddings", "documents")}
+        {row["table_name"]: origin.table(row["table_name"]) for row in origin.table_names().collect()}
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import zlib
 from collections.abc import Iterable, Sequence
 from typing import Any
 
@@ -66,14 +67,29 @@ def range_label(column: Column, strategy: str, ranges: Sequence[str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), ordinal), F.lit(DEFAULT_LABEL))
 
 
+def list_labels(values: Iterable[Any]) -> dict[str, Any]:
+    """Labels of listed values. A label that is taken, or is the default's, gets a checksum."""
+    found: dict[str, Any] = {}
+    for value in dict.fromkeys(values):
+        label = safe_label(value)
+        if label in found or label == DEFAULT_LABEL:
+            label = f"{label}_{zlib.crc32(str(value).encode()):08x}"
+        if label in found:
+            raise ValueError(f"two listed values share the label {label!r}")
+        found[label] = value
+    return found
+
+
 def list_label(column: Column, dtype: T.DataType, values: Iterable[Any]) -> Column:
-    """The listed value as label, or the default label."""
-    found = F.lit(None).cast("string")
-    for value in values:
-        found = F.when(column == typed_literal(value, dtype), F.lit(safe_label(value))).otherwise(
-            found
-        )
-    return F.coalesce(found, F.lit(DEFAULT_LABEL))
+    """The listed value's label, or the default label, by one lookup."""
+    pairs = [
+        item
+        for label, value in list_labels(values).items()
+        for item in (typed_literal(value, dtype).cast(dtype), F.lit(label))
+    ]
+    if not pairs:
+        return F.lit(DEFAULT_LABEL)
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), column), F.lit(DEFAULT_LABEL))
 
 
 def with_range_label(

@@ -10,8 +10,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablebridge.functions.naming import quoted
+from tablebridge.functions.naming import quoted, ref
 from tablebridge.functions.types import spark_type
+from tablebridge.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -20,8 +21,14 @@ _TEXT = re.compile(r"'((?:[^']|'')*)'", re.S)
 _NUMBER = re.compile(r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?")
 
 
+def _text_literal(text: str) -> str:
+    """Text as a Spark SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_text_literal(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
 
 
@@ -39,9 +46,7 @@ def default_literal(text: str | None, dtype: T.DataType) -> str | None:
         return None
     match = _TEXT.fullmatch(value)
     if match:
-        inner = match.group(1).replace("''", "'")
-        escaped = inner.replace("\\", "\\\\").replace("'", "\\'")
-        kept = f"'{escaped}'"
+        kept = _text_literal(match.group(1).replace("''", "'"))
     elif _NUMBER.fullmatch(value) or value.upper() in ("TRUE", "FALSE", "NULL"):
         kept = value
     else:
@@ -66,7 +71,7 @@ def column_definitions(columns: Iterable[Mapping[str, Any]]) -> list[str]:
             parts.append(f"DEFAULT {literal}")
         if type_name.upper() in ("VARCHAR", "CHAR") and length:
             type_name = f"{type_name}({length})"
-        parts.append(f"COMMENT '{type_name}'")
+        parts.append(f"COMMENT {_text_literal(type_name)}")
         found.append(" ".join(parts))
     return found
 
@@ -84,7 +89,7 @@ def create_table(
     checks it. The declared type stays readable as the column's comment.
     """
     name = f"{quoted(database)}.{quoted(table)}" if database else quoted(table)
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {_text_literal(location)}" if location else ""
     body = ", ".join(column_definitions(columns))
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{where}")
     return name
@@ -97,25 +102,49 @@ def insert_rows(df: DataFrame, table: str) -> None:
 
 
 def truncate_table(spark: SparkSession, table: str) -> None:
-    """Empty a table and keep its structure."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    """Empty a table and keep its structure.
+
+    Spark truncates only tables whose files it manages; others are overwritten with no rows.
+    """
+    if spark.catalog.getTable(table).tableType == "MANAGED":
+        spark.sql(f"TRUNCATE TABLE {table}")
+    else:
+        nothing = spark.createDataFrame([], spark.table(table).schema)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{rows}}", rows=nothing)
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    """The rows, computed once and written to the shared folder."""
+    path = scratch_path(df.sparkSession, "load")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reload_files(df: DataFrame, path: str) -> DataFrame:
-    """Replace everything under a path with the rows, and read them back."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace everything under a path with the rows, and read them back.
+
+    The rows are computed in full before the old files go, so a load that fails
+    on its input leaves them.
+    """
+    _staged(df).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def reload_table(df: DataFrame, table: str) -> None:
     """Replace all rows of a table and keep its structure.
 
-    One overwrite instead of truncate and load: readers see the old files until
-    the new ones are complete.
+    The rows are computed, converted to the table's types and written beside it
+    before the overwrite, so a load that fails on its input or its values leaves the
+    old rows. Only the copy of finished files is not undone.
     """
+    types = {f.name: f.dataType for f in df.sparkSession.table(table).schema.fields}
+    unknown = set(df.columns) - set(types)
+    if unknown:
+        raise ValueError(f"no such columns in {table}: {sorted(unknown)}")
+    rows = _staged(df.select([ref(name).cast(types[name]).alias(name) for name in df.columns]))
     names = ", ".join(quoted(name) for name in df.columns)
     df.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table} ({names}) SELECT {names} FROM {{rows}}", rows=df
+        f"INSERT OVERWRITE TABLE {table} ({names}) SELECT {names} FROM {{rows}}", rows=rows
     )
 
 

@@ -22,13 +22,8 @@ class ParquetSource(Source):
         return self.spark.read.parquet(self.path(name))
 
     def table_names(self) -> DataFrame:
-        """Tables found by listing; file contents are not read."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(self.folder)
-            .select("path")
-        )
+        """Tables found by listing the folder and its tables' own; file contents are not read."""
+        files = self.spark.read.format("binaryFile").load(f"{self.folder}/*.parquet").select("path")
         name = F.regexp_extract("path", r"/([^/]+)\.parquet(?:/[^/]*)*$", 1)
         return files.select(name.alias("table_name")).where(F.col("table_name") != "").distinct()
 

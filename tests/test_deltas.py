@@ -133,10 +133,13 @@ def shuffled(spark, count=500):
 
 def test_page_shallow_and_deep_agree(spark):
     table = shuffled(spark)
+    copy = number_rows(table, ["a", "b"])
+    with pytest.raises(ValueError, match="number_rows"):
+        page(table, ["a", "b"], 0, 7, top_k_rows=-1)
     for offset, limit in [(0, 7), (95, 10), (490, 50), (600, 5), (3, 0)]:
         expected = [(i // 100, i, f"t{i}") for i in range(500)][offset : offset + limit]
         top = page(table, "a,b", offset, limit).collect()
-        deep = page(table, ["a", "b"], offset, limit, top_k_rows=-1).collect()
+        deep = page(table, ["a", "b"], offset, limit, top_k_rows=-1, copy=copy).collect()
         assert [tuple(row) for row in top] == expected
         assert [tuple(row) for row in deep] == expected
 
@@ -174,3 +177,21 @@ def test_page_text_and_bad_bounds(spark):
         page(table, "i", -1, 5)
     with pytest.raises(ValueError):
         page(table, "")
+
+
+def test_pages_of_a_repeating_order_fit_together_across_the_switch(spark):
+    """Pages by top-k and from the copy, of an order that is no key, are the whole table."""
+    table = spark.range(60).select((F.col("id") % 3).alias("a"), F.col("id").alias("b")).repartition(4)
+    copy = number_rows(table, "a")
+    seen = [r.b for at in range(0, 60, 10) for r in page(table, "a", at, 10, top_k_rows=30, copy=copy).collect()]
+    assert sorted(seen) == list(range(60))
+
+
+def test_next_page_walks_a_nullable_key_to_the_end(spark):
+    rows = [(None, None), (None, 2), (1, None), (1, 5), (2, None), (2, 1), (2, 7), (None, 9)]
+    table = spark.createDataFrame(rows, "a int, b int").repartition(3)
+    seen, after = [], None
+    while found := next_page(table, ["a", "b"], after, 3).collect():
+        seen += map(tuple, found)
+        after = list(found[-1])
+    assert seen == sorted(rows, key=lambda r: tuple((v is not None, v or 0) for v in r))

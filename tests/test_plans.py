@@ -59,7 +59,7 @@ def test_filter_is_pushed_down(spark, name, pushed):
         ("a_global", "lineitem", {"l_quantity"}),
         ("count_filtered", "orders", {"o_orderstatus", "o_totalprice"}),
         ("key_violations", "lineitem", {"l_orderkey", "l_linenumber"}),
-        ("column_stats", "orders", {"o_custkey"}),
+        ("column_stats", "orders", {"o_orderkey"}),
     ],
 )
 def test_only_needed_columns_are_read(spark, name, table, columns):

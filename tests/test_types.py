@@ -236,3 +236,38 @@ def test_columns(spark):
     assert dedupe_columns(table).collect() == [(1, "a")]
     described = describe_columns(spark, {"t": table}).orderBy("position").collect()
     assert [(r.name, r.type) for r in described] == [("id", "number"), ("Name", "string"), ("NAME", "number")]
+
+
+def test_nothing_is_lost_in_silence(spark):
+    """Columns that do not convert whole stay text, or raise."""
+    rows = [
+        ("13/02/2024", "12345678901234567890", "2024-01-01 00:00:00 UTC+x", "1.1234567890123456789012", "\u0661\u0662", "7"),
+        ("2024-02-13", "1", "2024-01-01 00:00:00", "1.5", "3", " 8 "),
+    ]
+    table = spark.createDataFrame(rows, "d string, b string, t string, n string, a string, i string")
+    kept = apply_inferred(table)
+    types = dict(kept.dtypes)
+    assert {types[c] for c in "btna"} == {"string"} and types["i"] == "int"
+    for name in "btna":
+        assert [r[name] for r in kept.collect()] == [r[name] for r in table.collect()]
+    with pytest.raises(ValueError, match="'b': 1"):
+        apply_inferred(table, strict=True)
+    with pytest.raises(ValueError, match="'b': 1"):
+        apply_types(table, {"b": "BIGINT"}, strict=True)
+    assert apply_inferred(table, ["i"], strict=True).schema["i"].dataType.simpleString() == "int"
+
+
+def test_long_blanks_are_quick(spark):
+    import time
+
+    table = spark.createDataFrame([(" " * 100_000 + "7" + "\t" * 100_000,), (" " * 100_000,)], "v string")
+    infer_types(table).collect()
+    start = time.perf_counter()
+    assert infer_types(table).collect()[0].inferred == "INTEGER"
+    assert time.perf_counter() - start < 1.0
+
+
+def test_wide_tables_are_measured_in_parts(spark):
+    table = spark.range(3).select(*[(F.col("id") * i).cast("string").alias(f"c{i}") for i in range(95)])
+    found = infer_types(table).collect()
+    assert [r.column_name for r in found] == table.columns and {r.inferred for r in found[2:]} == {"INTEGER"}
