@@ -7,12 +7,14 @@ database must be on the class path.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tablebridge.functions.naming import name_list
+from tablebridge.functions.text import stringify
 from tablebridge.sources.base import Source
 
 # Rows per fetch and seconds to connect.
@@ -24,7 +26,7 @@ DRIVERS = {
     "sqlserver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "informix": "com.informix.jdbc.IfxDriver",
 }
-# Each dialect's own list of user tables.
+# Each dialect's catalog query for user tables, and its form of a page.
 TABLE_LISTS = {
     "postgres": (
         "SELECT table_name FROM information_schema.tables"
@@ -36,6 +38,13 @@ TABLE_LISTS = {
         " WHERE tabtype = 'T' AND tabname NOT LIKE 'sys%'"
     ),
 }
+PAGES = {
+    "postgres": "SELECT * FROM {table} ORDER BY {order} LIMIT {limit} OFFSET {offset}",
+    "sqlserver": (
+        "SELECT * FROM {table} ORDER BY {order} OFFSET {offset} ROWS FETCH NEXT {limit} ROWS ONLY"
+    ),
+    "informix": "SELECT SKIP {offset} FIRST {limit} * FROM {table} ORDER BY {order}",
+}
 QUOTES = {"postgres": '"{}"', "sqlserver": "[{}]", "informix": "{}"}
 
 _REQUIRED = ("host", "user", "password", "port", "database")
@@ -83,7 +92,12 @@ def jdbc_options(dialect: str, settings: Mapping[str, Any]) -> dict[str, str]:
 
 
 class JdbcSource(Source):
-    """One database. Filters and column choices are pushed down by Spark."""
+    """One database. Filters and column choices are pushed down by Spark.
+
+    The setting ``splits`` makes every read of a table parallel, also those of queries,
+    changes and filtered counts: it names a column and a number of ranges by table, as
+    ``{"orders": ("id", 64)}``. A table is read by one task otherwise.
+    """
 
     def __init__(self, spark: SparkSession, dialect: str, settings: Mapping[str, Any]):
         super().__init__(spark)
@@ -91,6 +105,11 @@ class JdbcSource(Source):
         self.options = jdbc_options(dialect, settings)
         self.schema = settings.get("schema") or "public"
         self.ties = "all" if dialect == "informix" else "one"
+        self.splits = {
+            name: (checked_name(column), int(count))
+            for name, (column, count) in (settings.get("splits") or {}).items()
+        }
+        self._bounds: dict[tuple[str, str], tuple[Any, Any]] = {}
 
     def reader_options(
         self, name: str, split: tuple[str, Any, Any, int] | None = None
@@ -107,7 +126,14 @@ class JdbcSource(Source):
         return options
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.reader_options(name)).load()
+        return self.scan(name, *self.splits.get(name, ()))
+
+    def bounds(self, name: str, column: str) -> tuple[Any, Any]:
+        """Least and greatest value of a column, asked of the database once."""
+        if (name, column) not in self._bounds:
+            found = self.min_max(name, column).first()
+            self._bounds[name, column] = (found["min_val"], found["max_val"])
+        return self._bounds[name, column]
 
     def run(self, statement: str) -> DataFrame:
         """A statement that runs inside the database."""
@@ -122,14 +148,48 @@ class JdbcSource(Source):
         on, in parallel ranges between its bounds. Nulls join the first range.
 
         Ranges are equally wide and cannot cut one value, so split on a key."""
-        if not split_column or splits < 2:
-            return self.table(name)
-        bounds = self.min_max(name, split_column).first()
-        if bounds["min_val"] is None:
-            return self.table(name)
-        split = (split_column, bounds["min_val"], bounds["max_val"], splits)
+        split = None
+        if split_column and splits > 1:
+            low, high = self.bounds(name, split_column)
+            if low is not None:
+                split = (split_column, low, high, splits)
         return self.spark.read.format("jdbc").options(**self.reader_options(name, split)).load()
 
+    def page(
+        self,
+        name: str,
+        order_by: str | Sequence[str],
+        offset: int = 0,
+        limit: int = 100,
+        filters: Any = None,
+        strict: bool = False,
+    ) -> DataFrame:
+        """A page of rows; without filters the database orders and cuts it itself."""
+        if filters:
+            return super().page(name, order_by, offset, limit, filters, strict)
+        return self.run(self.page_statement(name, order_by, offset, limit))
+
+    def page_text(
+        self,
+        name: str,
+        order_by: str | Sequence[str],
+        offset: int = 0,
+        limit: int = 100,
+        filters: Any = None,
+        strict: bool = False,
+    ) -> DataFrame:
+        return stringify(self.page(name, order_by, offset, limit, filters, strict))
+
+    def page_statement(
+        self, name: str, order_by: str | Sequence[str], offset: int, limit: int
+    ) -> str:
+        if offset < 0 or limit < 0:
+            raise ValueError("offset and limit must not be negative")
+        quoted = [QUOTES[self.dialect].format(checked_name(n)) for n in name_list(order_by)]
+        return PAGES[self.dialect].format(
+            table=checked_name(name), order=", ".join(quoted), offset=int(offset), limit=int(limit)
+        )
+
     def count_rows(self, name: str, filters: Any = None, strict: bool = False) -> DataFrame:
         if filters:
             return super().count_rows(name, filters, strict)

@@ -160,3 +160,56 @@ def test_source_operators_share_one_table(spark):
     assert total == source.table("orders").where(F.col("o_orderstatus") == "F").count()
     assert source.page_text("orders", "o_orderkey", 0, 3, filters).count() == 3
     assert source.changes("events", "user_id", "2024-01-15", ts="ts").count() > 0
+
+
+class Reader:
+    """Stands for a session and its reader; keeps what it is asked to load."""
+
+    def __init__(self, answers):
+        self.read, self.answers, self.loads = self, answers, []
+
+    def format(self, kind):
+        assert kind == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.asked = options
+        return self
+
+    def load(self):
+        self.loads.append(self.asked)
+        return self.answers.get(self.asked.get("query"), "rows")
+
+
+def jdbc(spark, dialect="postgres", **settings):
+    low = spark.createDataFrame([(1, 900)], "a int, b int")
+    reader = Reader({'SELECT MIN("id") AS min_val, MAX("id") AS max_val FROM orders': low})
+    return JdbcSource(reader, dialect, {**SETTINGS, **settings}), reader
+
+
+def test_split_tables_are_read_in_parallel_everywhere(spark):
+    source, reader = jdbc(spark, splits={"orders": ("id", 8)})
+    for _ in range(3):
+        source.table("orders")
+    source.scan("other")
+    bounds, *reads = reader.loads
+    assert "query" in bounds
+    assert [r["numPartitions"] for r in reads[:3]] == ["8"] * 3
+    assert all(r["lowerBound"] == "1" and r["upperBound"] == "900" for r in reads[:3])
+    assert "numPartitions" not in reads[3]
+    with pytest.raises(ValueError):
+        jdbc(spark, splits={"orders": ("id; drop", 8)})
+
+
+def test_pages_are_cut_inside_the_database(spark):
+    source, reader = jdbc(spark)
+    assert source.page("orders", ["day", "id"], 200, 50) == "rows"
+    assert reader.loads[-1]["query"] == 'SELECT * FROM orders ORDER BY "day", "id" LIMIT 50 OFFSET 200'
+    assert jdbc(spark, "sqlserver")[0].page_statement("s.t", "id", 20, 5) == (
+        "SELECT * FROM s.t ORDER BY [id] OFFSET 20 ROWS FETCH NEXT 5 ROWS ONLY"
+    )
+    assert jdbc(spark, "informix")[0].page_statement("t", "id", 20, 5) == (
+        "SELECT SKIP 20 FIRST 5 * FROM t ORDER BY id"
+    )
+    with pytest.raises(ValueError):
+        source.page_statement("t", "id", -1, 5)
