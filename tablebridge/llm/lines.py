@@ -196,7 +196,8 @@ def recurring_lines(docs: DataFrame, row: str, text: str, order: str) -> DataFra
     wanted = named.join(recurring, ["leaf", "template"]).select("leaf", "print", "template")
     found = stored(lines.join(wanted, ["leaf", "print"]).join(keys, "row").select("row", "order", "line", "leaf", "template"), "recurring-lines")
     place = F.struct(F.col("order").isNull().alias("last"), "order", "row", "line")
-    first = found.groupBy("leaf", "template").agg(F.min(place).alias("kept"))
+    # Written, so that the join deals both sides anew and a template of many lines can be split.
+    first = stored(found.groupBy("leaf", "template").agg(F.min(place).alias("kept")), "first-lines")
     late = found.join(first, ["leaf", "template"]).where((F.col("row") != F.col("kept.row")) | (F.col("line") != F.col("kept.line")))
     return late.groupBy("row").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("dropped"))
 
