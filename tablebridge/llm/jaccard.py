@@ -405,7 +405,8 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     all its keys are null. Other columns are not read. An empty table gives an empty result.
     """
     found = stored(near_components(_rows(docs, key, text), width, percent), "jaccard-groups")
-    least = found.where("component is not null").groupBy("component").agg(F.min("key").alias("least"))
+    # Written, so that the join deals both sides anew and a group of many texts can be split.
+    least = stored(found.where("component is not null").groupBy("component").agg(F.min("key").alias("least")), "jaccard-least")
     named = found.join(least, "component", "left")
     return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component_id"))
 
