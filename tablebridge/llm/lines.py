@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,39 +131,40 @@ def templates_of(leaves: DataFrame) -> DataFrame:
     cut = leaves.join(sizes, "leaf").withColumn("piece", F.pmod(F.hash("print"), F.col("pieces")))
     dealt = cut.repartition("leaf", "piece").sortWithinPartitions("leaf", "piece", "print")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-
-        def grown(rows: pd.DataFrame) -> pd.DataFrame:
-            prints, codes = rows["print"].to_numpy(), rows["codes"].to_list()
-            template, shape = prints.copy(), list(codes)
-            key = rows[["leaf", "piece"]].to_numpy()
-            heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-            for a, b in zip(heads, np.append(heads[1:], len(rows)), strict=True):
-                if b - a > 1:
-                    # Leaves are told apart by hash; lines of another length would be another leaf's.
-                    same = np.array([len(c) == len(codes[a]) for c in codes[a:b]])
-                    at = a + np.flatnonzero(same)
-                    own, found = grow_templates(np.frombuffer(b"".join(codes[i] for i in at), "<u2").reshape(len(at), -1))
-                    leader = np.array([prints[at[own == t][0]] for t in range(len(found))])
-                    template[at] = leader[own]
-                    for i, t in zip(at, own, strict=True):
-                        shape[i] = found[t].tobytes()
-            return pd.DataFrame({"leaf": rows["leaf"], "print": prints, "template": template, "codes": shape, "pieces": rows["pieces"]})
-
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            if not len(held):
+    def grown(rows: pa.Table) -> pa.RecordBatch:
+        leaf, piece, prints = (rows[c].to_numpy() for c in ("leaf", "piece", "print"))
+        shape = rows["codes"].to_pylist()
+        template = prints.copy()
+        heads = np.flatnonzero(np.append(True, (leaf[1:] != leaf[:-1]) | (piece[1:] != piece[:-1])))
+        for a, b in zip(heads.tolist(), np.append(heads[1:], len(leaf)).tolist(), strict=True):
+            if b - a > 1:
+                # Leaves are told apart by hash; lines of another length would be another leaf's.
+                at = [i for i in range(a, b) if len(shape[i]) == len(shape[a])]
+                own, found = grow_templates(np.frombuffer(b"".join(shape[i] for i in at), "<u2").reshape(len(at), -1))
+                at = np.array(at)
+                template[at] = np.array([prints[at[own == t][0]] for t in range(len(found))])[own]
+                for i, t in zip(at.tolist(), own.tolist(), strict=True):
+                    shape[i] = found[t].tobytes()
+        columns = [rows["leaf"], rows["print"], pa.array(template), pa.array(shape, pa.binary()), rows["pieces"]]
+        return pa.table(columns, ["leaf", "print", "template", "codes", "pieces"]).combine_chunks().to_batches()[0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            if not held.num_rows:
                 continue
             # The last piece may go on in the next batch.
-            last = (held["leaf"] == held["leaf"].iloc[-1]) & (held["piece"] == held["piece"].iloc[-1])
-            if not last.all():
-                yield grown(held[~last].reset_index(drop=True))
-                held = held[last].reset_index(drop=True)
-        if held is not None and len(held):
+            leaf, piece = held["leaf"].to_numpy(), held["piece"].to_numpy()
+            done = int(np.flatnonzero((leaf != leaf[-1]) | (piece != piece[-1])).max(initial=-1)) + 1
+            if done:
+                yield grown(held.slice(0, done))
+                held = held.slice(done)
+        if held is not None and held.num_rows:
             yield grown(held)
 
-    return dealt.mapInPandas(run, "leaf long, print long, template long, codes binary, pieces int")
+    return dealt.mapInArrow(run, "leaf long, print long, template long, codes binary, pieces int")
 
 
 def generalise(docs: DataFrame, text: str, distinct: DataFrame) -> DataFrame:
@@ -202,15 +202,17 @@ def recurring_lines(docs: DataFrame, row: str, text: str, order: str) -> DataFra
     return late.groupBy("row").agg(F.sort_array(F.collect_set(F.col("line").cast("int"))).alias("dropped"))
 
 
-@F.pandas_udf(StringType())
-def without_lines(text: pd.Series, dropped: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def without_lines(text: pa.Array, dropped: pa.Array) -> pa.Array:
     """Texts without the lines of the given numbers."""
-
-    def cut(body: str, numbers: np.ndarray) -> str:
-        gone = set(numbers.tolist())
-        return "\n".join(line for i, line in enumerate(body.split("\n")) if i not in gone)
-
-    return pd.Series([body if gone is None or body is None else cut(body, gone) for body, gone in zip(text, dropped, strict=True)], dtype=object)
+    if dropped.null_count == len(dropped):
+        return text
+    out = text.to_pylist()
+    for i in np.flatnonzero(dropped.is_valid().to_numpy(zero_copy_only=False)).tolist():
+        if out[i] is not None:
+            gone = set(dropped[i].as_py())
+            out[i] = "\n".join(line for j, line in enumerate(out[i].split("\n")) if j not in gone)
+    return pa.array(out, pa.string())
 
 
 def drop_recurring_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars", dropped: str | None = None) -> DataFrame:

@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -134,11 +133,12 @@ def pack_documents(
     pieces = token_pieces(docs, vocabulary_path, capacity, end_id, key, text, with_ids)
     dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(key, "piece", "start", "ids_crc32"), F.lit(groups)))
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
+    def pack(group: pa.Table) -> pa.Table:
         sequence, offset = pack_lengths(group["length"].to_numpy(), capacity)
-        return group.assign(sequence_id=(group["__group"].to_numpy() << 32) + sequence, offset=offset).drop(columns="__group")
+        number = (group["__group"].to_numpy() << 32) + sequence
+        return group.drop_columns("__group").append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("__group").applyInPandas(pack, pieces.schema.add("sequence_id", "long").add("offset", "long"))
+    return dealt.groupBy("__group").applyInArrow(pack, pieces.schema.add("sequence_id", "long").add("offset", "long"))
 
 
 def sequences(packed: DataFrame, key: str = "doc_id") -> DataFrame:
