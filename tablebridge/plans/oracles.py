@@ -172,6 +172,14 @@ WHERE o_orderstatus = 'F' OR o_orderstatus = 'O' AND o_totalprice > 400000""",
     "w_in_number": """
 SELECT p_partkey FROM part
 WHERE p_size IN (3, 5, 8) AND p_brand NOT IN ('Brand#1', 'Brand#2')""",
+    "w_like": """
+SELECT p_partkey FROM part WHERE p_name LIKE '%g' AND p_brand LIKE 'Brand%'
+AND p_brand NOT LIKE '%#1%' OR p_name LIKE '%et%'""",
+    "w_regex": """
+SELECT p_partkey FROM part
+WHERE regexp_matches(p_brand, '^Brand#[1-3]$') AND NOT regexp_matches(p_name, '[gt]$')""",
+    "w_null": f"""
+SELECT c_custkey FROM {_BALANCES} WHERE bal IS NULL OR bal IS NOT NULL AND c_nationkey < 5""",
     "w_dates": """
 SELECT o_orderkey FROM orders WHERE o_orderdate BETWEEN '1996-02-01' AND '1996-04-30'
 AND o_orderdate != '1996-03-01 00:00:00'""",
@@ -315,6 +323,8 @@ WHERE c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL GROUP BY ALL HAVING c
         },
     ),
     "layout_roundtrip": "SELECT * FROM orders",
+    "layout_order": """
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS overlaps FROM orders""",
     "reload_roundtrip": "SELECT * FROM customer",
     "truncate_and_reload": """
 SELECT c_custkey, c_name, CAST(0 AS BIGINT) AS left_after_truncate FROM customer WHERE c_custkey % 2 = 0""",

@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tablebridge.functions import types as names
 from tablebridge.functions.text import stringify
@@ -412,6 +413,43 @@ specified(
         ],
     },
 )
+specified(
+    "w_like",
+    {
+        "baseTable": "part",
+        "selectedFields": [field("part", "p_partkey")],
+        "whereConditions": [
+            where("part", "p_name", "ENDS WITH", "g", "string"),
+            where("part", "p_brand", "STARTS WITH", "Brand", "string"),
+            where("part", "p_brand", "NOT CONTAIN", "#1", "string", connector="OR"),
+            where("part", "p_name", "CONTAINS", "et", "string"),
+        ],
+    },
+)
+specified(
+    "w_regex",
+    {
+        "baseTable": "part",
+        "selectedFields": [field("part", "p_partkey")],
+        "whereConditions": [
+            where("part", "p_brand", "MATCHES", "^Brand#[1-3]$", "string"),
+            where("part", "p_name", "NOT MATCHES", "[gt]$", "string"),
+        ],
+    },
+)
+specified(
+    "w_null",
+    {
+        "baseTable": "customer",
+        "selectedFields": [field("customer", "c_custkey")],
+        "whereConditions": [
+            where("customer", "bal", "IS NULL", None, "number", connector="OR"),
+            where("customer", "bal", "IS NOT NULL", None, "number"),
+            where("customer", "c_nationkey", "<", 5, "number"),
+        ],
+    },
+    balances,
+)
 specified(
     "w_dates",
     {
@@ -923,6 +961,30 @@ def layout_roundtrip(spark, folder):
     return spark.read.parquet(path)
 
 
+@query
+def layout_order(spark, folder):
+    """Rows out of order inside their files, and files whose keys overlap: none."""
+    layout = plan_layout([{"columns": ["o_orderdate", "o_custkey"]}])
+    path = scratch_path(spark, "ordered")
+    write_layout(source(spark, folder).table("orders"), path, layout)
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+        F.struct("o_orderdate", "o_custkey").alias("key"),
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("place"))
+    files = rows.withColumn("wrong", F.coalesce(before > F.col("key"), F.lit(False)).cast("long"))
+    files = files.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("wrong").alias("wrong"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # One row per file.
+    earlier = F.lag("high").over(Window.orderBy("low", "high"))
+    ends = files.withColumn("overlap", F.coalesce(earlier > F.col("low"), F.lit(False)).cast("long"))
+    return ends.agg(
+        F.sum("n").alias("n"), F.sum("wrong").alias("out_of_order"), F.sum("overlap").alias("overlaps")
+    )
+
+
 @query
 def reload_roundtrip(spark, folder):
     return reload_files(source(spark, folder).scan("customer"), scratch_path(spark, "reload"))
