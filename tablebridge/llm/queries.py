@@ -89,4 +89,35 @@ WITH rows AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op4_top_inner_products": TOP_SQL}
+GROUPS_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3
+      THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS g
+  FROM w
+), n AS (
+  SELECT doc_id, len(g) AS n, md5(array_to_string(list_sort(g), chr(10))) AS k FROM s
+), nodes AS (
+  SELECT k, min(doc_id) AS rep, any_value(n) AS n FROM n WHERE n > 0 GROUP BY k
+), e AS (
+  SELECT nodes.rep, nodes.n, unnest(s.g) AS g FROM nodes JOIN s ON s.doc_id = nodes.rep
+), pairs AS (
+  SELECT x.rep AS a, y.rep AS b FROM e x JOIN e y
+  ON x.g = y.g AND x.rep < y.rep AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 90
+  GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), links AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT rep AS a, rep AS b FROM nodes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least_of AS (
+  SELECT a, min(b) AS component FROM reach GROUP BY a
+)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(c.component, n.doc_id) AS component_id
+FROM n LEFT JOIN nodes ON n.k = nodes.k AND n.n > 0 LEFT JOIN least_of c ON c.a = nodes.rep
+"""
+
+ORACLES: dict[str, str] = {"op2_jaccard_groups": GROUPS_SQL, "op4_top_inner_products": TOP_SQL}
