@@ -40,8 +40,9 @@ ROW_BITS = 25
 #: What verifying a pair costs, counted in rows of the index.
 PAIR_COST = 4.0
 _SIGNS = 4
-#: Rounds of random partners at most; what they leave is verified in full.
-ROUNDS = 3
+#: Rounds of random partners at most, and orders that keys draw them by; what they leave is verified in full.
+ROUNDS = 2
+ORDERS = 8
 #: Longs of a parity sketch. Each differing element flips one bit, so unequal bits never exceed the difference.
 SKETCH = [f"p{i}" for i in range(8)]
 
@@ -352,14 +353,19 @@ def second(nodes: DataFrame) -> DataFrame:
 
 
 def random_partners(members: DataFrame, nodes: DataFrame, turn: int, percent: int) -> DataFrame:
-    """a, b: for each node the one that most of its keys pick in this turn, if it may be similar."""
-    order = F.xxhash64("print", F.lit(turn))
-    picks = members.groupBy("key").agg(F.min(order).alias("pick"))
-    picked = members.select(order.alias("pick"), F.col("print").alias("print_y"), F.col("label").alias("label_y")).distinct()
-    met = members.join(picks, "key").groupBy("print", "label", "pick").agg(F.count("*").alias("times")).join(picked, "pick").where("label <> label_y")
-    best = met.groupBy("print").agg(F.max(F.struct("times", "print_y")).alias("best")).select("print", "best.print_y")
-    pairs = best.join(nodes, "print").join(second(nodes), "print_y").where(may_be_similar(percent))
-    return stored(pairs.select(F.col("print").alias("a"), F.col("print_y").alias("b")), "jaccard-pairs")
+    """a, b: for each node the most alike of those that its keys pick in this turn, if it may be similar.
+
+    Keys fall into ORDERS kinds, each with a random order of the nodes of its own, and pick their first.
+    """
+    kind = F.col("key").bitwiseAND(F.lit(ORDERS - 1).cast("long"))
+    drawn = members.withColumn("draw", F.xxhash64("print", kind, F.lit(turn)))
+    picks = drawn.groupBy("key").agg(F.min("draw").alias("pick"))
+    picked = drawn.select(F.col("draw").alias("pick"), F.col("print").alias("print_y"), F.col("label").alias("label_y")).distinct()
+    met = drawn.join(picks, "key").where("draw <> pick").select("print", "label", "pick").distinct().join(picked, "pick")
+    pairs = met.where("label <> label_y").select("print", "print_y").distinct()
+    alike = pairs.join(nodes, "print").join(second(nodes), "print_y").where(may_be_similar(percent))
+    best = alike.groupBy(F.col("print").alias("a")).agg(F.min(F.struct(unequal_bits().alias("bits"), "print_y")).alias("best"))
+    return stored(best.select("a", F.col("best.print_y").alias("b")), "jaccard-pairs")
 
 
 def all_pairs_left(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
