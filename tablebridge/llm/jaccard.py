@@ -59,7 +59,9 @@ class Bands:
         # Two sets of sizes s <= r that reach the share differ in at most (s + r)(1 - share)/(1 + share) elements.
         top = [x - 1 for x in low[1:]]
         enough = np.array([int((s + int(s / share)) * (1 - share) / (1 + share)) + 1 for s in top] + [1], np.int64)
-        self.spare = np.where(enough < 12, 0, np.maximum(4, enough * 7 // 25))
+        # The fewer elements a segment has, the more are empty: half of the spare ones should cover these.
+        elements = np.array([*top, 1]) / (1.2 * enough)
+        self.spare = np.where(enough < 12, 0, np.maximum(4, enough * (0.08 + 5 * np.exp(-elements)))).astype(np.int64)
         self.segments = enough + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
