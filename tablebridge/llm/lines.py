@@ -9,6 +9,8 @@ documents keeps its first line; its other lines are dropped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -33,8 +35,8 @@ AGREEMENT = 0.8
 LEAF_ROWS = 1024
 #: Bits of the filter for leaves with several lines: 1 MB whatever the input's size.
 FILTER_BITS = 23
-#: Times that the templates of larger leaves are brought together.
-ROUNDS = 3
+#: Keys of a template of a larger leaf at most, unless its length needs one more than it may have differing places.
+MOST_KEYS = 24
 
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[48:58] = True
@@ -101,6 +103,11 @@ def leaf_tokens(docs: DataFrame, text: str, table: np.ndarray) -> DataFrame:
     return docs.select(text).mapInArrow(run, "leaf long, print long, codes binary").dropDuplicates(["leaf", "print"])
 
 
+def need_of(n: int, agreement: float = AGREEMENT) -> int:
+    """Places of n at which a line must equal a template."""
+    return int(np.ceil(agreement * n))
+
+
 def grow_templates(lines: np.ndarray, agreement: float = AGREEMENT) -> tuple[np.ndarray, np.ndarray]:
     """Template number of each line of a leaf, and the templates.
 
@@ -108,7 +115,7 @@ def grow_templates(lines: np.ndarray, agreement: float = AGREEMENT) -> tuple[np.
     equals, and makes the places where they differ variable, or begins a template of its own. Only places that
     are not variable count as agreeing, so a template never loses more than its share.
     """
-    need = int(np.ceil(agreement * lines.shape[1]))
+    need = need_of(lines.shape[1], agreement)
     templates = np.empty_like(lines)
     own, n = np.zeros(len(lines), np.int64), 0
     for i, line in enumerate(lines):
@@ -123,67 +130,189 @@ def grow_templates(lines: np.ndarray, agreement: float = AGREEMENT) -> tuple[np.
     return own, templates[:n]
 
 
+def whole_groups(frames: Iterator[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of sorted frames again, so that no group of equal `key` goes on in the next frame."""
+    held: pd.DataFrame | None = None
+    for frame in frames:
+        held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        if not len(held):
+            continue
+        last = (held[key] == held[key].iloc[-1]).all(axis=1)
+        if not last.all():
+            yield held[~last].reset_index(drop=True)
+            held = held[last].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
+def bounds_of(rows: pd.DataFrame, key: list[str]) -> Iterator[tuple[int, int]]:
+    """First row and row after the last of each group of sorted rows."""
+    values = rows[key].to_numpy()
+    heads = np.flatnonzero(np.append(True, (values[1:] != values[:-1]).any(axis=1)))
+    return zip(heads.tolist(), [*heads[1:].tolist(), len(rows)], strict=True)
+
+
+def matrix(codes: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(codes), "<u2").reshape(len(codes), -1)
+
+
 def templates_of(leaves: DataFrame) -> DataFrame:
-    """From (leaf, print, codes): leaf, print, template (its first line's print) and the template's codes.
+    """From (leaf, print, codes): leaf, print, template (its first line's print), the template's codes, pieces.
 
     A leaf with many lines is cut into pieces by hash.
     """
     sizes = leaves.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_ROWS).cast("int").alias("pieces"))
-    cut = leaves.join(sizes, "leaf").withColumn("piece", F.pmod(F.hash("print"), F.col("pieces")))
-    dealt = cut.repartition("leaf", "piece").sortWithinPartitions("leaf", "piece", "print")
+    return grown(leaves.join(sizes, "leaf").withColumn("piece", F.pmod(F.hash("print"), F.col("pieces")).cast("long")))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
 
-        def grown(rows: pd.DataFrame) -> pd.DataFrame:
+def grown(cut: DataFrame) -> DataFrame:
+    """From (leaf, piece, print, codes, pieces): the same but piece, with the template grown of each piece's lines."""
+    dealt = cut.select("leaf", "piece", "print", "codes", "pieces").repartition("leaf", "piece").sortWithinPartitions("leaf", "piece", "print")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = ["leaf", "piece"]
+        for rows in whole_groups(frames, key):
             prints, codes = rows["print"].to_numpy(), rows["codes"].to_list()
             template, shape = prints.copy(), list(codes)
-            key = rows[["leaf", "piece"]].to_numpy()
-            heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1)))
-            for a, b in zip(heads, np.append(heads[1:], len(rows)), strict=True):
+            for a, b in bounds_of(rows, key):
                 if b - a > 1:
                     # Leaves are told apart by hash; lines of another length would be another leaf's.
                     same = np.array([len(c) == len(codes[a]) for c in codes[a:b]])
                     at = a + np.flatnonzero(same)
-                    own, found = grow_templates(np.frombuffer(b"".join(codes[i] for i in at), "<u2").reshape(len(at), -1))
+                    own, found = grow_templates(matrix([codes[i] for i in at]))
                     leader = np.array([prints[at[own == t][0]] for t in range(len(found))])
                     template[at] = leader[own]
                     for i, t in zip(at, own, strict=True):
                         shape[i] = found[t].tobytes()
-            return pd.DataFrame({"leaf": rows["leaf"], "print": prints, "template": template, "codes": shape, "pieces": rows["pieces"]})
-
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            if not len(held):
-                continue
-            # The last piece may go on in the next batch.
-            last = (held["leaf"] == held["leaf"].iloc[-1]) & (held["piece"] == held["piece"].iloc[-1])
-            if not last.all():
-                yield grown(held[~last].reset_index(drop=True))
-                held = held[last].reset_index(drop=True)
-        if held is not None and len(held):
-            yield grown(held)
+            yield pd.DataFrame({"leaf": rows["leaf"], "print": prints, "template": template, "codes": shape, "pieces": rows["pieces"]})
 
     return dealt.mapInPandas(run, "leaf long, print long, template long, codes binary, pieces int")
 
 
+def segments_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the segments that the places after the leading ones are cut into, and the sets of segments that are keys.
+
+    Two templates that agree in enough places differ in at most n - need_of(n), each of which spoils one segment;
+    so one set of the remaining number of segments is equal in both.
+    """
+    most = n - need_of(n)
+    count = most + 1
+    while count < n - DEPTH and comb(count + 1, most) <= MOST_KEYS:
+        count += 1
+    starts = DEPTH + np.arange(count) * (n - DEPTH) // count
+    return starts, np.array(list(combinations(range(count), count - most)))
+
+
+def template_keys(codes: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and keys of templates of one length; two of a leaf that agree in enough places have a key in common."""
+    n = codes.shape[1]
+    starts, sets = segments_of(n)
+    up, _ = powers(n)
+    sums = mix(np.add.reduceat((codes[:, DEPTH:].astype(np.uint64) + np.uint64(1)) * up[DEPTH:n], starts - DEPTH, axis=1) + np.arange(len(starts), dtype=np.uint64))
+    fixed = ~np.logical_or.reduceat(codes[:, DEPTH:] == VARIABLE, starts - DEPTH, axis=1)
+    rows, keys = [], []
+    for i, own in enumerate(sets):
+        at = np.flatnonzero(fixed[:, own].all(axis=1))
+        total = mix(leaf[at] + np.uint64(n * 1_000_003 + i))
+        for j in own:
+            total = mix(total + sums[at, j])
+        rows.append(at)
+        keys.append(total)
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def keyed(live: DataFrame) -> DataFrame:
+    """key, leaf, print, codes of templates, a row for each of their keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(2).to_pylist()
+            leaf = batch.column(0).to_numpy().view(np.uint64)
+            sizes = np.array([len(c) for c in codes])
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                rows, keys = template_keys(matrix([codes[i] for i in at]), leaf[at])
+                for a in range(0, len(rows), 1 << 14):
+                    own = batch.take(pa.array(at[rows[a : a + (1 << 14)]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(keys[a : a + (1 << 14)])), *own.columns], ["key", "leaf", "print", "codes"])
+
+    return live.select("leaf", "print", "codes").mapInArrow(run, "key long, leaf long, print long, codes binary")
+
+
+def partners(live: DataFrame) -> DataFrame:
+    """leaf, print, partner of the templates (leaf, print, codes) that agree in enough places with another of their leaf.
+
+    The partner is the one that agrees in most places, the smallest print of equals. Templates with a
+    key in common are all compared; many of them are cut into blocks, and each two blocks meet in a piece of work of their own.
+    """
+    keys = stored(keyed(live), "template-keys")
+    sizes = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / LEAF_ROWS).cast("int").alias("blocks"))
+    cut = keys.join(sizes, "key").withColumn("block", F.pmod(F.hash("print"), F.col("blocks")))
+    cells = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "leaf", "print", "codes")
+    dealt = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "block", "print")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = ["key", "x", "y"]
+        for rows in whole_groups(frames, key):
+            prints, leaves, block, codes = rows["print"].to_numpy(), rows["leaf"].to_numpy(), rows["block"].to_numpy(), rows["codes"].to_list()
+            x, y = rows["x"].to_numpy(), rows["y"].to_numpy()
+            found = []
+            for a, b in bounds_of(rows, key):
+                # Keys are hashes; templates of another leaf or length would be another key's.
+                at = a + np.flatnonzero([leaves[i] == leaves[a] and len(codes[i]) == len(codes[a]) for i in range(a, b)])
+                lower = at[block[at] == x[a]]
+                upper = at[block[at] == y[a]]
+                if not len(lower) or not len(upper):
+                    continue
+                right, need = matrix([codes[i] for i in upper]), need_of(len(codes[a]) // 2)
+                best = np.zeros(len(upper), np.int64)
+                mate = np.zeros(len(upper), np.int64)
+                for i in lower.tolist():
+                    own = np.frombuffer(codes[i], "<u2")
+                    equal = ((right == own) & (own != VARIABLE)).sum(axis=1)
+                    equal[upper == i] = 0
+                    most = int(np.argmax(equal))  # blocks are in order of prints
+                    if equal[most] >= need:
+                        found.append((leaves[a], prints[i], prints[upper[most]], equal[most]))
+                    better = equal > best
+                    best[better], mate[better] = equal[better], prints[i]
+                found += [(leaves[a], prints[upper[j]], mate[j], best[j]) for j in np.flatnonzero(best >= need).tolist()]
+            yield pd.DataFrame(found, columns=["leaf", "print", "partner", "equal"]).astype(np.int64)
+
+    pairs = dealt.mapInPandas(run, "leaf long, print long, partner long, equal long")
+    best = F.max(F.struct("equal", F.bitwise_not("partner").alias("back")))
+    return pairs.groupBy("leaf", "print").agg(best.alias("best")).select("leaf", "print", F.bitwise_not("best.back").alias("partner"))
+
+
+def brought_together(live: DataFrame) -> DataFrame:
+    """leaf, template, wider: what each template (leaf, print, codes) has become once no two of a leaf agree in enough places.
+
+    In each round every template meets those it agrees with most, and they grow together in order. The two that
+    agree most of all always merge, so rounds come to an end. Templates only lose places, so one that agrees with
+    no other is settled.
+    """
+    named = live.select("leaf", F.col("print").alias("template"), F.col("print").alias("wider"))
+    while True:
+        links = stored(partners(live), "template-links")
+        if links.isEmpty():
+            return named
+        met = live.join(links, ["leaf", "print"]).withColumn("piece", F.least("print", "partner")).withColumn("pieces", F.lit(1))
+        merged = stored(grown(met), "merged-templates")
+        live = stored(merged.select("leaf", F.col("template").alias("print"), "codes").dropDuplicates(["leaf", "print"]), "live-templates")
+        step = merged.select("leaf", F.col("print").alias("wider"), F.col("template").alias("widest"))
+        named = stored(named.join(step, ["leaf", "wider"], "left").select("leaf", "template", F.coalesce("widest", "wider").alias("wider")), "named-templates")
+
+
 def generalise(docs: DataFrame, text: str, distinct: DataFrame) -> DataFrame:
     """print, template for the distinct lines (leaf, print) that share a leaf with others."""
     shared_leaves = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
     own = stored(templates_of(leaf_tokens(docs, text, bit_filter(shared_leaves, "leaf", FILTER_BITS))), "line-templates")
-    for _ in range(ROUNDS - 1):
-        split = own.where("pieces > 1")
-        if split.isEmpty():
-            break
-        merged = templates_of(split.select("leaf", F.col("template").alias("print"), "codes").dropDuplicates(["leaf", "print"]))
-        merged = merged.select("leaf", F.col("print").alias("template"), F.col("template").alias("wider"), F.col("codes").alias("wide"), F.col("pieces").alias("left"))
-        own = stored(
-            own.join(merged, ["leaf", "template"], "left").select(
-                "leaf", "print", F.coalesce("wider", "template").alias("template"), F.coalesce("wide", "codes").alias("codes"), F.coalesce("left", F.lit(1)).alias("pieces")
-            ),
-            "line-templates",
-        )
-    return own.select("leaf", "print", "template")
+    split = own.where("pieces > 1")
+    if split.isEmpty():
+        return own.select("leaf", "print", "template")
+    live = stored(split.select("leaf", F.col("template").alias("print"), "codes").dropDuplicates(["leaf", "print"]), "live-templates")
+    return own.join(brought_together(live), ["leaf", "template"], "left").select("leaf", "print", F.coalesce("wider", "template").alias("template"))
 
 
 def recurring_lines(docs: DataFrame, row: str, text: str, order: str) -> DataFrame:

@@ -325,6 +325,31 @@ def test_large_leaves_are_brought_together(spark, monkeypatch):
     assert sum(bool(r.gone) for r in rows) >= 57
 
 
+def test_pairs_of_a_large_leaf_all_meet(spark, monkeypatch):
+    """Many lines of one leaf that pair off: each pair shares a template, whichever pieces its lines are dealt to."""
+    monkeypatch.setattr(lines, "LEAF_ROWS", 8)
+    docs = []
+    for d in range(60):
+        body = prose(4000 + d, 12).split()
+        docs += [(2 * d, " ".join(["at", "5", "on", *body, "left"])), (2 * d + 1, " ".join(["at", "7", "on", *body[:d % 12], "changed", *body[d % 12 + 1 :], "right"]))]
+    rows = lines.drop_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), dropped="gone").collect()
+    assert {r.doc_id: r.gone for r in rows} == plain_dropped(docs) == {d: [0] * (d % 2) for d, _ in docs}
+
+
+def test_templates_that_agree_share_a_key():
+    rng = np.random.default_rng(12)
+    for n in (*range(lines.LEAST_VARIABLE, 34), 60, 150):
+        most = n - lines.need_of(n)
+        assert len(lines.segments_of(n)[1]) <= max(lines.MOST_KEYS, most + 1)
+        for _ in range(30):
+            a = rng.integers(1, 65536, n).astype("<u2")
+            b = a.copy()
+            bad = lines.DEPTH + rng.permutation(n - lines.DEPTH)[:most]
+            b[bad] = rng.integers(0, 2, most) * rng.integers(1, 65536, most)
+            rows, keys = lines.template_keys(np.stack([a, b]), np.array([7, 7], np.uint64))
+            assert set(keys[rows == 0].tolist()) & set(keys[rows == 1].tolist())
+
+
 def test_line_odd_rows(odd, none):
     cleaned = lines.drop_recurring_lines(odd, dropped="gone")
     rows = cleaned.collect()
