@@ -81,6 +81,23 @@ def best_overlap(a: np.ndarray, b: np.ndarray, shift: int, agreement: float = AG
     return low + shift + start, end - start, int(equal[start:end].sum())
 
 
+def longest_overlap(a: np.ndarray, b: np.ndarray, shift: int, agreement: float = AGREEMENT) -> tuple[int, int, int]:
+    """(start in a, length, equal places) of the longest overlap of a[i + shift] with b[i] that agrees in a share of `agreement`.
+
+    Of equally long ones that with more equal places, then the first.
+    """
+    low, high = max(0, -shift), min(len(b), len(a) - shift)
+    if high <= low:
+        return 0, 0, 0
+    equal = np.concatenate(([0], np.cumsum(a[low + shift : high + shift] == b[low:high])))
+    total = equal - agreement * np.arange(len(equal))
+    # For each end the first start whose sum is not above the end's own, rounding aside.
+    start = np.searchsorted(-np.minimum.accumulate(total), -(total + 1e-9))
+    end = np.arange(len(equal))
+    best = int(np.lexsort((start, -(equal - equal[start]), start - end))[0])
+    return low + shift + int(start[best]), int(best - start[best]), int(equal[best] - equal[start[best]])
+
+
 def item_sequences(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """item, tokens of each distinct token sequence; the smallest item id stands for its repeats."""
 
@@ -170,7 +187,10 @@ def stretches(docs: DataFrame, row: str, text: str, masks: list[str], table: np.
 
 
 def verified(candidates: DataFrame, least: int, agreement: float) -> DataFrame:
-    """row, item, start, length, matched of the candidates whose overlap is long and equal enough."""
+    """row, item, start, length, matched of the candidates whose overlap is long and equal enough.
+
+    The overlap is the one that agrees best; if that is too short, the longest one that agrees in enough places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,6 +199,8 @@ def verified(candidates: DataFrame, least: int, agreement: float) -> DataFrame:
             for i in range(batch.num_rows):
                 a, b = tokens[i].values.to_numpy(), sequence[i].values.to_numpy()
                 at, n, equal = best_overlap(a, b, shift[i].as_py(), agreement)
+                if n < min(least, len(b)):  # the sum ends before a substitution with few equal places behind it
+                    at, n, equal = longest_overlap(a, b, shift[i].as_py(), agreement)
                 if n >= min(least, len(b)):
                     kept.append(i)
                     for column, value in zip(out, (start[i].as_py() + at, n, equal), strict=True):
@@ -218,7 +240,7 @@ def find_contaminated(
     """Documents that hold a passage of a benchmark item: key, item, first_token, n_tokens, n_matched.
 
     One row per contaminated key and item (of items with the same tokens the smallest id), with the
-    longest overlap, counted in tokens of letters and digits. Clean documents have no row. Null and empty
+    longest overlap of those `verified` finds, counted in tokens of letters and digits. Clean documents have no row. Null and empty
     texts and items hold nothing; repeated rows count once; a null key stays null; items of fewer
     than LEAST_ITEM tokens are left out. Other columns are not read. An empty table gives an empty result.
     """

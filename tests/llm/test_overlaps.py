@@ -227,6 +227,42 @@ def test_substituted_passages_are_found(spark):
     assert len(want) > 15 and all(d % 2 for d, _ in want)
 
 
+def plain_longest(a: list, b: list, shift: int, percent: int) -> int:
+    """Length of the longest overlap at a shift that agrees in `percent` of its places."""
+    low, high = max(0, -shift), min(len(b), len(a) - shift)
+    equal = [a[j + shift] == b[j] for j in range(low, high)]
+    return max((y - x for x in range(len(equal)) for y in range(x + 1, len(equal) + 1) if 100 * sum(equal[x:y]) >= percent * (y - x)), default=0)
+
+
+def test_longest_overlap_of_any_tokens():
+    rng = np.random.default_rng(14)
+    for _ in range(300):
+        a, b = rng.integers(0, 3, rng.integers(1, 30)), rng.integers(0, 3, rng.integers(1, 30))
+        shift = int(rng.integers(-len(b) + 1, len(a)))
+        same = rng.random(len(b)) < 0.8
+        inside = np.flatnonzero(same & (np.arange(len(b)) + shift >= 0) & (np.arange(len(b)) + shift < len(a)))
+        b[inside] = a[inside + shift]
+        start, n, equal = decontamination.longest_overlap(a, b, shift)
+        assert n == plain_longest(a.tolist(), b.tolist(), shift, 80)
+        assert equal == (a[start : start + n] == b[start - shift : start - shift + n]).sum()
+
+
+def test_substitutions_near_the_ends_are_found(spark):
+    """Whole overlaps of 80 percent and more whose substitutions have few equal tokens beyond them."""
+    cases = [(16, [3]), (20, [3, 16]), (28, [12, 13, 14, 15]), (13, [0]), (15, [1, 7, 13]), (15, [1, 3, 11, 13])]
+    items, docs = [], []
+    for i, (n, changed) in enumerate(cases):
+        own = prose(7000 + i, n).split()
+        items.append((i, " ".join(own)))
+        for j in changed:
+            own[j] = f"other{j}"
+        docs.append((i, " ".join([prose(7100 + i, 40), *own, prose(7200 + i, 40)])))
+    got = decontamination.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {r.doc_id: (r.item_id, r.first_token, r.n_tokens, r.n_matched) for r in got.collect()}
+    assert {0: (0, 40, 16, 15), 1: (1, 40, 20, 18), 2: (2, 40, 28, 24), 3: (3, 40, 13, 12)}.items() <= found.items()
+    assert 5 not in found
+
+
 def test_contaminated_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
