@@ -24,6 +24,8 @@ KINDS = ["assign", "access", "hex", "random"]
 #: Runs of token characters of this length and more are tested for randomness.
 LEAST_TOKEN = 16
 TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_TOKEN},}}")
+_ASSIGNED = re.compile(r"[^=]+(?:=+\Z)?")
+_PATH_PART = re.compile(r"[^+/]+")
 #: Ends of the length classes that have thresholds of their own.
 LENGTHS = [24, 32, 48]
 #: Classes of the combined p-value, even on a log scale; class 0 is the least random.
@@ -54,6 +56,21 @@ def infer_encoding(token: str) -> str | None:
     return next((e for e, s in zip(ENCODINGS, _SETS, strict=True) if used <= s), None)
 
 
+def parts(text: str) -> Iterator[tuple[int, str]]:
+    """(start, token) of what is tested in runs of token characters.
+
+    No encoding has '=' but at its end, nor '+' or '/' together with '-' or '_': runs are cut at '=' within, and
+    what is left at '+' and '/' if it also has one of the others.
+    """
+    for m in TOKEN.finditer(text):
+        for piece in _ASSIGNED.finditer(m[0]):
+            mixed = ("-" in piece[0] or "_" in piece[0]) and ("+" in piece[0] or "/" in piece[0])
+            for part in _PATH_PART.finditer(piece[0]) if mixed else [None]:
+                start, token = (part.start(), part[0]) if part else (0, piece[0])
+                if len(token) >= LEAST_TOKEN:
+                    yield m.start() + piece.start() + start, token
+
+
 def upper_tail(x: float, freedom: int) -> float:
     """Chance of a chi-squared value above x, by the cube-root normal approximation."""
     if x <= 0:
@@ -176,9 +193,9 @@ def thresholds(docs: DataFrame, text: str = "text", false_finds: float = FALSE_F
         sums = np.zeros((len(LENGTHS) + 1, GRADES, 2), np.int64)
         for batch in batches:
             for _, body in suspect_texts(batch.column(0)):
-                for m in TOKEN.finditer(body):
-                    if is_text(m[0]) or is_candidate(m[0]):
-                        sums[length_class(m[0]), grade(randomness(m[0])), int(is_text(m[0]))] += 1
+                for _, token in parts(body):
+                    if is_text(token) or is_candidate(token):
+                        sums[length_class(token), grade(randomness(token)), int(is_text(token))] += 1
         at = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int32)) for x in at), pa.array(sums[at])], ["length", "grade", "is_text", "n"])
 
@@ -230,9 +247,10 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", false
                     counts[k, i] += 1
                 digest[i] = hashlib.sha256(joined(base).encode()).hexdigest()
                 more = []
-                for m in TOKEN.finditer(body):
-                    if is_candidate(m[0]) and grade(randomness(m[0])) >= least[length_class(m[0])] and not any(a < m.end() and m.start() < b for a, _, b in base):
-                        more.append((m.start(), 3, m.end()))
+                for start, token in parts(body):
+                    end = start + len(token)
+                    if is_candidate(token) and grade(randomness(token)) >= least[length_class(token)] and not any(a < end and start < b for a, _, b in base):
+                        more.append((start, 3, end))
                 spans[i] = joined(base + more)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, counts), pa.array(digest), pa.array(spans, pa.string())], [key, "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 

@@ -159,5 +159,26 @@ def test_random_tokens_are_found(spark):
     assert not any(rows[i] for i in range(20))
 
 
+def test_runs_are_cut_where_no_encoding_goes_on():
+    a, b = "Ab3dEf6hIj9kLm2nOp", "Zy8xWv5uTs2rQp7oNm"
+    assert list(secrets.parts(f"x STRIPE_KEY={a}== y")) == [(13, f"{a}==")]
+    assert list(secrets.parts(f"{a}={b}")) == [(0, a), (19, b)]
+    assert list(secrets.parts(f"/v1/{a}_-/{b}/tail")) == [(4, f"{a}_-"), (25, b)]
+    assert list(secrets.parts(f"{a}/+{b}=")) == [(0, f"{a}/+{b}=")]
+    assert list(secrets.parts("=" * 20)) == list(secrets.parts("SHORT_NAME=short_value")) == []
+
+
+def test_random_values_of_names_and_paths_are_found(spark):
+    rng = random.Random(10)
+    text = [" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(16, 60))) for _ in range(60)) for _ in range(20)]
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40)) for _ in range(40)]
+    forms = ["STRIPE_KEY={}", "AWS_SECRET_ACCESS_KEY={}", "see https://host.example/v1/by-name/{}/get", "at /a_b/{}"]
+    docs = [(i, t) for i, t in enumerate(text)] + [(100 + i, forms[i % 4].format(k)) for i, k in enumerate(keys)]
+    rows = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    found = sum(f"random:{docs[20 + i][1].index(k)}:{docs[20 + i][1].index(k) + 40}" in rows[100 + i] for i, k in enumerate(keys))
+    assert found >= 34
+    assert not any(rows[i] for i in range(20))
+
+
 def test_phrases_are_those_of_the_contract():
     assert licenses.BASE_PHRASES == PHRASES
