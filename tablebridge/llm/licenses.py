@@ -20,6 +20,13 @@ BASE_PHRASES = {
 NOTICES = {
     "gnu general public license version 2": "gpl-2",
     "gnu general public license version 3": "gpl-3",
+    "gnu general public license v2": "gpl-2",
+    "gnu general public license v3": "gpl-3",
+    "gnu general public license as published by the free software foundation version 2": "gpl-2",
+    "gnu general public license as published by the free software foundation version 3": "gpl-3",
+    "gnu general public license as published by the free software foundation either version 2": "gpl-2",
+    "gnu general public license as published by the free software foundation either version 3": "gpl-3",
+    "gnu general public license": "gpl",
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
     "mozilla public license": "mpl",
@@ -158,6 +165,8 @@ def scan(raw: bytes) -> tuple[int, int, int | None, int | None, str, str, float]
             labels |= names
             score = max(score, bound)
     labels |= base
+    if any(x.startswith("gpl-") for x in labels):
+        labels.discard("gpl")
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
 
 

@@ -70,6 +70,17 @@ def test_tags_and_notices():
     assert scan(b"SPDX-License-Identifier:")[5:] == ("", 0.0)
 
 
+def test_gpl_file_notices():
+    notice = b"""under the terms of the GNU General Public License as published by the Free Software
+ * Foundation, either version %d of the License, or (at your option) any later version.
+ * See the GNU General Public License for more details."""
+    assert scan(notice % 3)[5:] == ("gpl-3", 0.75)
+    assert scan(notice % 2)[5:] == ("gpl-2", 0.75)
+    assert scan(b"the GNU General Public License as published by the Free Software Foundation; version 2.")[5:] == ("gpl-2", 0.75)
+    assert scan(b"the GNU General Public License, see COPYING")[5:] == ("gpl", 0.75)
+    assert scan(b"the GNU Lesser General Public License")[5:] == ("lgpl", 0.5)
+
+
 def test_license_odd_rows(odd, none):
     got = sorted((tuple(r)[:6] for r in scan_licenses(odd).collect()), key=str)
     assert got == sorted(((r[0], *plain_license(r[1])) for r in odd_rows()), key=str)
