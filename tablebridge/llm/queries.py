@@ -14,6 +14,7 @@ from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.lines import drop_recurring_lines
 from tablebridge.llm.packing import pack_documents
 from tablebridge.llm.quality import classify_quality
+from tablebridge.llm.runs import collapse_runs, plant_runs, run_digests
 from tablebridge.llm.secrets import scan_secrets
 from tablebridge.llm.token_counts import count_tokens
 from tablebridge.llm.topk import top_inner_products
@@ -73,7 +74,26 @@ def op10_score_texts(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_find_contaminated, op2_jaccard_groups, op3_pack, op4_top_inner_products, op5_drop_recurring_lines, op6_classify_quality, op7_count_tokens, op8_scan_licenses, op9_scan_secrets, op10_score_texts)}
+def op11_collapse_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(collapse_runs(plant_runs(table(spark, folder, "documents"))))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_find_contaminated,
+        op2_jaccard_groups,
+        op3_pack,
+        op4_top_inner_products,
+        op5_drop_recurring_lines,
+        op6_classify_quality,
+        op7_count_tokens,
+        op8_scan_licenses,
+        op9_scan_secrets,
+        op10_score_texts,
+        op11_collapse_runs,
+    )
+}
 TOP_SQL = """
 WITH rows AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

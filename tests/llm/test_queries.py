@@ -17,4 +17,5 @@ def test_query_matches_its_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert [sum(name.startswith(f"op{n}_") for name in QUERIES) for n in range(1, 11)] == [1] * 10
+    names = [name.split("_")[0] for name in QUERIES]
+    assert names == [f"op{n}" for n in range(1, len(names) + 1)]
