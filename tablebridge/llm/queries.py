@@ -12,6 +12,7 @@ from tablebridge.llm.decontamination import find_contaminated
 from tablebridge.llm.jaccard import jaccard_groups
 from tablebridge.llm.licenses import scan_licenses
 from tablebridge.llm.lines import drop_recurring_lines
+from tablebridge.llm.onebit import nearest_neighbours
 from tablebridge.llm.packing import pack_documents
 from tablebridge.llm.quality import classify_quality
 from tablebridge.llm.runs import collapse_runs, plant_runs, run_digests
@@ -78,6 +79,10 @@ def op11_collapse_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(collapse_runs(plant_runs(table(spark, folder, "documents"))))
 
 
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
         op9_scan_secrets,
         op10_score_texts,
         op11_collapse_runs,
+        op12_nearest_neighbours,
     )
 }
 TOP_SQL = """
