@@ -19,6 +19,7 @@ from tablebridge.llm.runs import collapse_runs, plant_runs, run_digests
 from tablebridge.llm.secrets import scan_secrets
 from tablebridge.llm.token_counts import count_tokens
 from tablebridge.llm.topk import top_inner_products
+from tablebridge.llm.vector_codes import codebooks_digest, compress_vectors, with_label_errors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +84,12 @@ def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
 
 
+def op13_compress_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = compress_vectors(table(spark, folder, "embeddings"))
+    rows = with_label_errors(coded).withColumn("codebooks_sha256", F.lit(codebooks_digest(books)))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -98,6 +105,7 @@ QUERIES: dict[str, Query] = {
         op10_score_texts,
         op11_collapse_runs,
         op12_nearest_neighbours,
+        op13_compress_vectors,
     )
 }
 TOP_SQL = """
@@ -146,4 +154,37 @@ SELECT n.doc_id, n.n AS n_shingles, coalesce(c.component, n.doc_id) AS component
 FROM n LEFT JOIN nodes ON n.k = nodes.k AND n.n > 0 LEFT JOIN least_of c ON c.a = nodes.rep
 """
 
-ORACLES: dict[str, str] = {"op2_jaccard_groups": GROUPS_SQL, "op4_top_inner_products": TOP_SQL}
+
+def _round_sql(turn: int) -> str:
+    """Assign all parts by the codebook before, then average; for the codes SQL."""
+    return f"""
+), a{turn} AS MATERIALIZED (
+  SELECT rid, p, min(struct_pack(d := CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT), e := e)) AS best
+  FROM parts JOIN b{turn - 1} USING (p) GROUP BY rid, p
+), s{turn} AS (
+  SELECT p, best.e AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{turn} JOIN parts USING (rid, p), (SELECT unnest(range(1, 17)) AS i) GROUP BY p, best.e, i
+), b{turn} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{turn - 1} b
+  LEFT JOIN (SELECT p, e, list((s - ((s % n + n) % n)) // n ORDER BY i) AS c FROM s{turn} GROUP BY p, e) m USING (p, e)"""
+
+
+CODES_SQL = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT rid, p, v[p * 16 + 1 : p * 16 + 16] AS x FROM kept, (SELECT unnest(range(4)) AS p)
+), b0 AS MATERIALIZED (
+  SELECT p, rid - 1 AS e, x AS c FROM parts WHERE rid <= 256{"".join(_round_sql(turn) for turn in range(1, 6))}
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a5 GROUP BY rid
+), books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), books
+"""
+
+ORACLES: dict[str, str] = {"op2_jaccard_groups": GROUPS_SQL, "op4_top_inner_products": TOP_SQL, "op13_compress_vectors": CODES_SQL}

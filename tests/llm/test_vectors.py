@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablebridge.llm import onebit
+from tablebridge.llm import onebit, vector_codes
 from tablebridge.llm.queries import op12_nearest_neighbours
 from tests.conftest import SMALL
 
@@ -111,3 +111,84 @@ def test_odd_vectors(spark):
     for nothing in (nobody, frame.where("vec_id = 1")):
         found = onebit.nearest_neighbours(nothing, F.col("vec_id") % 20 == 0)
         assert found.collect() == [] and found.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def plain_codes(ids: list, x: np.ndarray, parts: int = 4, entries: int = 256, rounds: int = 4) -> tuple[list[str], list[int], list[np.ndarray]]:
+    """Codes, errors and codebooks, every part compared with every entry in every round."""
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, x[i].tolist()))[:entries]
+    width = x.shape[1] // parts
+    codes, error, books = [b""] * len(x), np.zeros(len(x), np.int64), []
+    for p in range(parts):
+        own = x[:, p * width : (p + 1) * width]
+        book = own[order].copy()
+        for turn in range(rounds + 1):
+            d = ((own[:, None, :] - book[None]) ** 2).sum(axis=2)
+            best = d.argmin(axis=1)
+            if turn < rounds:
+                for e in set(best):
+                    book[e] = own[best == e].sum(axis=0) // int((best == e).sum())
+        error += d[np.arange(len(x)), best]
+        codes = [code + bytes([e]) for code, e in zip(codes, best, strict=True)]
+        books.append(book)
+    return [code.hex() for code in codes], error.tolist(), books
+
+
+@pytest.mark.parametrize(("width", "entries", "spread"), [(16, 40, 3), (12, 7, 0.2), (5, 256, 1)])
+def test_codes_of_made_vectors(spark, width, entries, spread):
+    """Small whole numbers, so that ties and repeated vectors are frequent."""
+    rng = np.random.default_rng(width)
+    x = np.floor(rng.standard_normal((700, width)) * spread) + rng.integers(0, 3, (700, 1)) * 4
+    ids = rng.permutation(650).tolist() + [0, 1, 1, 2, *[None] * 46]
+    frame = spark.createDataFrame([(n, v.tolist(), None) for n, v in zip(ids, x, strict=True)], SCHEMA).repartition(5)
+    coded, books = vector_codes.compress_vectors(frame, entries=entries, scale=2, groups=5)
+    padded = np.zeros((700, -(-width // 4) * 4), np.int64)
+    padded[:, :width] = 2 * x
+    codes, error, want = plain_codes(ids, padded, entries=entries)
+    assert sorted((str(r.vec_id), r.code, r.error) for r in coded.collect()) == sorted(zip(map(str, ids), codes, error, strict=True))
+    assert all((a == b).all() for a, b in zip(books, want, strict=True))
+
+
+def test_bounds_spare_distances_and_lose_nothing():
+    """Net displacements loosen bounds less than the sums of all moves, and every part keeps its nearest entry."""
+    rng = np.random.default_rng(9)
+    x = (rng.standard_normal((20, 8))[rng.integers(0, 20, 3000)] * 300 + rng.standard_normal((3000, 8)) * 60).astype(np.int64)
+    history = [x[:64].copy()]
+    groups = vector_codes.grouping(history[0], 12)
+    assert sorted(np.concatenate(groups)) == list(range(64))
+    bounds = vector_codes.Bounds.new(len(x), len(groups))
+    worked = []
+    for _ in range(6):
+        worked.append(vector_codes.assign(x, np.stack(history), groups, bounds, True))
+        d = ((x[:, None, :] - history[-1][None]) ** 2).sum(axis=2)
+        assert (bounds.entry == d.argmin(axis=1)).all()
+        for g, own in enumerate(groups):
+            others = np.where(own[None, :] == bounds.entry[:, None], np.inf, np.sqrt(d[:, own])).min(axis=1)
+            moved = np.sqrt(((history[-1][None, own].astype(float) - np.stack(history)[:, own]) ** 2).sum(axis=2)).max(axis=1)
+            assert (bounds.low[:, g] - moved[bounds.low_at[:, g]] <= others + 1e-3).all()
+        book = history[-1].copy()
+        for e in np.unique(bounds.entry):
+            book[e] = x[bounds.entry == e].sum(axis=0) // int((bounds.entry == e).sum())
+        history.append(book)
+    assert worked[-1] < 0.3 * worked[0]
+    moves = np.sqrt((np.diff(np.stack(history).astype(float), axis=0) ** 2).sum(axis=2))
+    net = np.sqrt(((history[-1] - history[0]).astype(float) ** 2).sum(axis=1))
+    assert (net <= moves.sum(axis=0) + 1e-9).all() and net.sum() < 0.95 * moves.sum()
+
+
+def test_exact_beyond_doubles():
+    x = np.array([[1 << 26, 3], [(1 << 26) + 1, 3], [-(1 << 26), 0]], np.int64)
+    assert (vector_codes.distances(x, x, False) == ((x[:, None] - x[None]) ** 2).sum(axis=2)).all()
+
+
+def test_odd_vectors_are_coded(spark):
+    rows = [(5, [1.0, 2.0], 1), (None, [1.0, 2.0], None), (None, [0.0], None), (7, None, 1), (8, [NAN, 1.0], 1), (9, [None, 1.0], 1), (5, [1.0, 2.0], 1), (3, [], None)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("clash") for c in ("key", "v", "code", "error", "label_error", "x")})
+    coded, books = vector_codes.compress_vectors(frame)
+    got = vector_codes.with_label_errors(coded).collect()
+    assert sorted((str(r.vec_id), r.label, r.error) for r in got) == [("3", None, 0), ("5", 1, 0), ("5", 1, 0), ("None", None, 0), ("None", None, 0)]
+    assert {r.vec_id: r.code for r in got if r.vec_id}[5] == "01010000"
+    assert [len(b) for b in books] == [5] * 4
+    nothing, none = vector_codes.compress_vectors(frame.where("vec_id > 6"))
+    assert vector_codes.with_label_errors(nothing).collect() == [] and none == []
+    with pytest.raises(ValueError, match="too large"):
+        vector_codes.compress_vectors(spark.createDataFrame([(1, [1e30], 1)], SCHEMA))
