@@ -1,4 +1,4 @@
-"""Capped probes of size and skew that choose how a join runs.
+"""Probes of size that choose how a join runs.
 
 They never change a result.
 """
@@ -42,23 +42,8 @@ def _bytes(field: T.StructField) -> Column:
     return F.coalesce(F.octet_length(value), F.lit(0)) + 16
 
 
-HOT_SHARE = 0.005
-SAMPLE = 0.01
-SAMPLE_SEED = 11
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[tuple]:
-    """Key values that hold more than ``share`` of the rows, by a sample; at most ``1 / share`` of them.
-
-    Reads the key columns only; the sample is grouped where it is read.
-    """
-    known = reduce(lambda a, b: a & b, [ref(name).isNotNull() for name in keys])
-    sample = df.select([ref(name) for name in keys]).where(known).sample(SAMPLE, SAMPLE_SEED)
-    counts = sample.groupBy(*[ref(name) for name in keys]).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.persist()
-    try:
-        rows = counts.agg(F.sum("__n")).first()[0] or 0
-        most = counts.where(F.col("__n") > max(100, share * rows)).collect()
-    finally:
-        counts.unpersist()
-    return [tuple(row[name] for name in keys) for row in most]
+def planned_broadcast(df: DataFrame) -> bool:
+    """Whether Spark itself takes ``df`` for small enough to broadcast, by its statistics; runs nothing."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()

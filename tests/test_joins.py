@@ -90,7 +90,9 @@ KINDS.append(("right", False, False))
 @pytest.mark.parametrize("chain", CHAINS)
 def test_chain(spark, monkeypatch, chain, how, small, is_table):
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: small)
-    monkeypatch.setattr(joins, "hot_keys", lambda df, keys: [(7,)] if keys[0].endswith("k") else [("a",)])
+    monkeypatch.setattr(joins, "planned_broadcast", lambda df: small)
+    hot = spark.sql("SELECT xxhash64(7) AS k, xxhash64('a') AS s").first()
+    monkeypatch.setattr(joins, "hot_keys", lambda df, keys: [hot.k] if keys[0].endswith("k") else [hot.s])
     left, right = rows(40, 1), rows(30, 2)
     schema = "`{0}.k` int, `{0}.v` double, `{0}.s` string"
     base = spark.createDataFrame(left, schema.format("b"))
@@ -117,22 +119,74 @@ def test_size_probe(spark):
     assert not fits_broadcast(table, max_rows=100, max_bytes=50)
 
 
-def test_hot_key_probe(spark):
+def hash_of(spark, value: int) -> int:
+    return spark.sql(f"SELECT xxhash64({value}L)").first()[0]
+
+
+def test_hot_keys_of_a_small_share_are_found(spark):
+    """A key with 0.6 percent of the rows, spread over all tasks, beside 200,000 others."""
     from pyspark.sql import functions as F
 
-    from tablebridge.operators.sizing import hot_keys
+    from tablebridge.operators.heavy import hot_keys
 
-    even = spark.range(200_000).withColumnRenamed("id", "k")
-    hot = even.withColumn("k", F.when(F.col("k") % 3 == 0, 1).otherwise(F.col("k")))
-    assert hot_keys(hot, ["k"]) == [(1,)] and hot_keys(even, ["k"]) == []
+    even = spark.range(0, 200_000, 1, 8).withColumnRenamed("id", "k")
+    some = even.withColumn("k", F.when(F.col("k") % 166 == 0, 1).otherwise(F.col("k")))
+    assert hot_keys(some, ["k"]) == [hash_of(spark, 1)] and hot_keys(even, ["k"]) == []
     assert hot_keys(even.limit(0), ["k"]) == []
+    assert hot_keys(some.withColumn("k", F.when(F.col("k") != 1, F.col("k"))), ["k"]) == []  # nulls hold no share
+    both = some.select("k", F.lit("x").alias("t"))
+    assert hot_keys(both, ["k", "t"]) == [spark.sql("SELECT xxhash64(1L, 'x')").first()[0]]
+
+
+def test_a_table_is_asked_once(spark, tmp_path):
+    """The second frame over the same files, under other names, runs no job."""
+    from pyspark.sql import functions as F
+
+    from tablebridge.operators.heavy import hot_keys
+
+    spark.range(5000).select((F.col("id") % 3).alias("k"), "id").write.parquet(f"{tmp_path}/t")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = []
+    for name in ("a.k", "b.k"):
+        frame = spark.read.parquet(f"{tmp_path}/t").select(F.col("k").alias(name))
+        spark.sparkContext.setJobGroup(f"hot-{name}", name)
+        assert len(hot_keys(frame, [name])) == 3
+        jobs.append(len(tracker.getJobIdsForGroup(f"hot-{name}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] > 0 and jobs[1] == 0
+
+
+def test_sketches_of_loads_are_merged(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tablebridge.operators.heavy import KeySketches
+
+    kept = KeySketches(spark, f"{tmp_path}/sketches")
+    first = spark.range(10_000).select(F.when(F.col("id") % 100 == 0, 3).otherwise(F.col("id")).alias("k"))
+    kept.add("t", first, ["k"])
+    kept.add("u", spark.range(50).select(F.lit(9).cast("long").alias("k")), ["k"])
+    assert kept.hot("t", ["k"]) == [hash_of(spark, 3)]
+    later = spark.range(30_000).select(F.when(F.col("id") % 50 == 0, 4).otherwise(-F.col("id")).alias("k"))
+    kept.add("t", later, ["k"])
+    # 100 of 40,000 rows are no longer hot, 600 are.
+    assert kept.hot("t", ["k"]) == [hash_of(spark, 4)]
+    assert kept.hot("u", ["k"]) == [hash_of(spark, 9)] and kept.hot("v", ["k"]) == []
+
+
+def test_no_job_while_a_small_outer_join_is_built(spark):
+    base, target = spark.range(100).withColumnRenamed("id", "b.k"), spark.range(100).withColumnRenamed("id", "t.k")
+    spark.sparkContext.setJobGroup("outer", "outer")
+    for how in ("left", "right"):
+        joins.join_frames(base, target, how, [[("b.k", "=", "t.k")]])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("outer")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_outer_join_on_a_hot_key_is_split(spark, monkeypatch):
     """A third of the optional side shares one key."""
     from pyspark.sql import functions as F
 
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "planned_broadcast", lambda df: False)
     base = spark.range(1000).select(F.col("id").alias("b.k"))
     target = spark.range(60_000).select(
         F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("t.k"), F.col("id").alias("t.v")
@@ -174,7 +228,6 @@ def test_small_and_large_paths_agree(spark, monkeypatch, one, two):
         return raw.select(F.col("v").cast(kind).alias(name))
 
     base, target = frame("b.v", one), frame("t.v", two)
-    monkeypatch.setattr(joins, "LEAST_RANGES", 3)
     for operator, how in [("<", "inner"), ("<=", "left"), (">", "right"), (">=", "inner"), ("!=", "left")]:
         outcome = []
         for small in (True, False):
@@ -184,21 +237,77 @@ def test_small_and_large_paths_agree(spark, monkeypatch, one, two):
         assert outcome[0] == outcome[1] and outcome[0]
 
 
-def test_outliers_and_common_starts_spread(spark, monkeypatch):
+def met(left, right, group) -> tuple[int, int, int]:
+    """Rows that each side sends to nodes, and pairs that meet there, of a band of ``left`` around values of ``right``."""
+    from pyspark.sql import functions as F
+
+    compare = joins._Compare(left, right)
+    ranks = joins._Ranks(compare)
+    band = joins._band(group, compare)
+    joined = joins._interval_pairs(left, right, group, ranks, compare)
+    (found,) = ranks._made.values()
+    kind = compare.type_of(band.point, band.low or band.high)
+    values = joins._ranked(right, compare.value(band.point, kind), found, "r")
+    held = values.select(F.explode(joins.value_nodes(F.col("r"), found))).count()
+    spans = joins._ranked(joins._ranked(left, compare.value(band.low, kind), found, "a"), compare.value(band.high, kind), found, "z")
+    sent = spans.where("a <= z").select(F.explode(joins.interval_nodes("a", "z", found))).count()
+    return held, sent, joined.count()
+
+
+def test_work_grows_with_rows_not_with_their_product(spark):
+    from pyspark.sql import functions as F
+
+    sizes = []
+    for n in (2_000, 20_000):
+        spans = spark.range(n).select(F.col("id").alias("b.lo"), (F.col("id") + 30).alias("b.hi"))
+        values = spark.range(2 * n).select((F.col("id") / 2).alias("t.v"))
+        sizes.append(met(spans, values, [("b.lo", "<=", "t.v"), ("b.hi", ">=", "t.v")]))
+    (held, sent, pairs), (more_held, more_sent, more_pairs) = sizes
+    assert pairs == 2_000 * 61 - 900 and more_pairs == 20_000 * 61 - 900
+    assert 9 < more_held / held < 11 and 9 < more_sent / sent < 11
+    assert more_sent < 20_000 * 25 and more_held <= 40_000 * 5
+
+
+@pytest.mark.parametrize("rows_per_value", [1, 30, 5000])
+def test_nodes_cover_an_interval_once(spark, rows_per_value):
+    """Each rank of an interval lies in one of its nodes, and no other does; many equal values keep nodes small."""
+    from pyspark.sql import functions as F
+
+    from tablebridge.operators import intervals
+
+    levels = {1: 4, 30: 2, 5000: 0}[rows_per_value]
+    values = spark.range(9000).select((F.col("id") * 7).alias("value"), F.lit(rows_per_value).alias("n"))
+    ranks = intervals.rank_values(values.union(spark.createDataFrame([(None, 5), (63, 0)], "value long, n int")))
+    assert (ranks.distinct, ranks.levels) == (9000, levels)
+    order = ranks.table.orderBy("value").collect()
+    assert [(r.value, r.rank) for r in order] == [(7 * i, i) for i in range(9000)]
+    made = random.Random(3)
+    spans = [(0, 8999), (0, 0), (8999, 8999), (1, 8998), (5, 4)] + [tuple(sorted(made.sample(range(9000), 2))) for _ in range(60)]
+    frame = spark.createDataFrame([(a, z) for a, z in spans], "a long, z long")
+    nodes = {(r.a, r.z): r.n for r in frame.select("a", "z", intervals.interval_nodes("a", "z", ranks).alias("n")).collect()}
+    own = {r.rank: set(r.n) for r in ranks.table.select("rank", intervals.value_nodes(F.col("rank"), ranks).alias("n")).collect()}
+    for (a, z), visited in nodes.items():
+        once = set(visited)
+        assert len(once) == len(visited)
+        for rank in {*range(max(0, a - 9), min(9000, a + 90)), *range(max(0, z - 90), min(9000, z + 10)), *made.sample(range(9000), 50)}:
+            assert len(own[rank] & once) == (a <= rank <= z)
+        assert len(visited) <= max(0, z - a + 1) and (levels < 4 or len(visited) <= 14 * 4 + 3)
+
+
+def test_common_values_and_outliers(spark, monkeypatch):
+    """A third of the values equal, one far from all others, and bounds that no value equals."""
     from pyspark.sql import functions as F
 
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    table = spark.range(40_000).select(
-        F.when(F.col("id") == 0, 10**12).otherwise(F.col("id")).alias("t.n"),
-        F.format_string("Customer#%09d", F.col("id")).alias("t.s"),
-    )
-    ranges = joins._Ranges(table)
-    compare = joins._Compare(spark.range(1).select(F.lit(1).cast("long").alias("b.n"), F.lit("x").alias("b.s")), table)
-    for own in ("n", "s"):
-        kind = compare.type_of(f"b.{own}", f"t.{own}")
-        bounds = ranges.bounds(compare, kind, f"t.{own}")
-        spread = table.groupBy(joins._range_of(compare.value(f"t.{own}", kind), bounds, kind).alias("r")).count().collect()
-        assert len(spread) >= 8 and max(r["count"] for r in spread) < 12_000
+    target = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 50).when(F.col("id") == 1, 10**12).otherwise(F.col("id")).alias("t.v"))
+    base = spark.range(200).select((F.col("id") - 0.5).alias("b.lo"), (F.col("id") * F.col("id") + 0.25).alias("b.hi"))
+    values = [50 if i % 3 == 0 else 10**12 if i == 1 else i for i in range(3000)]
+    for how in ("inner", "left", "right"):
+        joined = joins.join_frames(base, target, how, [[("b.lo", "<", "t.v"), ("b.hi", ">", "t.v")]])
+        pairs = [(i, v) for i in range(200) for v in values if i - 0.5 < v < i * i + 0.25]
+        met_values = {v for _, v in pairs}
+        lonely = {"inner": 0, "left": 200 - len({i for i, _ in pairs}), "right": sum(v not in met_values for v in values)}
+        assert joined.count() == len(pairs) + lonely[how]
 
 
 def test_a_band_visits_few_ranges(spark, monkeypatch):
