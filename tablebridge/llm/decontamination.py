@@ -9,6 +9,7 @@ built from the benchmark's hashes, keeps text windows without any partner out of
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,9 @@ from tablebridge.llm.filters import bit_filter, passes
 from tablebridge.llm.storage import stored
 from tablebridge.llm.words import chunks, mix, signed, words
 
-#: Windows of twelve tokens, of which eight are looked at.
-MASKS = ("111001010111", "110110100111", "111101001011")
+#: Windows of up to twelve tokens, of which six are looked at. However the substitutions lie, one of these
+#: meets none of them somewhere in any overlap of 13 tokens or more that agrees in 80 percent (tested by enumeration).
+MASKS = ("11101011", "11001000111", "101000100111", "111111")
 #: An overlap has this many tokens, or a shorter item's all, and agrees in this share of places.
 LEAST_TOKENS = 13
 AGREEMENT = 0.8
@@ -29,7 +31,7 @@ AGREEMENT = 0.8
 LEAST_ITEM = 5
 #: Bits of the filter: 1 MB whatever the benchmark's size.
 FILTER_BITS = 23
-#: Tokens kept on either side of hits, and tokens between the outermost hits of one stretch at most.
+#: Tokens kept on either side of hits, and tokens between the outermost hits of one stretch, unless an item is longer.
 REACH = 32
 STRETCH = 256
 
@@ -58,10 +60,20 @@ def hash_of_mask(mask: str) -> np.uint64:
     return mix(np.array([int("1" + mask.replace("0", "2"), 3)], np.uint64))[0]
 
 
-def masks_for(lengths: list[int], masks: tuple[str, ...] = MASKS) -> list[str]:
-    """The masks, and for each length of items too short for them a mask that looks at every token."""
-    span = max(map(len, masks))
-    return [*masks, *("1" * n for n in sorted(set(lengths)) if LEAST_ITEM <= n < span)]
+def short_masks(n: int, agreement: float = AGREEMENT) -> list[str]:
+    """Masks over all n tokens of a short item, one of which ignores any places that may be substituted.
+
+    Places are dealt to two groups more than substitutions are allowed; each mask looks at two groups.
+    """
+    allowed = int(n * (1 - agreement) + 1e-9)
+    if not allowed:
+        return ["1" * n]
+    return ["".join("1" if i % (allowed + 2) in looked else "0" for i in range(n)) for looked in itertools.combinations(range(allowed + 2), 2)]
+
+
+def masks_for(lengths: list[int], least: int = LEAST_TOKENS, agreement: float = AGREEMENT) -> list[tuple[str, int]]:
+    """(mask, length of the items it is for): those of `MASKS` for items of `least` tokens or more (0), and own ones for each length below."""
+    return [*((mask, 0) for mask in MASKS), *((mask, n) for n in sorted(set(lengths)) if LEAST_ITEM <= n < least for mask in short_masks(n, agreement))]
 
 
 def best_overlap(a: np.ndarray, b: np.ndarray, shift: int, agreement: float = AGREEMENT) -> tuple[int, int, int]:
@@ -113,9 +125,8 @@ def item_sequences(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return found.groupBy("tokens").agg(F.min("item").alias("item")).select("item", F.xxhash64("tokens").alias("sequence"), "tokens")
 
 
-def item_windows(items: DataFrame, masks: list[str]) -> DataFrame:
-    """hash, sequence, place of all windows of items; a short item has its whole as one window."""
-    span = max(map(len, MASKS))
+def item_windows(items: DataFrame, masks: list[tuple[str, int]], least: int = LEAST_TOKENS) -> DataFrame:
+    """hash, sequence, place of all windows of items under the masks for their length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,20 +135,23 @@ def item_windows(items: DataFrame, masks: list[str]) -> DataFrame:
             first = np.concatenate(([0], np.cumsum(n)))
             h = lists.flatten().to_numpy().view(np.uint64)
             owner = np.repeat(np.arange(len(n)), n)
-            for mask in masks:
+            for mask, length in masks:
                 at, found = masked_hashes(h, first, mask)
-                if len(mask) < span:  # a short mask is for items of just its length
-                    keep = n[owner[at]] == len(mask)
-                    at, found = at[keep], found[keep]
+                keep = n[owner[at]] == length if length else n[owner[at]] >= least
+                at, found = at[keep], found[keep]
                 rows = owner[at]
                 yield pa.RecordBatch.from_arrays([pa.array(signed(found)), batch.column(0).take(pa.array(rows)), pa.array((at - first[rows]).astype(np.int32))], ["hash", "sequence", "place"])
 
     return items.select("sequence", "tokens").mapInArrow(run, "hash long, sequence long, place int").dropDuplicates()
 
 
-def stretches(docs: DataFrame, row: str, text: str, masks: list[str], table: np.ndarray) -> DataFrame:
-    """row (what column `row` has), start, tokens, hashes, places: the stretches of texts that hold windows which pass the filter."""
+def stretches(docs: DataFrame, row: str, text: str, masks: list[str], table: np.ndarray, longest: int = 0) -> DataFrame:
+    """row (what column `row` has), start, tokens, hashes, places: the stretches of texts that hold windows which pass the filter.
+
+    A stretch goes on for as many tokens as the `longest` item has on either side of its hits, so it holds all of any overlap.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((masks, table))  # the filter's fixed size
+    reach, most = max(REACH, longest), max(STRETCH, longest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_masks, bits = shared.value
@@ -158,15 +172,15 @@ def stretches(docs: DataFrame, row: str, text: str, masks: list[str], table: np.
                 place, hashes, end = place[order], hashes[order], end[order]
                 doc = np.searchsorted(first, place, side="right") - 1
                 new = np.ones(len(place), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > REACH)
-                # A stretch of many hits goes on as a new one after STRETCH tokens.
+                new[1:] = (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] > reach)
+                # A stretch of many hits goes on as a new one after `most` tokens.
                 run_start = np.maximum.accumulate(np.where(new, np.arange(len(place)), 0))
-                part = (place - place[run_start]) // STRETCH
+                part = (place - place[run_start]) // most
                 new[1:] |= (run_start[1:] == run_start[:-1]) & (part[1:] != part[:-1])
                 heads = np.flatnonzero(new)
                 tails = np.append(heads[1:], len(place))
-                low = np.maximum(first[doc[heads]], place[heads] - REACH)
-                high = np.minimum(first[doc[heads] + 1], np.maximum.reduceat(end, heads) + REACH)
+                low = np.maximum(first[doc[heads]], place[heads] - reach)
+                high = np.minimum(first[doc[heads] + 1], np.maximum.reduceat(end, heads) + reach)
                 size = high - low
                 bounds = np.concatenate(([0], np.cumsum(size)))
                 tokens = h[np.repeat(low - bounds[:-1], size) + np.arange(bounds[-1])]
@@ -215,10 +229,13 @@ def verified(candidates: DataFrame, least: int, agreement: float) -> DataFrame:
 def overlaps(docs: DataFrame, benchmark: DataFrame, row: str, text: str, item: str, item_text: str, least: int, agreement: float) -> DataFrame:
     """row, item, start, length, matched: the longest verified overlap of each text row with each item."""
     items = stored(item_sequences(benchmark, item, item_text), "benchmark-items")
-    lengths = [r.n for r in items.select(F.size("tokens").alias("n")).where(F.col("n") < max(map(len, MASKS))).distinct().collect()]  # a dozen at most
-    masks = masks_for(lengths)
-    windows = stored(item_windows(items, masks), "benchmark-windows")
-    found = stored(stretches(docs, row, text, masks, bit_filter(windows, "hash", FILTER_BITS)).withColumn("stretch", F.monotonically_increasing_id()), "stretches")
+    sizes = items.select(F.size("tokens").alias("n"))
+    lengths = [r.n for r in sizes.where(F.col("n") < least).distinct().collect()]  # a dozen at most
+    longest = sizes.agg(F.max("n")).first()[0] or 0
+    masks = masks_for(lengths, least, agreement)
+    windows = stored(item_windows(items, masks, least), "benchmark-windows")
+    looks = list(dict.fromkeys(mask for mask, _ in masks))
+    found = stored(stretches(docs, row, text, looks, bit_filter(windows, "hash", FILTER_BITS), longest).withColumn("stretch", F.monotonically_increasing_id()), "stretches")
     hits = found.select("stretch", F.explode(F.arrays_zip("hashes", "places")).alias("hit")).select("stretch", F.col("hit.hashes").alias("hash"), F.col("hit.places").alias("at"))
     pairs = hits.join(windows, "hash").select("stretch", "sequence", (F.col("at") - F.col("place")).alias("shift")).distinct()
     laid = pairs.join(found.select("stretch", "row", "start", "tokens"), "stretch").join(items.select("sequence", "item", F.col("tokens").alias("sequence_tokens")), "sequence")

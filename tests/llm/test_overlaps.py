@@ -180,33 +180,49 @@ def test_shingles_are_told_apart():
 # Decontamination
 
 
-def plain_contaminated(docs: list[tuple], items: list[tuple], least: int, agreement: float) -> dict:
-    """Best overlap of every document with every item over all shifts, where windows of some mask agree."""
+def plain_contaminated(docs: list[tuple], items: list[tuple], least: int, percent: int) -> dict:
+    """Length of the longest overlap of every document with every item, over all shifts, that agrees in `percent` of its places."""
     out = {}
     for d, text in docs:
         a = split(text, r"[0-9a-z\x80-\U0010ffff]+")
         for i, passage in items:
             b = split(passage, r"[0-9a-z\x80-\U0010ffff]+")
-            if len(b) < decontamination.LEAST_ITEM:
-                continue
-            masks = decontamination.MASKS if len(b) >= 12 else ["1" * len(b)]
-            best = None
-            for shift in range(-len(b), len(a)):
-                low, high = max(0, -shift), min(len(b), len(a) - shift)
-                equal = [a[j + shift] == b[j] for j in range(low, high)]
-                if not any(all(equal[j + k] for k, bit in enumerate(m) if bit == "1") for m in masks for j in range(len(equal) - len(m) + 1)):
-                    continue
-                score = [1 if e else -agreement / (1 - agreement) for e in equal]
-                top = max(((sum(score[x:y]), -y, -x) for x in range(len(score)) for y in range(x + 1, len(score) + 1)), default=None)
-                if top and -top[1] + top[2] >= min(least, len(b)):
-                    x, y = -top[2], -top[1]
-                    found = (y - x, sum(equal[x:y]), -(low + shift + x))
-                    best = max(best or found, found)
-            if best:
-                out[(d, i)] = (-best[2], best[0], best[1])
+            longest = max((plain_longest(a, b, shift, percent) for shift in range(-len(b), len(a))), default=0)
+            if len(b) >= decontamination.LEAST_ITEM and longest >= min(least, len(b)):
+                out[(d, i)] = longest
     return out
 
 
+@pytest.mark.parametrize("n", [*range(13, 26), 30])
+def test_some_mask_meets_no_substitution(n):
+    """Every placement of as many substitutions as 80 percent agreement allows."""
+    places = np.array([sum(1 << i for i in c) for c in itertools.combinations(range(n), n // 5)], np.int64)
+    for mask in decontamination.MASKS:
+        looked = sum(1 << i for i, bit in enumerate(mask) if bit == "1")
+        for shift in range(n - len(mask) + 1):
+            places = places[places & (looked << shift) != 0]
+    assert not len(places)
+
+
+@pytest.mark.parametrize("n", range(5, 13))
+def test_short_items_have_masks_for_all_substitutions(n):
+    masks = [{i for i, bit in enumerate(mask) if bit == "1"} for mask in decontamination.short_masks(n)]
+    for places in itertools.combinations(range(n), n // 5):
+        assert any(not mask & set(places) for mask in masks)
+
+
+def test_long_copies_are_reported_whole(spark):
+    """An item of 1,000 tokens copied from its third token on; one of 8 tokens with a word replaced."""
+    item, short = prose(71, 1000).split(), prose(72, 8).split()
+    copied = prose(73, 40).split() + item[2:] + prose(74, 700).split()
+    changed = prose(75, 30).split() + short[:3] + ["other"] + short[4:]
+    docs = spark.createDataFrame([(1, " ".join(copied)), (2, " ".join(changed)), (3, prose(76, 900))], "doc_id long, text string")
+    items = spark.createDataFrame([(5, " ".join(item)), (6, " ".join(short))], "item_id long, text string")
+    rows = {(r.doc_id, r.item_id): (r.first_token, r.n_matched) for r in decontamination.find_contaminated(docs, items).collect()}
+    assert set(rows) == {(1, 5), (2, 6)}
+    assert rows[(1, 5)] == (40, 998) and rows[(2, 6)] == (30, 7)
+
+
 def test_substituted_passages_are_found(spark):
     rng = random.Random(8)
     items = [(i, prose(500 + i, rng.choice([6, 9, 12, 20, 30]))) for i in range(12)] + [(50, "too short"), (51, None), (52, "")]
@@ -222,8 +238,15 @@ def test_substituted_passages_are_found(spark):
             body[at:at] = own
         docs.append((d, " ".join(body)))
     got = decontamination.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"))
-    want = plain_contaminated(docs, [x for x in items if x[1]], 13, 0.8)
-    assert {(r.doc_id, r.item_id): (r.first_token, r.n_tokens, r.n_matched) for r in got.collect()} == want
+    want = plain_contaminated(docs, [x for x in items if x[1]], 13, 80)
+    texts, passages = dict(docs), dict(items)
+    found = {(r.doc_id, r.item_id): r for r in got.collect()}
+    assert set(found) == set(want)
+    for pair, r in found.items():
+        a, b = split(texts[pair[0]], r"[0-9a-z\x80-\U0010ffff]+"), split(passages[pair[1]], r"[0-9a-z\x80-\U0010ffff]+")
+        places = [sum(x == y for x, y in zip(a[r.first_token : r.first_token + r.n_tokens], b[at : at + r.n_tokens], strict=False)) for at in range(len(b) - r.n_tokens + 1)]
+        assert r.n_matched in places and 10 * r.n_matched >= 8 * r.n_tokens
+        assert min(13, len(b)) <= r.n_tokens <= want[pair]
     assert len(want) > 15 and all(d % 2 for d, _ in want)
 
 
