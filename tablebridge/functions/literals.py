@@ -98,3 +98,9 @@ def as_list(value: Any) -> list[Any]:
     if value is None:
         return []
     return [value]
+
+
+def sql_text(text: str) -> str:
+    """Text as a Spark SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

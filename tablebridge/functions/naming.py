@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_PLAIN = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*){0,2}")
+
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -32,3 +35,10 @@ def name_list(names: str | Sequence[str]) -> list[str]:
     if not found:
         raise ValueError("at least one column name is required")
     return found
+
+
+def checked_name(name: str) -> str:
+    """A plain, optionally qualified name; anything else could be a statement."""
+    if not _PLAIN.fullmatch(name):
+        raise ValueError(f"not a plain table or column name: {name!r}")
+    return name

@@ -67,7 +67,7 @@ SPEC_OPERATORS = {
     "LIST NOT CONTAINS": "list_not_contains",
 }
 
-_LIKE_FORMS = {
+LIKE_FORMS = {
     "contains": "%{}%",
     "not_contains": "%{}%",
     "starts_with": "{}%",
@@ -99,7 +99,7 @@ def like_pattern(kind: str, value: Any) -> str:
     other character means that character itself, which Spark rejects, so the
     backslash goes.
     """
-    pattern = _LIKE_FORMS[kind].format(value)
+    pattern = LIKE_FORMS[kind].format(value)
     escape = re.compile(r"\\([^%_\\])|(\\[%_\\])", re.S)
     return escape.sub(lambda match: match.group(1) or match.group(2), pattern)
 
@@ -124,7 +124,7 @@ def compare(
         return column.isNotNull()
     if value is None:
         raise ValueError(f"operator {operator!r} needs a value")
-    if operator in _LIKE_FORMS:
+    if operator in LIKE_FORMS:
         hit = _text(column, dtype).like(like_pattern(operator, value))
         return ~hit if operator == "not_contains" else hit
     if operator in ("matches", "not_matches"):

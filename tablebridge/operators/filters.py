@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import re
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +20,10 @@ log = logging.getLogger(__name__)
 COLUMN_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
+#: Column, canonical operator, value (a list for the IN forms), second value.
+Condition = tuple[str, str, Any, Any]
+
+
 class FilterError(ValueError):
     """A payload entry that strict mode refuses to skip."""
 
@@ -43,17 +47,22 @@ def parse_payload(filters: Any, strict: bool = False) -> list[Any]:
     return parsed
 
 
-def filter_predicate(df: DataFrame, filters: Any, strict: bool = False) -> Column | None:
-    """The payload as one predicate on ``df``, or None when nothing filters.
+def checked_conditions(filters: Any, strict: bool = False) -> list[Condition]:
+    """The payload's usable conditions.
 
     By default an entry that cannot be used is logged and left out, which
     widens the result; ``strict`` raises instead.
     """
-    terms = [
-        term
-        for term in (_condition(df, entry, strict) for entry in parse_payload(filters, strict))
-        if term is not None
-    ]
+    found = (_condition(entry, strict) for entry in parse_payload(filters, strict))
+    return [condition for condition in found if condition is not None]
+
+
+def filter_predicate(df: DataFrame, filters: Any, strict: bool = False) -> Column | None:
+    """The payload as one predicate on ``df``, or None when nothing filters."""
+    terms = []
+    for name, operator, value, second in checked_conditions(filters, strict):
+        dtype = df.select(ref(name)).schema[0].dataType
+        terms.append(compare(ref(name), dtype, operator, value, second, partial(typed_literal, dtype=dtype)))
     return reduce(lambda a, b: a & b, terms) if terms else None
 
 
@@ -63,7 +72,7 @@ def filter_rows(df: DataFrame, filters: Any, strict: bool = False) -> DataFrame:
     return df if predicate is None else df.where(predicate)
 
 
-def _condition(df: DataFrame, entry: Any, strict: bool) -> Column | None:
+def _condition(entry: Any, strict: bool) -> Condition | None:
     if not isinstance(entry, dict):
         return _skip(f"not a condition: {entry!r}", strict)
     column_info = entry.get("column")
@@ -85,11 +94,7 @@ def _condition(df: DataFrame, entry: Any, strict: bool) -> Column | None:
             return _skip(f"a bound is missing for {raw!r} on {name}", strict)
     elif operator not in ("is_null", "is_not_null") and value is None:
         return _skip(f"no value for {raw!r} on {name}", strict)
-
-    dtype = df.select(ref(name)).schema[0].dataType
-    return compare(
-        ref(name), dtype, operator, value, second, lambda item: typed_literal(item, dtype)
-    )
+    return name, operator, value, second
 
 
 def _skip(reason: str, strict: bool) -> None:

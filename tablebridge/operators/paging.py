@@ -9,6 +9,7 @@ by a hash of the row, so pages fit together whichever way each was read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import Any
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tablebridge.functions.hashing import range_partitioned, row_hash
 from tablebridge.functions.naming import name_list, ref
 from tablebridge.functions.text import stringify
-from tablebridge.operators.filters import filter_rows
+from tablebridge.operators.filters import checked_conditions, filter_rows
 from tablebridge.session import scratch_path
 
 # A page that ends past this row is read from a numbered copy.
@@ -39,18 +40,21 @@ def page(
     """Rows ``offset`` to ``offset + limit`` in the order of the key columns.
 
     Past ``top_k_rows`` it needs ``copy``, the path that ``number_rows`` returned for
-    the same rows and order: sorting them all again for every page would not do.
+    the same rows, order and filters: sorting them all again for every page would not do. A copy of
+    another order or of other filters is refused, wherever the page ends.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    rows = filter_rows(df, filters, strict)
+    if copy is not None:
+        _check_copy(df.sparkSession, copy, order_by, filters, strict)
     if offset + limit <= top_k_rows:
+        rows = filter_rows(df, filters, strict)
         order = [ref(name) for name in name_list(order_by)]
         return rows.orderBy(*order, row_hash(rows)).offset(offset).limit(limit)
     if copy is None:
         raise ValueError(
             f"a page that ends past row {top_k_rows} is read from a numbered copy: "
-            "pass copy=number_rows(rows, order_by)"
+            "pass copy=number_rows(rows, order_by, filters=filters)"
         )
     return read_page(df.sparkSession, copy, offset, limit)
 
@@ -88,9 +92,13 @@ def next_page(
 
 
 def number_rows(
-    df: DataFrame, order_by: str | Sequence[str], path: str | None = None
+    df: DataFrame,
+    order_by: str | Sequence[str],
+    path: str | None = None,
+    filters: Any = None,
+    strict: bool = False,
 ) -> str:
-    """Store a copy of ``df`` in order, for ``read_page``; returns its path.
+    """Store a copy of ``df``, or of its rows that pass ``filters``, in order, for ``page`` and ``read_page``; returns its path.
 
     Rows are range-partitioned and sorted, and written with their place inside
     the partition. Partition sizes, one row each, are summed up to starting
@@ -99,7 +107,8 @@ def number_rows(
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "numbered")
-    ranged, order = range_partitioned(df, [ref(name) for name in name_list(order_by)])
+    rows = filter_rows(df, filters, strict)
+    ranged, order = range_partitioned(rows, [ref(name) for name in name_list(order_by)])
     ranged.sortWithinPartitions(*order).select(
         *[ref(name) for name in df.columns],
         F.spark_partition_id().alias("__part"),
@@ -112,9 +121,23 @@ def number_rows(
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("size").over(before), F.lit(0))
     sizes.withColumn("start", start).write.mode("overwrite").parquet(f"{path}/starts")
+    named = spark.createDataFrame([(_described(order_by, filters, strict),)], "made_of string")
+    named.coalesce(1).write.mode("overwrite").parquet(f"{path}/made_of")
     return path
 
 
+def _described(order_by: str | Sequence[str], filters: Any, strict: bool) -> str:
+    """Order and usable filters of a copy, as one text; the filters' own order does not matter."""
+    conditions = sorted(json.dumps(c, default=str) for c in checked_conditions(filters, strict))
+    return json.dumps([name_list(order_by), conditions])
+
+
+def _check_copy(spark: SparkSession, copy: str, order_by: str | Sequence[str], filters: Any, strict: bool) -> None:
+    made_of = spark.read.schema("made_of string").parquet(f"{copy}/made_of").first()
+    if made_of is None or made_of["made_of"] != _described(order_by, filters, strict):
+        raise ValueError("the numbered copy has another order or other filters; number_rows takes both")
+
+
 def read_page(spark: SparkSession, path: str, offset: int, limit: int) -> DataFrame:
     """Rows by number from a stored copy, in order; numbers start at zero.
 

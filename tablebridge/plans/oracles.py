@@ -114,6 +114,15 @@ ORDER BY o_custkey, o_orderkey LIMIT 50""",
     "page_walk": """
 WITH r AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation, c_custkey FROM customer)
 SELECT nation, c_custkey, 'offset' AS how FROM r UNION ALL SELECT nation, c_custkey, 'after' FROM r""",
+    "page_walk_filtered": """
+WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus,
+    row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS place, count(*) OVER () // 6 + 1 AS size
+  FROM orders WHERE o_orderstatus IN ('F', 'P'))
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(place // size AS INTEGER) AS page FROM r""",
+    "reload_versions": """
+SELECT CAST(step AS BIGINT) AS step, o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM orders JOIN (VALUES (1, 'F'), (2, 'O'), (3, 'P'), (4, 'F')) v(step, status) ON o_orderstatus = status
+GROUP BY step, o_orderstatus""",
     "preview": "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus LIMIT 100",
     "count_filtered": """
 SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000""",

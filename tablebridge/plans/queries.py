@@ -49,6 +49,7 @@ from tablebridge.sinks.tables import (
     reload_table,
     truncate_table,
 )
+from tablebridge.sinks.versions import location, manifest, restore_version
 from tablebridge.sources.factory import open_source
 from tablebridge.sources.splits import map_batches, with_splits
 from tablebridge.streaming.deltas import stored_deltas, stream_deltas
@@ -252,6 +253,39 @@ def page_walk(spark, folder):
     return reduce(lambda a, b: a.unionByName(b), pages)
 
 
+@query
+def page_walk_filtered(spark, folder):
+    """All pages of the rows that pass a filter, by offset across the switch to a copy of them."""
+    orders = source(spark, folder).table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    filters = [{"column": {"name": "o_orderstatus"}, "operator": "IN", "value": "F, P"}]
+    size = filter_rows(orders, filters).count() // 6 + 1
+    copy = number_rows(orders, ["o_custkey", "o_orderkey"], filters=filters)
+    pages = [
+        page(orders, ["o_custkey", "o_orderkey"], number * size, size, filters, top_k_rows=3 * size, copy=copy).withColumn("page", F.lit(number))
+        for number in range(6)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), pages)
+
+
+@query
+def reload_versions(spark, folder):
+    """Three loads of one table: what it held after each, after going back to the first, and what was left to expire."""
+    orders = source(spark, folder).table("orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "versions")
+    columns = [{"name": "o_orderkey", "type": "BIGINT"}, {"name": "o_orderstatus", "type": "TEXT"}]
+    table = create_table(spark, path.rsplit("/", 1)[1].replace("-", "_"), columns, path)
+    for status in ("F", "O", "P"):
+        reload_table(orders.where(F.col("o_orderstatus") == status), table)
+    loads = manifest(spark, table).where("version > 0").orderBy("version").collect()
+    restore_version(spark, table, 1)
+    restored = location(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    seen = [spark.read.schema(orders.schema).parquet(load["path"]).withColumn("step", F.lit(load["version"])) for load in loads]
+    seen.append(spark.read.schema(orders.schema).parquet(restored).withColumn("step", F.lit(4)))
+    together = reduce(lambda a, b: a.unionByName(b), seen)
+    return together.groupBy("step", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
 @query
 def preview(spark, folder):
     statement = "SELECT o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderstatus;"
@@ -1002,8 +1036,9 @@ def truncate_and_reload(spark, folder):
     emptied = spark.table(table).count()
     insert_rows(customer, table)
     reload_table(customer.where("c_custkey % 2 = 0"), table)
+    loaded = location(spark, table)
     spark.sql(f"DROP TABLE {table}")
-    stored = spark.read.schema(customer.schema).parquet(path)
+    stored = spark.read.schema(customer.schema).parquet(loaded)
     return stored.withColumn("left_after_truncate", F.lit(emptied))
 
 

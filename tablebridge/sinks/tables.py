@@ -10,9 +10,11 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablebridge.functions.literals import sql_text
 from tablebridge.functions.naming import quoted, ref
 from tablebridge.functions.types import spark_type
 from tablebridge.session import scratch_path
+from tablebridge.sinks.versions import can_switch, load_version
 
 log = logging.getLogger(__name__)
 
@@ -21,14 +23,8 @@ _TEXT = re.compile(r"'((?:[^']|'')*)'", re.S)
 _NUMBER = re.compile(r"[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?")
 
 
-def _text_literal(text: str) -> str:
-    """Text as a Spark SQL literal."""
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION {_text_literal(location)}" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
 
 
@@ -46,7 +42,7 @@ def default_literal(text: str | None, dtype: T.DataType) -> str | None:
         return None
     match = _TEXT.fullmatch(value)
     if match:
-        kept = _text_literal(match.group(1).replace("''", "'"))
+        kept = sql_text(match.group(1).replace("''", "'"))
     elif _NUMBER.fullmatch(value) or value.upper() in ("TRUE", "FALSE", "NULL"):
         kept = value
     else:
@@ -71,7 +67,7 @@ def column_definitions(columns: Iterable[Mapping[str, Any]]) -> list[str]:
             parts.append(f"DEFAULT {literal}")
         if type_name.upper() in ("VARCHAR", "CHAR") and length:
             type_name = f"{type_name}({length})"
-        parts.append(f"COMMENT {_text_literal(type_name)}")
+        parts.append(f"COMMENT {sql_text(type_name)}")
         found.append(" ".join(parts))
     return found
 
@@ -89,7 +85,7 @@ def create_table(
     checks it. The declared type stays readable as the column's comment.
     """
     name = f"{quoted(database)}.{quoted(table)}" if database else quoted(table)
-    where = f" LOCATION {_text_literal(location)}" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     body = ", ".join(column_definitions(columns))
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{where}")
     return name
@@ -104,12 +100,16 @@ def insert_rows(df: DataFrame, table: str) -> None:
 def truncate_table(spark: SparkSession, table: str) -> None:
     """Empty a table and keep its structure.
 
-    Spark truncates only tables whose files it manages; others are overwritten with no rows.
+    Spark truncates only tables whose files it manages; a table with a location of its own gets an empty version,
+    and a partitioned one is overwritten with no rows.
     """
     if spark.catalog.getTable(table).tableType == "MANAGED":
         spark.sql(f"TRUNCATE TABLE {table}")
+        return
+    nothing = spark.createDataFrame([], spark.table(table).schema)
+    if can_switch(spark, table):
+        load_version(nothing, table)
     else:
-        nothing = spark.createDataFrame([], spark.table(table).schema)
         spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{rows}}", rows=nothing)
 
 
@@ -133,14 +133,18 @@ def reload_files(df: DataFrame, path: str) -> DataFrame:
 def reload_table(df: DataFrame, table: str) -> None:
     """Replace all rows of a table and keep its structure.
 
-    The rows are computed, converted to the table's types and written beside it
-    before the overwrite, so a load that fails on its input or its values leaves the
-    old rows. Only the copy of finished files is not undone.
+    A table with a location of its own gets a new version (``versions``): readers see the old rows until all new ones
+    are in place. For managed and partitioned tables the rows are computed, converted to the table's types and
+    written beside it before the overwrite, so a load that fails on its input or its values leaves the
+    old rows; only the copy of finished files is not undone there.
     """
     types = {f.name: f.dataType for f in df.sparkSession.table(table).schema.fields}
     unknown = set(df.columns) - set(types)
     if unknown:
         raise ValueError(f"no such columns in {table}: {sorted(unknown)}")
+    if can_switch(df.sparkSession, table):
+        load_version(df, table)
+        return
     rows = _staged(df.select([ref(name).cast(types[name]).alias(name) for name in df.columns]))
     names = ", ".join(quoted(name) for name in df.columns)
     df.sparkSession.sql(

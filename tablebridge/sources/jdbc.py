@@ -6,16 +6,18 @@ database must be on the class path.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablebridge.functions.naming import name_list
+from tablebridge.functions.naming import checked_name, name_list
 from tablebridge.functions.text import stringify
+from tablebridge.operators.filters import checked_conditions
 from tablebridge.sources.base import Source
+from tablebridge.sources.dialects import DIALECTS, NotInDialect
 
 # Rows per fetch and seconds to connect.
 FETCH_ROWS = 10_000
@@ -26,7 +28,7 @@ DRIVERS = {
     "sqlserver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
     "informix": "com.informix.jdbc.IfxDriver",
 }
-# Each dialect's catalog query for user tables, and its form of a page.
+# Each dialect's catalog query for user tables.
 TABLE_LISTS = {
     "postgres": (
         "SELECT table_name FROM information_schema.tables"
@@ -38,17 +40,7 @@ TABLE_LISTS = {
         " WHERE tabtype = 'T' AND tabname NOT LIKE 'sys%'"
     ),
 }
-PAGES = {
-    "postgres": "SELECT * FROM {table} ORDER BY {order} LIMIT {limit} OFFSET {offset}",
-    "sqlserver": (
-        "SELECT * FROM {table} ORDER BY {order} OFFSET {offset} ROWS FETCH NEXT {limit} ROWS ONLY"
-    ),
-    "informix": "SELECT SKIP {offset} FIRST {limit} * FROM {table} ORDER BY {order}",
-}
-QUOTES = {"postgres": '"{}"', "sqlserver": "[{}]", "informix": "{}"}
-
 _REQUIRED = ("host", "user", "password", "port", "database")
-_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_$]*(\.[A-Za-z_][A-Za-z0-9_$]*){0,2}")
 
 
 def jdbc_options(dialect: str, settings: Mapping[str, Any]) -> dict[str, str]:
@@ -91,69 +83,115 @@ def jdbc_options(dialect: str, settings: Mapping[str, Any]) -> dict[str, str]:
     }
 
 
+# Rows that a task reads of a table that is split without being told how, and the rows from which on it is.
+ROWS_PER_SPLIT = 500_000
+MOST_SPLITS = 1_000
+
+
 class JdbcSource(Source):
-    """One database. Filters and column choices are pushed down by Spark.
+    """One database. Pages and counts run inside it, filters included where its SQL has a form for them.
 
-    The setting ``splits`` makes every read of a table parallel, also those of queries,
-    changes and filtered counts: it names a column and a number of ranges by table, as
-    ``{"orders": ("id", 64)}``. A table is read by one task otherwise.
+    A table is read in parallel by a column whose quantiles the database is asked for once: the one that
+    the setting ``splits`` names with a number of ranges by table, as ``{"orders": ("id", 64)}``, else the first
+    column of the primary key, with a range for each ``ROWS_PER_SPLIT`` rows that the database's statistics count.
+    Smaller tables and those without a key are read by one task, as is everything with ``auto_splits`` off. The setting
+    ``keys`` names the key columns by table, which settle ties of a page's order.
     """
 
     def __init__(self, spark: SparkSession, dialect: str, settings: Mapping[str, Any]):
         super().__init__(spark)
-        self.dialect = dialect
         self.options = jdbc_options(dialect, settings)
+        self.dialect = DIALECTS[dialect]
         self.schema = settings.get("schema") or "public"
         self.ties = "all" if dialect == "informix" else "one"
         self.splits = {
             name: (checked_name(column), int(count))
             for name, (column, count) in (settings.get("splits") or {}).items()
         }
-        self._bounds: dict[tuple[str, str], tuple[Any, Any]] = {}
-
-    def reader_options(
-        self, name: str, split: tuple[str, Any, Any, int] | None = None
-    ) -> dict[str, str]:
-        options = {**self.options, "dbtable": checked_name(name)}
-        if split:
-            column, low, high, count = split
-            options.update(
-                partitionColumn=checked_name(column),
-                lowerBound=str(low),
-                upperBound=str(high),
-                numPartitions=str(count),
-            )
-        return options
+        self.keys = {name: name_list(keys) for name, keys in (settings.get("keys") or {}).items()}
+        self.auto_splits = bool(settings.get("auto_splits", True))
+        self._predicates: dict[tuple[str, str, int], list[str]] = {}
+        self._automatic: dict[str, tuple[str, int] | None] = {}
 
-    def table(self, name: str) -> DataFrame:
-        return self.scan(name, *self.splits.get(name, ()))
+    def reader_options(self, name: str) -> dict[str, str]:
+        return {**self.options, "dbtable": checked_name(name)}
 
-    def bounds(self, name: str, column: str) -> tuple[Any, Any]:
-        """Least and greatest value of a column, asked of the database once."""
-        if (name, column) not in self._bounds:
-            found = self.min_max(name, column).first()
-            self._bounds[name, column] = (found["min_val"], found["max_val"])
-        return self._bounds[name, column]
+    def table(self, name: str) -> DataFrame:
+        column, count = self.split_of(name) or (None, 0)
+        return self.scan(name, column, count)
+
+    def split_of(self, name: str) -> tuple[str, int] | None:
+        """Column and number of ranges that a table is read by."""
+        if name in self.splits or not self.auto_splits:
+            return self.splits.get(name)
+        if name not in self._automatic:
+            *schema, table = checked_name(name).split(".")
+            asked = {"name": name, "table": table, "schema": schema[-1] if schema else checked_name(self.schema)}
+            self._automatic[name] = None
+            rows = self._one(self.dialect.estimated_rows.format(**asked))
+            if rows and rows > ROWS_PER_SPLIT:
+                column = self._one(self.dialect.key_column.format(**asked))
+                if column:
+                    count = min(MOST_SPLITS, -(-int(rows) // ROWS_PER_SPLIT))
+                    self._automatic[name] = (checked_name(str(column).strip()), count)
+        return self._automatic[name]
+
+    def _one(self, statement: str) -> Any:
+        found = self.run(statement).first()
+        return found[0] if found else None
+
+    def predicates(self, name: str, column: str, splits: int) -> list[str]:
+        """Conditions that part a table into about equally many rows; asked of the database once."""
+        key = (name, column, splits)
+        if key not in self._predicates:
+            tiles = self.run(self.dialect.quantile_statement(name, column, splits)).collect()
+            tiles.sort(key=lambda tile: tile[0])
+            self._predicates[key] = self.dialect.split_predicates(column, [(tile[1], tile[2]) for tile in tiles])
+        return self._predicates[key]
 
     def run(self, statement: str) -> DataFrame:
         """A statement that runs inside the database."""
         return self.spark.read.format("jdbc").options(**self.options, query=statement).load()
 
     def table_names(self) -> DataFrame:
-        names = self.run(TABLE_LISTS[self.dialect].format(schema=checked_name(self.schema)))
+        names = self.run(TABLE_LISTS[self.dialect.name].format(schema=checked_name(self.schema)))
         return names.select(F.col(names.columns[0]).alias("table_name"))
 
     def scan(self, name: str, split_column: str | None = None, splits: int = 0) -> DataFrame:
-        """The whole table; with a numeric, date or timestamp column to split
-        on, in parallel ranges between its bounds. Nulls join the first range.
+        """The whole table; with a column to split on, in ranges that hold about equally many rows each.
 
-        Ranges are equally wide and cannot cut one value, so split on a key."""
-        split = None
+        Gaps cost nothing, and a value with many rows has a range of its own. Nulls join the first range."""
         if split_column and splits > 1:
-            low, high = self.bounds(name, split_column)
-            if low is not None:
-                split = (split_column, low, high, splits)
-        return self.spark.read.format("jdbc").options(**self.reader_options(name, split)).load()
+            parts = self.predicates(name, split_column, splits)
+            if len(parts) > 1:
+                rest = {key: value for key, value in self.options.items() if key != "url"}
+                return self.spark.read.jdbc(self.options["url"], checked_name(name), predicates=parts, properties=rest)
+        return self.spark.read.format("jdbc").options(**self.reader_options(name)).load()
+
+    def types(self, name: str) -> dict[str, Any]:
+        """Columns and their types; no rows are read."""
+        bare = self.spark.read.format("jdbc").options(**self.reader_options(name)).load()
+        return {field.name: field.dataType for field in bare.schema.fields}
+
+    def order_columns(self, name: str, order_by: str | Sequence[str]) -> list[str]:
+        """The order of a page: its keys, then what settles ties, the table's key or else all other plain columns."""
+        own = name_list(order_by)
+        if name in self.keys:
+            rest = self.keys[name]
+        else:
+            rest = [n for n, dtype in self.types(name).items() if isinstance(dtype, T.AtomicType) and not isinstance(dtype, T.BinaryType)]
+        known = {n.lower() for n in own}
+        return [*own, *(n for n in rest if n.lower() not in known)]
+
+    def where(self, name: str, filters: Any, strict: bool = False) -> str | None:
+        """The filters as a WHERE clause; None if the database's SQL has no form for one of them."""
+        conditions = checked_conditions(filters, strict)
+        if not conditions:
+            return ""
+        try:
+            return self.dialect.where(conditions, self.types(name))
+        except NotInDialect:
+            return None
 
     def page(
         self,
@@ -164,10 +202,16 @@ class JdbcSource(Source):
         filters: Any = None,
         strict: bool = False,
     ) -> DataFrame:
-        """A page of rows; without filters the database orders and cuts it itself."""
-        if filters:
-            return super().page(name, order_by, offset, limit, filters, strict)
-        return self.run(self.page_statement(name, order_by, offset, limit))
+        """A page of rows that the database filters, orders and cuts itself.
+
+        The order is the same with filters and without: keys, nulls first, then ``order_columns``. Filters that the database has
+        no form for are applied in Spark, which then orders by the same columns; texts there sort by their code points.
+        """
+        order = self.order_columns(name, order_by)
+        where = self.where(name, filters, strict)
+        if where is None:
+            return super().page(name, order, offset, limit, filters, strict)
+        return self.run(self.dialect.page_statement(name, order, offset, limit, where))
 
     def page_text(
         self,
@@ -180,20 +224,11 @@ class JdbcSource(Source):
     ) -> DataFrame:
         return stringify(self.page(name, order_by, offset, limit, filters, strict))
 
-    def page_statement(
-        self, name: str, order_by: str | Sequence[str], offset: int, limit: int
-    ) -> str:
-        if offset < 0 or limit < 0:
-            raise ValueError("offset and limit must not be negative")
-        quoted = [QUOTES[self.dialect].format(checked_name(n)) for n in name_list(order_by)]
-        return PAGES[self.dialect].format(
-            table=checked_name(name), order=", ".join(quoted), offset=int(offset), limit=int(limit)
-        )
-
     def count_rows(self, name: str, filters: Any = None, strict: bool = False) -> DataFrame:
-        if filters:
+        where = self.where(name, filters, strict)
+        if where is None:
             return super().count_rows(name, filters, strict)
-        counted = self.run(self.count_statement(name))
+        counted = self.run(self.dialect.count_statement(name, where))
         return counted.select(F.col(counted.columns[0]).cast("bigint").alias("n"))
 
     def min_max(self, name: str, column: str) -> DataFrame:
@@ -201,11 +236,8 @@ class JdbcSource(Source):
         low, high = found.columns
         return found.select(F.col(low).alias("min_val"), F.col(high).alias("max_val"))
 
-    def count_statement(self, name: str) -> str:
-        return f"SELECT COUNT(*) AS n FROM {checked_name(name)}"
-
     def min_max_statement(self, name: str, column: str) -> str:
-        quoted = QUOTES[self.dialect].format(checked_name(column))
+        quoted = self.dialect.column(column)
         return (
             f"SELECT MIN({quoted}) AS min_val, MAX({quoted}) AS max_val FROM {checked_name(name)}"
         )
@@ -230,17 +262,36 @@ class JdbcSource(Source):
         }
 
     def reload(self, df: DataFrame, name: str, connections: int = 16) -> None:
-        """Empty the table, keep its structure, and load all rows."""
-        writer = self.writer(df, name, connections).option("truncate", "true")
-        writer.mode("overwrite").save()
+        """Replace all rows of a table and keep its structure.
+
+        The rows are first written to a table beside it, in parallel. One transaction then empties the table and fills it
+        from there, so readers see the old rows or the new ones, and a load that fails leaves the old.
+        """
+        staged = f"{checked_name(name)}__load"
+        self.writer(df, staged, connections).mode("overwrite").save()
+        self.execute(self.dialect.swap_statements(name, staged, df.columns))
+        self.execute([f"DROP TABLE {staged}"])
 
     def truncate(self, name: str) -> None:
         """Empty the table and keep its structure."""
-        self.reload(self.table(name).where(F.lit(False)), name)
-
-
-def checked_name(name: str) -> str:
-    """A plain, optionally qualified name; anything else could be a statement."""
-    if not _NAME.fullmatch(name):
-        raise ValueError(f"not a plain table or column name: {name!r}")
-    return name
+        self.execute([f"DELETE FROM {checked_name(name)}"])
+
+    def execute(self, statements: Sequence[str]) -> None:
+        """Run statements in one transaction, on a connection of the driver."""
+        jvm = self.spark._jvm
+        jvm.java.lang.Class.forName(self.options["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+        login = jvm.java.util.Properties()
+        login.setProperty("user", self.options["user"])
+        login.setProperty("password", self.options["password"])
+        connection = jvm.java.sql.DriverManager.getConnection(self.options["url"], login)
+        try:
+            connection.setAutoCommit(False)
+            statement = connection.createStatement()
+            for text in statements:
+                statement.executeUpdate(text)
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        finally:
+            connection.close()

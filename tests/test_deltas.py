@@ -195,3 +195,19 @@ def test_next_page_walks_a_nullable_key_to_the_end(spark):
         seen += map(tuple, found)
         after = list(found[-1])
     assert seen == sorted(rows, key=lambda r: tuple((v is not None, v or 0) for v in r))
+
+
+def test_a_copy_of_other_filters_is_refused(spark):
+    """The same rows on either side of the switch, with a filter; without it the copy does not fit."""
+    table = spark.range(40).select((F.col("id") % 2).alias("v"), "id").repartition(3)
+    odd = [{"column": {"name": "v"}, "operator": "=", "value": 1}]
+    copy = number_rows(table, "id", filters=odd)
+    for top_k_rows in (1, 1000):
+        rows = page(table, "id", 0, 6, filters=odd, top_k_rows=top_k_rows, copy=copy).collect()
+        assert [r.id for r in rows] == [1, 3, 5, 7, 9, 11]
+    for order, filters in (("id", None), ("v", odd), ("id", [{**odd[0], "value": 0}])):
+        with pytest.raises(ValueError, match="numbered copy"):
+            page(table, order, 0, 6, filters=filters, top_k_rows=1, copy=copy)
+    plain = number_rows(table, "id")
+    with pytest.raises(ValueError, match="numbered copy"):
+        page(table, "id", 0, 6, filters=odd, top_k_rows=1, copy=plain)

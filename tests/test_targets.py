@@ -250,3 +250,53 @@ def test_list_labels_stay_apart(spark):
 def test_quotes_in_types_and_places(spark, tmp_path):
     columns = [{"name": "id", "type": "it's"}]
     assert K.column_definitions(columns)[0].endswith(r"COMMENT 'it\'s'")
+
+
+def test_versions_of_a_table(spark, tmp_path):
+    """Old or new rows as a whole; a load killed before the switch changes nothing."""
+    from tablebridge.sinks import versions as V
+
+    path = f"{tmp_path}/own"
+    columns = [{"name": "id", "type": "BIGINT"}, {"name": "kind", "type": "TEXT", "default": "'new'"}]
+    table = K.create_table(spark, fresh("versions"), columns, path)
+    try:
+        K.insert_rows(spark.range(5).select("id", F.lit("old").alias("kind")), table)
+        began = spark.read.schema(spark.table(table).schema).parquet(V.location(spark, table))
+        # Killed between the write and the switch.
+        V.write_version(spark.range(7), table)
+        assert spark.table(table).count() == 5 and V.manifest(spark, table).where("current").first().version == 0
+        # Killed while it writes: a folder without a line in the manifest.
+        stop = F.when(F.col("id") == 3, F.raise_error(F.lit("stop")).cast("bigint"))
+        with pytest.raises(Exception):
+            V.load_version(spark.range(5).select(F.coalesce(stop, "id").alias("id")), table)
+        assert spark.table(table).count() == 5 and V.manifest(spark, table).count() == 2
+        K.reload_table(spark.range(3), table)
+        assert sorted(map(tuple, spark.table(table).collect())) == [(0, "new"), (1, "new"), (2, "new")]
+        assert began.count() == 5  # a reader that began before goes on
+        K.reload_table(spark.table(table).where("id > 0"), table)
+        K.truncate_table(spark, table)
+        assert spark.table(table).count() == 0
+        found = [(r.version, r.rows, r.current) for r in V.manifest(spark, table).orderBy("version").collect()]
+        assert found == [(0, None, False), (1, 7, False), (2, 3, False), (3, 2, False), (4, 0, True)]
+        V.restore_version(spark, table, 2)
+        assert spark.table(table).count() == 3
+        assert V.expire_versions(spark, table, keep=2) == [0]
+        V.restore_version(spark, table, 4)
+        assert V.expire_versions(spark, table, keep=2) == [1, 2]
+        with pytest.raises(ValueError, match="no version 2"):
+            V.restore_version(spark, table, 2)
+        V.restore_version(spark, table, 3)
+        assert spark.table(table).count() == 2
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_partitioned_and_managed_tables_are_overwritten(spark, tmp_path):
+    from tablebridge.sinks import versions as V
+
+    name = fresh("parted")
+    spark.range(6).select("id", (F.col("id") % 2).alias("part")).write.partitionBy("part").option("path", f"{tmp_path}/parted").saveAsTable(name)
+    assert not V.can_switch(spark, name)
+    K.reload_table(spark.range(2).select("id", F.lit(7).cast("bigint").alias("part")), name)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(0, 7), (1, 7)]
+    spark.sql(f"DROP TABLE {name}")
