@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablebridge.functions.naming import name_list, ref
@@ -32,50 +32,33 @@ def key_violations(
     return counts.where(broken if nulls_allowed else broken | any_null)
 
 
+# Columns whose distinct values one pass counts; each adds a row per input row before the map side combines.
+COLUMNS_AT_ONCE = 16
+
+
 def column_stats(
     df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
 ) -> DataFrame:
-    """Nulls, distinct values, smallest and largest value of each column.
+    """Nulls, distinct values, smallest and largest value of each column, in one scan for ``COLUMNS_AT_ONCE`` columns.
 
-    Exact counts group each column by value first: the scan reads that column
-    only, and hot values collapse before the shuffle. ``approximate`` reads all
-    columns in one pass with a distinct-count sketch.
+    Exact counts group by column and value first, so hot values collapse before the shuffle. ``approximate``
+    takes a distinct-count sketch instead, which shuffles nothing but sketches. ``stats.ColumnSketches`` keeps such
+    numbers from load to load.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     names = list(columns or fields)
-    if approximate:
-        return _sketched(df, names, fields)
-    parts = []
-    for name in names:
-        value = F.col("value")
-        counted = df.select(ref(name).alias("value")).groupBy("value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        summed = counted.agg(
-            F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count(value).alias("distincts"),
-            F.min(value).alias("lo"),
-            F.max(value).alias("hi"),
-        )
-        parts.append(
-            summed.select(
-                F.lit(name).alias("column_name"),
-                "nulls",
-                "distincts",
-                value_text(F.col("lo"), fields[name]).alias("lo"),
-                value_text(F.col("hi"), fields[name]).alias("hi"),
-            )
-        )
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    parts = [names[i : i + COLUMNS_AT_ONCE] for i in range(0, len(names), COLUMNS_AT_ONCE)]
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return reduce(lambda a, b: a.unionByName(b), [_measured(df, part, fields, count) for part in parts])
 
 
-def _sketched(df: DataFrame, names: list[str], fields: dict) -> DataFrame:
+def _measured(df: DataFrame, names: list[str], fields: dict, count: Callable[[Column], Column]) -> DataFrame:
     measures = []
     for i, name in enumerate(names):
         column = ref(name)
         measures += [
             (F.count(F.lit(1)) - F.count(column)).alias(f"nulls{i}"),
-            F.approx_count_distinct(column).alias(f"distincts{i}"),
+            count(column).alias(f"distincts{i}"),
             F.min(column).alias(f"lo{i}"),
             F.max(column).alias(f"hi{i}"),
         ]

@@ -94,6 +94,15 @@ def _stats(table: str, texts: dict[str, str]) -> str:
     )
 
 
+ORDER_STATS = {
+    "o_orderkey": "CAST({} AS VARCHAR)",
+    "o_custkey": "CAST({} AS VARCHAR)",
+    "o_orderstatus": "{}",
+    "o_totalprice": "CAST({} AS VARCHAR)",
+    "o_orderdate": "strftime({}, '%Y-%m-%d %H:%M:%S')",
+    "o_orderpriority": "{}",
+}
+
 ORACLES = {
     "scan_full": "SELECT * FROM supplier",
     "scan_split_counts": """
@@ -320,17 +329,15 @@ HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
     "unique_index_violations": """
 SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
 WHERE c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
-    "column_stats": _stats(
-        "orders",
-        {
-            "o_orderkey": "CAST({} AS VARCHAR)",
-            "o_custkey": "CAST({} AS VARCHAR)",
-            "o_orderstatus": "{}",
-            "o_totalprice": "CAST({} AS VARCHAR)",
-            "o_orderdate": "strftime({}, '%Y-%m-%d %H:%M:%S')",
-            "o_orderpriority": "{}",
-        },
-    ),
+    "column_stats": _stats("orders", ORDER_STATS),
+    "column_stats_loads": "WITH s AS ("
+    + _stats("orders", ORDER_STATS)
+    + """)
+SELECT column_name, (SELECT count(*) FROM orders) AS rows, nulls, lo, hi, true AS distincts_near,
+       CASE WHEN column_name = 'o_totalprice' THEN true END AS middle_near FROM s""",
+    "layout_curve": """
+SELECT layout, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS by_date, layout = 'curve' AS by_customer
+FROM orders, (VALUES ('sorted'), ('curve')) v(layout) GROUP BY layout""",
     "layout_roundtrip": "SELECT * FROM orders",
     "layout_order": """
 SELECT count(*) AS n, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS overlaps FROM orders""",

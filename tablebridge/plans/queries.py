@@ -11,7 +11,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,9 +34,10 @@ from tablebridge.operators.schemas import (
     measured_columns,
     view_columns,
 )
+from tablebridge.operators.stats import ColumnSketches
 from tablebridge.plans.spec import run_spec
 from tablebridge.session import scratch_path
-from tablebridge.sinks.layout import plan_layout, unique_violations, write_layout
+from tablebridge.sinks.layout import per_column, plan_layout, unique_violations, write_layout
 from tablebridge.sinks.partitions import (
     in_dates,
     read_partitioned,
@@ -981,6 +982,55 @@ def column_stats_orders(spark, folder):
     return column_stats(source(spark, folder).table("orders"))
 
 
+@query
+def column_stats_loads(spark, folder):
+    """Statistics of orders that came in three loads, merged from the sketches of each."""
+    orders = source(spark, folder).table("orders")
+    kept = ColumnSketches(spark, scratch_path(spark, "sketches"))
+    for status in ("F", "O", "P"):
+        kept.add("orders", status, orders.where(F.col("o_orderstatus") == status))
+    found = kept.stats("orders", orders.schema)
+    exact = column_stats(orders).select("column_name", F.col("distincts").alias("exact"))
+    middle = orders.agg(F.percentile("o_totalprice", F.lit(0.5))).first()[0]
+    near = found.join(exact, "column_name")
+    # What sketches estimate is given as whether it lies within five percent.
+    return near.select(
+        "column_name",
+        "rows",
+        "nulls",
+        "lo",
+        "hi",
+        (F.abs(F.col("distincts") - F.col("exact")) <= 1 + 0.05 * F.col("exact")).alias("distincts_near"),
+        F.when(F.col("column_name") == "o_totalprice", F.abs(F.col("quantiles")[1] / middle - 1) < 0.05).alias("middle_near"),
+    )
+
+
+def _read_share(spark: SparkSession, path: str, value: Column) -> float:
+    """The share of a table's rows that a lookup of one value reads, by the ends of its files; the mean of five lookups."""
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), value.alias("value"))
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()  # one row per file
+    looked = rows.agg(F.percentile_approx("value", [0.1, 0.3, 0.5, 0.7, 0.9])).first()[0]
+    read = sum(f["n"] for f in files for v in looked if f["lo"] <= v <= f["hi"])
+    return read / len(looked) / sum(f["n"] for f in files)
+
+
+@query
+def layout_curve(spark, folder):
+    """Orders by their date alone, and by a curve over date and customer: whether a lookup by either column reads under half of the rows."""
+    orders = source(spark, folder).table("orders")
+    indexes = per_column(["o_orderdate", "o_custkey"])
+    day = F.unix_date(F.col("o_orderdate").cast("date"))
+    per_file = orders.count() // 24 + 1
+    parts = []
+    for kind in ("sorted", "curve"):
+        path = scratch_path(spark, kind)
+        write_layout(orders, path, plan_layout(indexes, curve=kind == "curve"), per_file)
+        by_date, by_customer = (_read_share(spark, path, value) < 0.5 for value in (day, F.col("o_custkey")))
+        counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+        parts.append(counted.select(F.lit(kind).alias("layout"), "n", "keys", F.lit(by_date).alias("by_date"), F.lit(by_customer).alias("by_customer")))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def layout_roundtrip(spark, folder):
     layout = plan_layout(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 from collections.abc import Iterable, Mapping
@@ -14,7 +15,7 @@ from tablebridge.functions.literals import sql_text
 from tablebridge.functions.naming import quoted, ref
 from tablebridge.functions.types import spark_type
 from tablebridge.session import scratch_path
-from tablebridge.sinks.versions import can_switch, load_version
+from tablebridge.sinks.versions import INDEXED, can_switch, load_version
 
 log = logging.getLogger(__name__)
 
@@ -82,12 +83,16 @@ def create_table(
     """Create a parquet table from metadata rows if missing; its full name.
 
     NOT NULL is recorded but not enforced by parquet tables; ``key_violations``
-    checks it. The declared type stays readable as the column's comment.
+    checks it. The declared type stays readable as the column's comment. Columns flagged
+    ``is_index`` are recorded too, and loads of whole versions lay the files out by them.
     """
+    columns = list(columns)
     name = f"{quoted(database)}.{quoted(table)}" if database else quoted(table)
     where = f" LOCATION {sql_text(location)}" if location else ""
     body = ", ".join(column_definitions(columns))
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{where}")
+    flagged = [c["name"] for c in columns if str(c.get("is_index") or "").strip().upper() == "YES"]
+    noted = f" TBLPROPERTIES ({sql_text(INDEXED)} = {sql_text(json.dumps(flagged))})" if flagged else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{where}{noted}")
     return name
 
 

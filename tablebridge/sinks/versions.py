@@ -10,6 +10,7 @@ For unpartitioned tables with a location of their own; the rows they were create
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -20,6 +21,10 @@ from pyspark.sql import types as T
 
 from tablebridge.functions.literals import sql_text
 from tablebridge.functions.naming import ref
+from tablebridge.sinks.layout import Layout, arranged, layout_options, per_column, plan_layout
+
+# The table property that lists a table's indexed columns.
+INDEXED = "tablebridge.indexed"
 
 _FOLDER = "_versions"
 _MANIFEST = "_manifest"
@@ -57,10 +62,16 @@ def manifest(spark: SparkSession, table: str) -> DataFrame:
     return first.union(loads).withColumn("current", F.col("path") == now)
 
 
+def table_layout(spark: SparkSession, table: str) -> Layout:
+    """The layout of a table whose columns were flagged as indexed when it was created."""
+    noted = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    return plan_layout(per_column(json.loads(noted.get(INDEXED, "[]"))), curve=True)
+
+
 def write_version(df: DataFrame, table: str) -> str:
     """Write rows as a new version, with the table's columns and types, and enter it in the manifest; its folder.
 
-    The table does not read it yet. Columns the rows lack take their defaults.
+    The table does not read it yet. The files are laid out by the table's indexed columns. Columns the rows lack take their defaults.
     """
     spark = df.sparkSession
     base = home(spark, table)
@@ -76,7 +87,8 @@ def write_version(df: DataFrame, table: str) -> str:
     rows = df.select([value(f).cast(f.dataType).alias(f.name) for f in fields])
     last = manifest(spark, table).agg(F.max("version")).first()[0]
     path = f"{base}/{_FOLDER}/{last + 1:08d}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    layout = table_layout(spark, table)
+    arranged(rows, layout).write.options(**layout_options(layout)).parquet(path)
     count = spark.read.schema(rows.schema).parquet(path).count()
     entry = spark.range(1).select(F.lit(last + 1).cast("long").alias("version"), F.lit(path).alias("path"), F.lit(count).cast("long").alias("rows"), F.current_timestamp().alias("loaded"))
     entry.write.mode("append").parquet(f"{base}/{_MANIFEST}")

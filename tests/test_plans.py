@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tablebridge.operators.infer import infer_types
+from tablebridge.operators.stats import sketch_columns
 from tablebridge.sources.files import ParquetSource
 from tests.conftest import SMALL
 
@@ -59,7 +60,6 @@ def test_filter_is_pushed_down(spark, name, pushed):
         ("a_global", "lineitem", {"l_quantity"}),
         ("count_filtered", "orders", {"o_orderstatus", "o_totalprice"}),
         ("key_violations", "lineitem", {"l_orderkey", "l_linenumber"}),
-        ("column_stats", "orders", {"o_orderkey"}),
     ],
 )
 def test_only_needed_columns_are_read(spark, name, table, columns):
@@ -72,6 +72,13 @@ def test_equality_joins_never_loop(spark, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_statistics_of_all_columns_take_one_scan(spark):
+    plan = query_plan(spark, "column_stats")
+    assert plan.count("Scan parquet") == 1 and "Expand" in plan
+    lines = plan_of(sketch_columns(ParquetSource(spark, SMALL).table("orders")))
+    assert lines.count("Scan parquet") == 1 and lines.count("Exchange") == 1 and "Expand" not in lines
+
+
 def test_top_k_page(spark):
     assert "TakeOrderedAndProject" in query_plan(spark, "page_raw")
 

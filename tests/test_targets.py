@@ -300,3 +300,87 @@ def test_partitioned_and_managed_tables_are_overwritten(spark, tmp_path):
     K.reload_table(spark.range(2).select("id", F.lit(7).cast("bigint").alias("part")), name)
     assert sorted(map(tuple, spark.table(name).collect())) == [(0, 7), (1, 7)]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_statistics_merge_over_loads(spark, tmp_path):
+    """Merged lines say what the whole table says; a load that is taken back is left out."""
+    from tablebridge.operators.stats import ColumnSketches
+
+    def rows(low, high):
+        number = F.col("id")
+        return spark.range(low, high).select(
+            F.when(number % 7 != 0, number.cast("int")).alias("i"),
+            (number * 0.5).alias("x"),
+            F.format_string("n%d", number % 100).alias("s"),
+            F.date_add(F.lit("2024-01-01").cast("date"), (number % 50).cast("int")).alias("d"),
+            (number % 2 == 0).alias("b"),
+            F.lit(None).cast("decimal(9,2)").alias("none"),
+        )
+
+    kept = ColumnSketches(spark, f"{tmp_path}/lines")
+    for name, low, high in (("a", 0, 1000), ("b", 1000, 5000), ("c", 5000, 5001)):
+        kept.add("t", name, rows(low, high))
+    kept.add("other", "a", rows(0, 10))
+    whole = rows(0, 5001)
+    exact = {r.column_name: r for r in column_stats(whole).collect()}
+    merged = {r.column_name: r for r in kept.stats("t", whole.schema).collect()}
+    assert set(merged) == set(exact)
+    for name, r in merged.items():
+        e = exact[name]
+        assert (r.rows, r.nulls, r.lo, r.hi) == (5001, e.nulls, e.lo, e.hi)
+        assert abs(r.distincts - e.distincts) <= 0.05 * e.distincts
+    assert abs(merged["x"].quantiles[1] - 1250) < 40 and merged["s"].quantiles is None and merged["none"].quantiles is None
+    once = ColumnSketches(spark, f"{tmp_path}/once")
+    once.add("t", "all", whole)
+    full = {r.column_name: (r.rows, r.nulls, r.lo, r.hi, r.distincts) for r in once.stats("t", whole.schema).collect()}
+    assert {n: (r.rows, r.nulls, r.lo, r.hi, r.distincts) for n, r in merged.items()} == full
+    less = {r.column_name: r for r in kept.stats("t", whole.schema, without=["b"]).collect()}
+    assert (less["x"].rows, less["x"].hi) == (1001, "2500.0")
+    assert kept.stats("nothing", whole.schema).collect() == []
+
+
+def test_a_curve_lets_each_index_skip_files(spark, tmp_path):
+    """Lookups by either of two columns read few files, with text, nulls and a value that a third of the rows share."""
+    from tablebridge.sinks.layout import curve_key, indexed_layout
+
+    number = F.col("id")
+    rows = spark.range(20_000).select(
+        (number * 7919 % 20_000).alias("a"),
+        F.when(number % 3 != 0, F.format_string("%05d", number * 104_729 % 20_000)).alias("b"),
+        number,
+    )
+    layout = indexed_layout([{"name": "a", "is_index": "YES"}, {"name": "id", "is_index": "NO"}, {"name": "b", "is_index": "yes"}])
+    assert layout.curve_columns == ["a", "b"] and layout.sort_columns == ["a"] and layout.bloom_columns == ["b"]
+    shares = {}
+    for kind in ("curve", "plain"):
+        own = layout if kind == "curve" else plan_layout(per_column(["a", "b"]))
+        write_layout(rows, f"{tmp_path}/{kind}", own, 500)
+        stored = spark.read.parquet(f"{tmp_path}/{kind}")
+        assert stored.count() == 20_000 and stored.columns == ["a", "b", "id"]
+        files = stored.groupBy(F.input_file_name()).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).collect()
+        shares[kind] = [
+            sum(f[low] is not None and f[low] <= v <= f[low + 1] for f in files for v in values) / len(files) / len(values)
+            for low, values in ((1, [100, 9000, 15_000]), (3, ["00100", "09000", "15000"]))
+        ]
+    assert shares["plain"][0] < 0.1 and shares["plain"][1] > 0.6
+    assert max(shares["curve"]) < 0.35
+    # The key interleaves the places' bits, the first column's first.
+    keys = [r.k for r in rows.orderBy("a").select(curve_key(rows.select("a"), ["a"], 3).alias("k")).collect()]
+    assert keys == sorted(keys) and set(keys) == set(range(8))
+
+
+def test_flagged_columns_lay_out_the_loads_of_a_table(spark, tmp_path):
+    from tablebridge.sinks import versions as V
+
+    columns = [{"name": "a", "type": "BIGINT", "is_index": "YES"}, {"name": "b", "type": "BIGINT", "is_index": "YES"}, {"name": "c", "type": "TEXT", "is_index": "NO"}]
+    table = K.create_table(spark, fresh("flagged"), columns, f"{tmp_path}/flagged")
+    try:
+        assert V.table_layout(spark, table).curve_columns == ["a", "b"]
+        rows = spark.range(5000).select((F.col("id") * 37 % 5000).alias("a"), (F.col("id") * 53 % 4999).alias("b"), F.lit("x").alias("c"))
+        K.reload_table(rows, table)
+        assert spark.table(table).count() == 5000
+        place = spark.table(table).select(F.col("_metadata.row_index").alias("i"), "a", "b").orderBy("i").limit(300).collect()
+        # The first rows of a file lie in one corner of both columns.
+        assert max(r.a for r in place) < 3500 and max(r.b for r in place) < 3500
+    finally:
+        spark.sql(f"DROP TABLE {table}")
