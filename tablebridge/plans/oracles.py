@@ -302,6 +302,13 @@ ORDER BY user_id LIMIT 20 OFFSET 40""",
     "delta_stream": """
 SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+    "delta_merged": """
+WITH late AS (SELECT * FROM events WHERE event_id % 3 IN (1, 2)
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1),
+stream AS (SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15'
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+SELECT *, 'late' AS how FROM late WHERE event_type <> 'error'
+UNION ALL SELECT *, 'stream' FROM stream WHERE event_type <> 'error'""",
     # targets
     "part_range_year": """
 SELECT CASE WHEN o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1997-01-01' THEN '1996'

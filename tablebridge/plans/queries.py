@@ -54,6 +54,7 @@ from tablebridge.sinks.versions import location, manifest, restore_version
 from tablebridge.sources.factory import open_source
 from tablebridge.sources.splits import map_batches, with_splits
 from tablebridge.streaming.deltas import stored_deltas, stream_deltas
+from tablebridge.streaming.merged import MergedTarget, merge_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -906,6 +907,20 @@ def delta_stream(spark, folder):
     return stored_deltas(spark, target, "user_id", stream.schema)
 
 
+@query
+def delta_merged(spark, folder):
+    """Changes merged by bucket, some late and some as a stream, with errors as deletes."""
+    origin = source(spark, folder)
+    events = origin.table("events")
+    target = MergedTarget(spark, scratch_path(spark, "merged"), "user_id", events.schema, "ts", F.col("event_type") == "error", buckets=8)
+    target.merge(events.where("event_id % 3 = 2"), 0)
+    target.merge(events.where("event_id % 3 = 1"), 1)
+    # The stream's first batch has number 0: a target of its own takes it.
+    whole = MergedTarget(spark, scratch_path(spark, "streamed"), "user_id", events.schema, "ts", F.col("event_type") == "error", buckets=8)
+    merge_stream(origin.stream("events", maxFilesPerTrigger="1000"), whole, scratch_path(spark, "offsets"), "2024-01-15").awaitTermination()
+    return target.read().withColumn("how", F.lit("late")).unionByName(whole.read().withColumn("how", F.lit("stream")))
+
+
 # ---- targets --------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
 
 
@@ -55,3 +56,12 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet, in the shared folder."""
     return f"{scratch_root(spark).rstrip('/')}/tablebridge/{name}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str) -> JavaObject:
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str) -> JavaObject:
+    """The file system that a path lies in, as Spark reaches it."""
+    return hadoop_path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -14,13 +14,13 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablebridge.functions.literals import sql_text
 from tablebridge.functions.naming import ref
+from tablebridge.session import file_system, hadoop_path
 from tablebridge.sinks.layout import Layout, arranged, layout_options, per_column, plan_layout
 
 # The table property that lists a table's indexed columns.
@@ -56,7 +56,7 @@ def manifest(spark: SparkSession, table: str) -> DataFrame:
     base, now = home(spark, table), location(spark, table)
     path = f"{base}/{_MANIFEST}"
     loads = spark.createDataFrame([], MANIFEST_SCHEMA)
-    if _files(spark, path).exists(_path(spark, path)):
+    if file_system(spark, path).exists(hadoop_path(spark, path)):
         loads = spark.read.schema(MANIFEST_SCHEMA).parquet(path)
     first = spark.createDataFrame([(0, base, None, None)], MANIFEST_SCHEMA)
     return first.union(loads).withColumn("current", F.col("path") == now)
@@ -111,7 +111,7 @@ def load_version(df: DataFrame, table: str) -> str:
 def restore_version(spark: SparkSession, table: str, version: int) -> None:
     """Go back, or forward, to a finished load."""
     found = manifest(spark, table).where(F.col("version") == version).first()
-    if found is None or not _files(spark, found["path"]).exists(_path(spark, found["path"])):
+    if found is None or not file_system(spark, found["path"]).exists(hadoop_path(spark, found["path"])):
         raise ValueError(f"{table} has no version {version}")
     switch(spark, table, found["path"])
 
@@ -125,23 +125,15 @@ def expire_versions(spark: SparkSession, table: str, keep: int = 2) -> Sequence[
     now = next(load["version"] for load in loads if load["current"])
     first_kept = now - max(keep, 1) + 1
     base = home(spark, table)
-    files = _files(spark, base)
+    files = file_system(spark, base)
     gone = []
-    folder = _path(spark, f"{base}/{_FOLDER}")
+    folder = hadoop_path(spark, f"{base}/{_FOLDER}")
     for status in files.listStatus(folder) if files.exists(folder) else []:
         version = int(status.getPath().getName().split("-")[0])
         if version < first_kept and files.delete(status.getPath(), True):
             gone.append(version)
     if first_kept > 0:
-        for status in files.listStatus(_path(spark, base)):
+        for status in files.listStatus(hadoop_path(spark, base)):
             if not status.getPath().getName().startswith("_") and files.delete(status.getPath(), True):
                 gone.append(0)
     return sorted(set(gone))
-
-
-def _path(spark: SparkSession, path: str) -> JavaObject:
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _files(spark: SparkSession, path: str) -> JavaObject:
-    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -211,3 +211,81 @@ def test_a_copy_of_other_filters_is_refused(spark):
     plain = number_rows(table, "id")
     with pytest.raises(ValueError, match="numbered copy"):
         page(table, "id", 0, 6, filters=odd, top_k_rows=1, copy=plain)
+
+
+CHANGES = "k long, ts long, op string, v string"
+
+
+def merged_target(spark, path, **options):
+    from tablebridge.streaming.merged import MergedTarget
+
+    schema = spark.createDataFrame([], CHANGES).schema
+    return MergedTarget(spark, str(path), "k", schema, "ts", F.col("op") == "D", buckets=8, **options)
+
+
+def held(target) -> dict:
+    return {r.k: r.v for r in target.read().collect()}
+
+
+def test_merged_target_with_late_changes_deletes_and_expiry(spark, tmp_path):
+    target = merged_target(spark, tmp_path / "t", keep=100)
+
+    def merge(batch, *rows):
+        return target.merge(spark.createDataFrame(list(rows), CHANGES), batch)
+
+    assert held(target) == {} and target.expire() == []
+    merge(0, (1, 10, "U", "a"), (2, 11, "U", "b"), (None, 12, "U", "null key"), (3, None, "U", "no time"))
+    assert held(target) == {1: "a", 2: "b", None: "null key"}
+    # A change that comes late loses to a newer one; a delete hides its key, also from late changes.
+    merge(1, (1, 9, "U", "late"), (2, 20, "D", None), (4, 15, "U", "d"))
+    merge(2, (2, 19, "U", "late"), (1, 30, "U", "a2"))
+    assert held(target) == {1: "a2", 4: "d", None: "null key"}
+    # A batch that runs again does nothing.
+    assert merge(2, (1, 99, "U", "again")) == [] and held(target)[1] == "a2"
+    merge(3, (2, 25, "U", "back"), (4, 31, "D", None))
+    assert held(target) == {1: "a2", 2: "back", None: "null key"}
+    # The tombstone of key 4 ends with its time; changes from before that come too late for good.
+    assert target.expire() == []
+    merge(4, (1, 140, "U", "a3"))
+    stones = [line["oldest_tombstone"] for line in target.manifest()]
+    assert 31 in stones
+    assert len(target.expire()) == 1 and not any(line["oldest_tombstone"] for line in target.manifest())
+    merge(5, (4, 35, "U", "too late"), (5, 41, "U", "in time"))
+    assert held(target) == {1: "a3", 2: "back", 5: "in time", None: "null key"}
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    import os
+
+    target = merged_target(spark, tmp_path / "t")
+    target.merge(spark.range(200).selectExpr("id AS k", "id AS ts", "'U' AS op", "string(id) AS v"), 0)
+    before = {line["bucket"]: line["folder"] for line in target.manifest()}
+    assert len(before) == 8
+    changed = spark.createDataFrame([(7, 1000, "U", "x"), (7, 999, "U", "y")], CHANGES)
+    (bucket,) = target.merge(changed, 1)
+    after = {line["bucket"]: line["folder"] for line in target.manifest()}
+    assert {b for b in after if after[b] != before[b]} == {bucket}
+    assert held(target) == {i: "x" if i == 7 else str(i) for i in range(200)}
+    assert os.listdir(tmp_path / "t" / "data" / f"{1:010d}") and len([f for f in os.listdir(tmp_path / "t" / "data" / f"{1:010d}") if f.startswith("__")]) == 1
+    # A merge that dies before its manifest is finished changes nothing, nor do its files.
+    changed.withColumn("__deleted", F.lit(False)).write.parquet(f"{tmp_path}/t/data/{2:010d}/__bucket={bucket}")
+    os.makedirs(tmp_path / "t" / "commits" / f"{2:010d}")
+    assert held(target)[7] == "x" and target.versions() == [0, 1]
+    target.merge(spark.createDataFrame([(7, 2000, "D", None)], CHANGES), 2)
+    assert 7 not in held(target)
+    assert target.vacuum(1) == 2
+    assert len(held(target)) == 199
+
+
+def test_merged_stream(spark, tmp_path):
+    from tablebridge.streaming.merged import merge_stream
+
+    target = merged_target(spark, tmp_path / "t", keep=1000)
+    parts = [[(1, 5, "U", "a"), (2, 6, "U", "b")], [(1, 4, "U", "late"), (2, 9, "D", None)], [(3, 7, "U", "c"), (2, 8, "U", "late")]]
+    (tmp_path / "log").mkdir()
+    stream = spark.readStream.schema(CHANGES).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+    for part in parts:
+        spark.createDataFrame(part, CHANGES).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        merge_stream(stream, target, f"{tmp_path}/offsets", 3).awaitTermination()
+    assert held(target) == {1: "a", 3: "c"}
+    assert target.manifest()[0]["newest"] == 9 and len(target.versions()) == 3
