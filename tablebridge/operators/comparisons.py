@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablebridge.functions.patterns import java_pattern
+from tablebridge.functions.patterns import java_pattern, required_literals
 
 Literal = Callable[[Any], Column]
 
@@ -129,7 +129,7 @@ def compare(
         return ~hit if operator == "not_contains" else hit
     if operator in ("matches", "not_matches"):
         hit = _text(column, dtype).rlike(java_pattern(str(value)))
-        return hit if operator == "matches" else ~hit
+        return _with_literals(hit, column, dtype, str(value)) if operator == "matches" else ~hit
     if operator in ("between", "not_between"):
         if second is None:
             raise ValueError(f"operator {operator!r} needs two bounds")
@@ -146,6 +146,18 @@ def compare(
     return ordered(column, operator, literal(value))
 
 
+def _with_literals(hit: Column, column: Column, dtype: T.DataType, pattern: str) -> Column:
+    """A match, together with the texts it cannot do without, which a scan or a database can look for itself."""
+    if not isinstance(dtype, T.StringType):
+        return hit
+    prefix, pieces = required_literals(pattern)
+    # One character is in most texts.
+    held = [column.contains(piece) for piece in dict.fromkeys(pieces) if len(piece) > 1]
+    if prefix:
+        held.insert(0, column.startswith(prefix))
+    return reduce(lambda a, b: a & b, [*held, hit])
+
+
 def chain(terms: list[tuple[str, Column]]) -> Column:
     """Fold ``(connector before the term, term)`` pairs; AND binds tighter."""
     groups: list[list[Column]] = []

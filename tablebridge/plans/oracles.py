@@ -333,6 +333,10 @@ WHERE o_orderdate >= DATE '1996-11-15' AND o_orderdate < DATE '1997-02-01'""",
     "key_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
+    "load_violations": """
+WITH b AS (SELECT CAST(floor(event_id * 1.5) AS BIGINT) AS number, count(*) AS in_batch FROM events GROUP BY 1),
+t AS (SELECT o_orderkey AS number, count(*) AS n FROM orders GROUP BY 1)
+SELECT number, in_batch, coalesce(n, 0) AS in_target FROM b LEFT JOIN t USING (number) WHERE in_batch > 1 OR n > 0""",
     "unique_index_violations": """
 SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer
 WHERE c_mktsegment IS NOT NULL AND c_nationkey IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from tablebridge.functions import types as names
 from tablebridge.functions.text import stringify
-from tablebridge.operators.checks import column_stats, key_violations
+from tablebridge.operators.checks import column_stats, key_violations, load_violations
 from tablebridge.operators.deltas import delta_page, delta_snapshot, latest_changes
 from tablebridge.operators.filters import filter_rows
 from tablebridge.operators.infer import (
@@ -986,6 +986,14 @@ def key_violations_lineitem(spark, folder):
     return key_violations(source(spark, folder).table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@named("load_violations")
+def load_violations_events(spark, folder):
+    """Event numbers as a load against the keys of the orders."""
+    origin = source(spark, folder)
+    batch = origin.table("events").select((F.floor(F.col("event_id") * 1.5)).alias("number"), "event_type")
+    return load_violations(batch, origin.table("orders").select(F.col("o_orderkey").alias("number")), "number")
+
+
 @query
 def unique_index_violations(spark, folder):
     layout = plan_layout([{"columns": ["c_mktsegment", "c_nationkey"], "unique": True}])

@@ -158,3 +158,56 @@ def test_filter_reaches_the_scan(spark, tmp_path, table):
     payload = [entry("id", ">", 1), entry("name", "STARTS_WITH", "red")]
     plan = filter_rows(stored, payload).select("id")._jdf.queryExecution().toString()
     assert "GreaterThan(id,1)" in plan and "StringStartsWith(name,red)" in plan
+
+
+LITERALS = {
+    "^red": ("red", []),
+    "ring": ("", ["ring"]),
+    "^a+b*c?d{2}e{0,1}f": ("a", ["d", "f"]),
+    r"^12\.5 [a-z]+ end$": ("12.5 ", [" end"]),
+    "(ab)c(d)?e": ("", ["c", "e"]),
+    "a|b": ("", []),
+    "(a|b)c[|]d": ("", ["c", "d"]),
+    "^(red|blue) .*t$": ("", [" ", "t"]),
+    "^ab(c|d|": ("ab", []),
+    "(?i)abc": ("", []),
+    r"\d+abc\w": ("", ["abc"]),
+    "ab{3}c": ("", ["ab", "c"]),
+    "x[]a]y[^b]z": ("", ["x", "y", "z"]),
+    "^": ("", []),
+    "": ("", []),
+    "a(b(c)[)]d)e": ("", ["a", "e"]),
+    "ab??c": ("", ["a", "c"]),
+}
+
+
+@pytest.mark.parametrize("pattern", LITERALS)
+def test_required_literals(pattern):
+    from tablebridge.functions.patterns import required_literals
+
+    assert required_literals(pattern) == LITERALS[pattern]
+
+
+def test_literals_never_lose_a_match():
+    """Random expressions over a small alphabet: every value that matches holds them."""
+    import random
+    import re
+
+    from tablebridge.functions.patterns import required_literals
+
+    rng = random.Random(6)
+    pieces = ["a", "b", "c", "ab", "(a|bc)", ".", "[ab]", "[^c]", "(b)", "(ab)", "\\.", "\\w", "a{2}", "b{0,2}", "c{1,}"]
+    values = ["".join(rng.choice("abc.") for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    useful = 0
+    for _ in range(600):
+        pattern = rng.choice(["", "^"]) + "".join(rng.choice(pieces) + rng.choice(["", "", "", "?", "*", "+", "+?", "*?"]) for _ in range(rng.randint(1, 5))) + rng.choice(["", "$"])
+        try:
+            found = re.compile(pattern)
+        except re.error:  # a quantifier behind another
+            continue
+        prefix, literals = required_literals(pattern)
+        useful += bool(prefix or literals)
+        for value in values:
+            if found.search(value):
+                assert value.startswith(prefix) and all(piece in value for piece in literals), (pattern, value)
+    assert useful > 200

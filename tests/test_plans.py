@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tablebridge.operators.infer import infer_types
@@ -79,6 +80,31 @@ def test_statistics_of_all_columns_take_one_scan(spark):
     assert lines.count("Scan parquet") == 1 and lines.count("Exchange") == 1 and "Expand" not in lines
 
 
+def test_the_target_of_a_load_is_not_shuffled(spark):
+    """Its rows meet a broadcast filter in the scan's own stage; only what passes is exchanged."""
+    from tablebridge.operators.checks import load_violations
+
+    target = ParquetSource(spark, SMALL).table("lineitem").select("l_orderkey")
+    batch = spark.range(50_000).select(F.col("id").alias("l_orderkey"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(load_violations(batch, target, "l_orderkey"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    meeting = plan.index("BroadcastHashJoin [__word")
+    assert "Exchange" not in plan[meeting : plan.index("lineitem.parquet", meeting)]
+
+
+def test_texts_that_a_pattern_needs_are_pushed_down(spark):
+    from tablebridge.operators.filters import filter_rows
+
+    part = ParquetSource(spark, SMALL).table("part")
+    found = filter_rows(part, [{"column": {"name": "p_name"}, "operator": "MATCHES", "value": "^red .+ring( |$)"}])
+    plan = plan_of(found)
+    assert "StringStartsWith(p_name,red )" in plan and "StringContains(p_name,ring)" in plan
+    assert found.count() == part.where(F.col("p_name").rlike("^red .+ring( |$)")).count()
+
+
 def test_top_k_page(spark):
     assert "TakeOrderedAndProject" in query_plan(spark, "page_raw")
 

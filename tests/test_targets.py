@@ -384,3 +384,19 @@ def test_flagged_columns_lay_out_the_loads_of_a_table(spark, tmp_path):
         assert max(r.a for r in place) < 3500 and max(r.b for r in place) < 3500
     finally:
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_violations_of_a_load(spark, monkeypatch):
+    """Twice in the load, already in the target, nulls; keys of two columns, text and doubles, with and without a filter."""
+    from tablebridge.operators import checks
+
+    batch = spark.createDataFrame([(1, "a", 0.0), (1, "a", 0.0), (2, "b", -0.0), (3, None, 1.0), (4, "d", 2.0), (5, "e", 3.0)], "k int, s string, x double")
+    target = spark.createDataFrame([(2, "b", 0.0), (2, "b", 0.0), (3, "c", 1.0), (5, "other", 3.0), (None, "d", 2.0)], "k bigint, s string, x double")
+    want = {(1, "a", 0.0, 2, 0), (2, "b", 0.0, 1, 2)}
+    for bits in (26, 0):  # beyond the filter's size all rows of the target meet the load
+        monkeypatch.setattr(checks, "FILTER_BITS", bits)
+        found = {tuple(r) for r in checks.load_violations(batch, target, "k, s, x").collect()}
+        assert found == want | {(3, None, 1.0, 1, 0)}
+        assert {tuple(r) for r in checks.load_violations(batch, target, ["k", "s", "x"], nulls_allowed=True).collect()} == want
+    assert checks.load_violations(batch.limit(0), target, "k").collect() == []
+    assert {tuple(r) for r in checks.load_violations(batch, target.limit(0), "k").collect()} == {(1, 2, 0)}
