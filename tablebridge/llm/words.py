@@ -7,12 +7,15 @@ Work goes on in chunks of about half a megabyte of whole texts, which bounds mem
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 19
+#: Gives free memory back to the system, where the C library can.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_RADIX), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -80,6 +83,10 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         to = min(max(to, at + 1), n)
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
+    # Workers live on and keep what their allocators hold; what earlier batches took goes back.
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = NOT_BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
