@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -42,6 +43,9 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 
+#: What is left if nothing but reserved rights is stated.
+RESERVED = "proprietary"
+
 TAG = "spdx license identifier"
 
 #: How far a license binds whoever uses the text, by the start of its label; the longest start counts.
@@ -75,16 +79,16 @@ def binding(name: str) -> float:
     return BINDING[max(fits, key=len)] if fits else UNKNOWN
 
 
-def parse(text: str) -> list[str]:
-    """A license expression in postfix order: the longest one that `text` begins with, else nothing.
+def parse(text: str, at: int = 0, end: int | None = None) -> list[str]:
+    """A license expression in postfix order: the longest one that `text` begins with from `at` on, else nothing.
 
     WITH binds closest, then AND, then OR; parentheses group.
     """
     out: list[str] = []
     stack: list[str] = []
     best: list[str] = []
-    operand, at = True, 0
-    while m := _TOKEN.match(text, at):
+    operand, end = True, len(text) if end is None else end
+    while m := _TOKEN.match(text, at, end):
         token, at = m[1], m.end()
         kind = token.lower()
         if operand:
@@ -147,24 +151,35 @@ def scan(raw: bytes) -> tuple[int, int, int | None, int | None, str, str, float]
     line = (b" " + b" ".join(words) + b" ").decode("latin-1")
     base: set[str] = set()
     labels: set[str] = set()
-    places: list[int] = []
+    starts: list[int] = []
     tagged = False
     for end, phrase in automaton().iter(line):
         if phrase in BASE_PHRASES:
-            places.append(line.count(" ", 0, end - len(phrase)) - 1)
+            starts.append(end - len(phrase))
             base.add(BASE_PHRASES[phrase])
         elif phrase == TAG:
             tagged = True
         else:
             labels.add(NOTICES[phrase])
-    score = max(map(binding, base | labels), default=0.0)
+    named: set[str] = set()
+    score = 0.0
     if tagged:
         text = raw.decode("utf-8", "replace")
+        end = -1
         for m in _TAG_TEXT.finditer(text):
-            names, bound = evaluate(parse(text[m.end() :].split("\n", 1)[0]))
-            labels |= names
+            if end < m.end():  # the line's end, looked for once a line
+                end = text.find("\n", m.end())
+                end = len(text) if end < 0 else end
+            names, bound = evaluate(parse(text, m.end(), end))
+            named |= names
             score = max(score, bound)
-    labels |= base
+    if len(base | labels | named) > 1:
+        labels.discard(RESERVED)  # the usual closing line of a license says no more than that
+    score = max(score, max(map(binding, base | labels), default=0.0))
+    labels |= base | named
+    # The word that starts at a place: as many as there are blanks before it.
+    places = np.searchsorted(np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 32), starts).tolist() if starts else []
+    places = [place - 1 for place in places]
     if any(x.startswith("gpl-") for x in labels):
         labels.discard("gpl")
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -219,6 +220,25 @@ def choose_thresholds(sums: np.ndarray, false_finds: float = FALSE_FINDS) -> np.
     return chosen
 
 
+def covered(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of what spans (start, kind, end) cover, merged and in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, _, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def is_free(start: int, end: int, starts: list[int], ends: list[int]) -> bool:
+    """Whether a span meets none of the covered ones: the first that ends behind its start must begin behind its end."""
+    at = bisect_right(ends, start)
+    return at == len(starts) or starts[at] >= end
+
+
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
@@ -246,10 +266,10 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", false
                 for _, k, _ in base:
                     counts[k, i] += 1
                 digest[i] = hashlib.sha256(joined(base).encode()).hexdigest()
-                more = []
+                more, taken = [], covered(base)
                 for start, token in parts(body):
                     end = start + len(token)
-                    if is_candidate(token) and grade(randomness(token)) >= least[length_class(token)] and not any(a < end and start < b for a, _, b in base):
+                    if is_candidate(token) and is_free(start, end, *taken) and grade(randomness(token)) >= least[length_class(token)]:
                         more.append((start, 3, end))
                 spans[i] = joined(base + more)
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, counts), pa.array(digest), pa.array(spans, pa.string())], [key, "n_assign", "n_access", "n_hex", "base_sha256", "spans"])

@@ -19,9 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tablebridge.llm.storage import stored
+
 #: Rows of a block of vectors, and of a block of queries.
 BLOCK = 4096
 QUERY_BLOCK = 512
+#: Blocks of vectors that a task searches.
+PART_BLOCKS = 2
 #: How deep the lists are read, in shares of their length, after each round.
 DEPTHS = (0.25, 0.5, 0.7, 0.85, 1.0)
 #: Blocks of queries whose reached scores a task remembers.
@@ -30,18 +34,18 @@ REMEMBERED = 1024
 EXACT = float(1 << 53)
 
 
-def whole_numbers(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """key and v: floor(scale * x) of each component as double; rows that hold a null or are not finite are left out."""
+def whole_numbers(vectors: DataFrame, key: str, vector: str, scale: int, query: str) -> DataFrame:
+    """key, query and v: floor(scale * x) of each component as double; rows that hold a null or are not finite are left out."""
     x = F.col(vector).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return vectors.where(F.col(vector).isNotNull() & finite).select(F.col(key).cast("long").alias("key"), F.transform(x, lambda c: F.floor(c * float(scale))).alias("v")).where("key is not null")
+    return vectors.where(F.col(vector).isNotNull() & finite).select(F.col(key).cast("long").alias("key"), F.col(query).alias("query"), F.transform(x, lambda c: F.floor(c * float(scale))).alias("v")).where("key is not null")
 
 
 @dataclass
 class Lists:
     """A block of vectors with the ranks of their components in each dimension's sorted list."""
 
-    keys: np.ndarray
+    keys: np.ndarray  # numbers of rows
     x: np.ndarray  # rows by dimensions
     ordered: np.ndarray  # each column sorted, largest first
     rank: np.ndarray  # place of each component in its column's list
@@ -119,34 +123,32 @@ def trim(query: np.ndarray, keys: np.ndarray, score: np.ndarray, k: int) -> np.n
 
 
 def blocks(rows: DataFrame, size: int, name: str, width: int) -> DataFrame:
-    """Rows packed into (name, keys, v): at most about `size` rows each, components as little-endian longs."""
+    """Rows packed into (name_rows, name_keys, name_v): at most about `size` rows each, all as little-endian longs."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        values: list[np.ndarray] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         held = 0
 
         def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([np.concatenate(keys).astype("<i8").tobytes()], pa.binary()), pa.array([np.concatenate(values).astype("<i8").tobytes()], pa.binary())], [f"{name}_keys", f"{name}_v"])
+            return pa.RecordBatch.from_arrays([pa.array([np.concatenate(c).astype("<i8").tobytes()], pa.binary()) for c in zip(*parts, strict=True)], [f"{name}_rows", f"{name}_keys", f"{name}_v"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, size):
                 own = batch.slice(at, size)
-                lengths = own.column(1).value_lengths().to_numpy()
-                flat = own.column(1).flatten().to_numpy()
+                lengths = own.column(2).value_lengths().to_numpy()
+                flat = own.column(2).flatten().to_numpy()
                 x = np.zeros((own.num_rows, width), np.int64)
                 row = np.repeat(np.arange(own.num_rows), lengths)
                 x[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-                keys.append(own.column(0).to_numpy())
-                values.append(x)
+                parts.append((own.column(0).to_numpy(), own.column(1).to_numpy(), x))
                 held += own.num_rows
                 if held >= size:
                     yield packed()
-                    keys, values, held = [], [], 0
+                    parts, held = [], 0
         if held:
             yield packed()
 
-    return rows.select("key", "v").mapInArrow(pack, f"{name}_keys binary, {name}_v binary")
+    return rows.select("row", "key", "v").mapInArrow(pack, f"{name}_rows binary, {name}_keys binary, {name}_v binary")
 
 
 def top_inner_products(
@@ -163,43 +165,45 @@ def top_inner_products(
 
     Components are floor(scale * x). Ties go to the smaller key. Vectors that are null or hold null or
     non-finite components take no part, nor do rows with a null key; shorter vectors end in zeros. Rows that
-    repeat a key count once each as candidates and as queries once. A query never meets rows of its own
-    key. Other columns are not read. An empty table, or no query, gives an empty result.
+    repeat a key count each on their own, as queries too; a query meets every row but its own. Other columns are not read. An empty table, or no query, gives an empty result.
     """
-    rows = whole_numbers(vectors, key, vector, scale)
-    width = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    rows = whole_numbers(vectors.withColumn("__query", F.coalesce(is_query, F.lit(False))), key, vector, scale, "__query")
+    # Written once, so that a row has the same number as query and as candidate.
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "top-rows")
+    size = rows.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
+    width = size["width"] or 0
     if not width:
         return rows.select(F.col("key").alias("query_id"), F.lit(1).alias("rank"), F.col("key").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
-    queries = whole_numbers(vectors.where(is_query), key, vector, scale).dropDuplicates(["key"])
     # Every block of queries goes to every part of the vectors; a part holds its blocks one after the other.
-    parts = max(1, -(-vectors.count() // (8 * block)))
-    query_rows = blocks(queries, query_block, "q", width).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    vector_rows = blocks(rows, block, "c", width).withColumn("part", F.pmod(F.xxhash64("c_keys"), F.lit(parts)).cast("int"))
-    pairs = query_rows.join(vector_rows, "part").select("q_keys", "q_v", "c_keys", "c_v")
+    parts = max(1, -(-size["n"] // (PART_BLOCKS * block)))
+    query_rows = blocks(rows.where("query"), query_block, "q", width).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(parts, "part")
+    vector_rows = blocks(rows, block, "c", width).withColumn("part", F.pmod(F.xxhash64("c_rows"), F.lit(parts)).cast("int")).repartition(parts, "part")
+    pairs = query_rows.join(vector_rows, "part").select("q_rows", "q_keys", "q_v", "c_rows", "c_keys", "c_v")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_lists: tuple[bytes, Lists | None] = (b"", None)
         reached: dict[bytes, np.ndarray] = {}  # by block of queries, what earlier blocks of vectors have given
         for batch in batches:
             for i in range(batch.num_rows):
-                q_keys, q_v, c_keys, c_v = (batch.column(j)[i].as_buffer().to_pybytes() for j in range(4))
-                query_keys, q = np.frombuffer(q_keys, "<i8"), np.frombuffer(q_v, "<i8").reshape(-1, width)
-                if last_lists[0] != c_keys:
-                    last_lists = (c_keys, Lists.build(np.frombuffer(c_keys, "<i8"), np.frombuffer(c_v, "<i8").reshape(-1, width).astype(np.float64)))
+                q_rows, q_keys, q_v, c_rows, c_keys, c_v = (batch.column(j)[i].as_buffer().to_pybytes() for j in range(6))
+                query_rows, q = np.frombuffer(q_rows, "<i8"), np.frombuffer(q_v, "<i8").reshape(-1, width)
+                query_keys, keys = np.frombuffer(q_keys, "<i8"), np.frombuffer(c_keys, "<i8")
+                if last_lists[0] != c_rows:
+                    last_lists = (c_rows, Lists.build(np.frombuffer(c_rows, "<i8"), np.frombuffer(c_v, "<i8").reshape(-1, width).astype(np.float64)))
                 lists = last_lists[1]
                 if width * float(np.abs(q).max(initial=0)) * float(np.abs(lists.x).max(initial=0)) < EXACT:
                     if len(reached) > REMEMBERED:
                         reached.clear()
-                    least = reached.setdefault(q_keys, np.full(len(q), -np.inf))
-                    a, b, score = best_of_block(query_keys, q.astype(np.float64), lists, k, least)
+                    least = reached.setdefault(q_rows, np.full(len(q), -np.inf))
+                    a, b, score = best_of_block(query_rows, q.astype(np.float64), lists, k, least)
                     score = score.astype(np.int64)
                 else:  # sums beyond what doubles hold: whole numbers, every pair
                     full = q @ np.frombuffer(c_v, "<i8").reshape(-1, width).T
-                    a, b = np.nonzero(query_keys[:, None] != lists.keys[None, :])
+                    a, b = np.nonzero(query_rows[:, None] != lists.keys[None, :])
                     score = full[a, b]
-                best = trim(a, lists.keys[b], score, k)
-                yield pa.RecordBatch.from_arrays([pa.array(query_keys[a[best]]), pa.array(lists.keys[b[best]]), pa.array(score[best])], ["query_id", "vec_id", "score"])
+                best = trim(a, keys[b], score, k)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (query_rows[a[best]], query_keys[a[best]], keys[b[best]], score[best])], ["q_row", "query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(search, "q_row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

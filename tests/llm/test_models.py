@@ -202,3 +202,11 @@ def test_top_of_large_numbers_and_few_rows(spark):
     assert sorted(map(tuple, topk.top_inner_products(frame, F.col("vec_id") == 0).collect())) == plain_top(rows)
     assert topk.top_inner_products(frame.limit(0), F.col("vec_id") == 0).count() == 0
     assert topk.top_inner_products(frame, F.col("vec_id") == 9).count() == 0
+
+
+def test_rows_that_repeat_a_key_are_rows_of_their_own(spark):
+    """Two query rows with one key and different vectors: both are answered, and each meets the other."""
+    rows = [(20, [3.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [-1.0, 4.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = topk.top_inner_products(frame, F.col("vec_id") == 20, k=2, scale=1).collect()
+    assert sorted(map(tuple, got)) == [(20, 1, 1, 3), (20, 1, 2, 8), (20, 2, 1, 2), (20, 2, 20, 0)]

@@ -66,7 +66,10 @@ def test_expressions():
 
 def test_tags_and_notices():
     assert scan(b"// SPDX-License-Identifier: (MIT OR Apache-2.0)\ncode")[5:] == ("apache-2,mit", 0.25)
-    assert scan(b"GNU General Public License, version 3. All rights reserved.")[5:] == ("gpl-3,proprietary", 1.0)
+    assert scan(b"GNU General Public License, version 3. All rights reserved.")[5:] == ("gpl-3", 0.75)
+    assert scan(b"All rights reserved.")[5:] == ("proprietary", 1.0)
+    bsd = b"Copyright. All rights reserved. Redistribution and use in source and binary forms, with or without modification"
+    assert scan(bsd)[5:] == ("bsd", 0.25)
     assert scan(b"SPDX-License-Identifier:")[5:] == ("", 0.0)
 
 
@@ -193,3 +196,24 @@ def test_random_values_of_names_and_paths_are_found(spark):
 
 def test_phrases_are_those_of_the_contract():
     assert licenses.BASE_PHRASES == PHRASES
+
+
+def test_very_long_texts_full_of_hits_take_time_in_proportion(spark):
+    """Texts of some MB, in one line: places of phrases, tags and spans as in short ones."""
+    import time
+
+    own, n = b"Under the MIT License. SPDX-License-Identifier: MIT ", 100_000
+    began = time.perf_counter()
+    words, hits, first, last, base, labels, _ = scan(own * n)
+    assert (words, hits, first, last, base, labels) == (8 * n, n, 0, 8 * n - 8, "mit", "mit")
+    docs = [(1, "token=abcdef123 Zq8xK2mVw7RtL4pYbN3c " * n), (2, "nothing")]
+    rows = {r.doc_id: r for r in secrets.scan_secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[1].n_assign == n and rows[2].n_assign == 0
+    assert time.perf_counter() - began < 60  # minutes if each hit looked at all before it
+
+
+def test_spans_that_meet_a_covered_one():
+    taken = secrets.covered([(5, 0, 9), (7, 2, 12), (20, 1, 30)])
+    assert taken == ([5, 20], [12, 30])
+    for start, end in [(a, b) for a in range(35) for b in range(a + 1, 36)]:
+        assert secrets.is_free(start, end, *taken) == (not (start < 12 and 5 < end or start < 30 and 20 < end))
