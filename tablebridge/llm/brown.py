@@ -2,8 +2,13 @@
 
 Words fall into classes; a text's probability is that of its sequence of classes times
 that of each word within its class. Word counts and class transitions are counted by
-Spark over all training texts. Exchange clustering itself works on the counts of
-a bounded alphabet: the most frequent words one by one, all others by their form.
+Spark over all training texts.
+
+Exchange clustering goes in two steps. The most frequent words start the classes: they are exchanged one by one, on
+the counts of one another and of forms that stand for all other words. Then every other word that tasks hold is
+exchanged by sweeps in Spark: its counts of classes before and behind it, over all texts, say what
+each class would gain by it; words move together, and a sweep is kept if the classes
+tell more about one another. Words too rare to be held, and those never seen, go by their form.
 """
 
 from __future__ import annotations
@@ -19,11 +24,13 @@ from pyspark.sql import functions as F
 from tablebridge.llm.storage import stored
 from tablebridge.llm.words import LOWER, chunks, signed, span_hashes, word_spans
 
-#: Words with symbols of their own; all others share the symbol of their form.
+#: Words that start the classes; all others share the symbol of their form at first.
 OWN_SYMBOLS = 512
 FORMS = 32
 CLASSES = 48
 SWEEPS = 8
+#: Sweeps over all other held words.
+WORD_SWEEPS = 2
 #: Word counts that tasks hold in memory at most; rarer words are joined.
 HELD_WORDS = 1 << 19
 SMOOTHING = 0.1
@@ -46,11 +53,12 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 @dataclass
 class Held:
-    """Counts and symbols of the frequent words, in the order of their hashes."""
+    """Counts, symbols and forms of the frequent words, in the order of their hashes."""
 
     hashes: np.ndarray
     counts: np.ndarray
     symbols: np.ndarray
+    forms: np.ndarray
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each hash, and whether it is there."""
@@ -60,14 +68,33 @@ class Held:
         return at, self.hashes[at] == hashes
 
 
+@dataclass
+class Classes:
+    """Class of each held word and of each form; the end, which is also where texts begin, has the last."""
+
+    word: np.ndarray
+    form: np.ndarray
+    count: int
+
+    def sequence(self, held: Held, h: np.ndarray, form: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes of texts, an end before the first and after each; likewise the places of held words, else -1; each text's end."""
+        at, known = held.find(h)
+        own = self.form[form]
+        if known.any():
+            own = np.where(known, self.word[at], own)
+        ends = first[1:] + 1 + np.arange(len(first) - 1)
+        end = self.count - 1
+        return np.concatenate(([end], np.insert(own, first[1:], end))).astype(np.int64), np.concatenate(([-1], np.insert(np.where(known, at, -1), first[1:], -1))), ends
+
+
 @dataclass
 class Model:
-    """A trained model. Symbols: own words, then forms, then the end, which is also where texts begin."""
+    """A trained model."""
 
     held: Held
-    classes: np.ndarray  # of each symbol
+    classes: Classes
     transitions: np.ndarray  # log10 P(class | class before)
-    emissions: np.ndarray  # log10 of what a word's smoothed count is divided by, by symbol
+    emissions: np.ndarray  # log10 of what a word's smoothed count is divided by, by class
     total: int
     distinct: int
     ends: int
@@ -109,14 +136,14 @@ def hold(counts: DataFrame, own: int, most: int) -> Held:
             break
         least, so_far = at, so_far + size
     if least is None:
-        return Held(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Held(*(np.zeros(0, np.int64) for _ in range(4)))
     found = counts.where(step >= least).select("word", "n", "form").toArrow()  # `most` rows at most
     h, n, form = (found[c].to_numpy() for c in ("word", "n", "form"))
     symbols = own + form.astype(np.int64)
     rank = np.lexsort((h, -n))[:own]
     symbols[rank] = np.arange(len(rank))
     order = np.argsort(h)
-    return Held(h[order], n[order], symbols[order])
+    return Held(h[order], n[order], symbols[order], form[order].astype(np.int64))
 
 
 def symbol_sequence(held: Held, h: np.ndarray, form: np.ndarray, first: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +160,7 @@ def count_pairs(train: DataFrame, text: str, held: Held, own: int) -> np.ndarray
     """How often one symbol follows another in all training texts; at most the square of the alphabet comes back."""
     size = own + FORMS + 1
     frequent = held.symbols < own
-    small = train.sparkSession.sparkContext.broadcast(Held(held.hashes[frequent], held.counts[frequent], held.symbols[frequent]))
+    small = train.sparkSession.sparkContext.broadcast(Held(held.hashes[frequent], held.counts[frequent], held.symbols[frequent], held.forms[frequent]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size * size, np.int64)
@@ -210,41 +237,170 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return own
 
 
+def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """word, code, n: how often each class follows a word (code: the class), comes before it (classes more) or the word itself
+    follows (twice the classes), for the held words `moving` marks; and how often each class follows each. One pass over all training texts.
+    """
+    k = classes.count
+    shared = train.sparkSession.sparkContext.broadcast((held, classes, moving))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, classes, moving = shared.value
+        codes = 2 * k + 1
+        pairs = np.zeros(k * k, np.int64)
+
+        def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array((key // codes).astype(np.int32)), pa.array((key % codes).astype(np.int32)), pa.array(n)], ["word", "code", "n"])
+
+        parts, size = [], 0
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column(0)):
+                path, place, _ = classes.sequence(held, *tokens(data, offsets))
+                pairs += np.bincount(path[:-1] * k + path[1:], minlength=k * k)
+                moves = (place >= 0) & moving[place] if len(moving) else np.zeros(len(place), bool)
+                at = np.flatnonzero(moves[:-1])
+                loop = place[at] == place[at + 1]
+                behind = place[at] * codes + np.where(loop, 2 * k, path[at + 1])
+                at = np.flatnonzero(moves[1:]) + 1
+                at = at[place[at] != place[at - 1]]
+                parts += [behind, place[at] * codes + k + path[at - 1]]
+                size += len(parts[-1]) + len(parts[-2])
+                if size > 4_000_000:
+                    yield counted(parts)
+                    parts, size = [], 0
+        if size:
+            yield counted(parts)
+        at = np.flatnonzero(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), -1, np.int32)), pa.array(at.astype(np.int32)), pa.array(pairs[at])], ["word", "code", "n"])
+
+    found = stored(train.select(text).mapInArrow(count, "word int, code int, n long"), "class-contexts")
+    table = found.where("word < 0").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    between = np.zeros(k * k)
+    between[table["code"].to_numpy()] = table["n"].to_numpy()
+    return found.where("word >= 0"), between.reshape(k, k)
+
+
+def told(between: np.ndarray) -> float:
+    """What classes tell about the classes that follow them, as far as classes decide it."""
+    return float(information(between).sum() - information(between.sum(axis=1)).sum() - information(between.sum(axis=0)).sum())
+
+
+def gains(word: np.ndarray, code: np.ndarray, n: np.ndarray, own: np.ndarray, between: np.ndarray) -> np.ndarray:
+    """What classes would tell more with each word (rows) in each class (columns) than without it, while all other words stand still.
+
+    `word` numbers rows, in order; `code` and `n` are its contexts as `contexts` counts them; `own` is each row's class.
+    """
+    k, rows = len(between), len(own)
+    value = n.astype(np.float64)
+    gain = np.zeros((rows, k))
+    beside = [np.zeros((rows, k)), np.zeros((rows, k))]
+    for side, table in enumerate((between.T, between)):  # table[c, b]: class b before class c, then class b behind class c
+        at = np.flatnonzero((code >= side * k) & (code < (side + 1) * k))
+        c, w, x = code[at] - side * k, word[at], value[at]
+        np.add.at(beside[side], (w, c), x)
+        for low in range(0, len(at), 1 << 15):
+            part = slice(low, low + (1 << 15))
+            change = information(table[c[part]] + x[part, None]) - information(table[c[part]])
+            mine = table[c[part], own[w[part]]]
+            change[np.arange(len(change)), own[w[part]]] = information(mine) - information(np.maximum(mine - x[part], 0))
+            np.add.at(gain, w[part], change)
+    to, by = beside
+    loop = np.zeros(rows)
+    at = code == 2 * k
+    np.add.at(loop, word[at], value[at])
+    corner = np.diagonal(between)[None, :]
+    alone = information(corner + to) + information(corner + by) - 2 * information(corner)
+    gain += information(corner + to + by + loop[:, None]) - information(corner) - alone
+    for total, size in ((between.sum(axis=1), to.sum(axis=1) + loop), (between.sum(axis=0), by.sum(axis=1) + loop)):
+        gain -= information(total[None, :] + size[:, None]) - information(total)[None, :]
+    # Without the word, its own class has fewer contexts in all others.
+    row = np.arange(rows)
+    for table, mine, others in ((between.T[own], to[row, own], by), (between[own], by[row, own], to)):
+        without = np.maximum(table - others, 0)
+        fewer = information(without + mine[:, None]) - information(without) - information(table + mine[:, None]) + information(table)
+        fewer[row, own] = 0
+        gain += fewer
+    # The same for the class a word is in, by what goes if it leaves.
+    c, t, b = corner[0, own], to[row, own], by[row, own]
+    gain[row, own] += alone[row, own] - information(c + t + b + loop) + information(c)
+    gain[row, own] -= 2 * information(c) - information(np.maximum(c - t, 0)) - information(np.maximum(c - b, 0))
+    gain[row, own] += information(c) - information(np.maximum(c - t - b - loop, 0))
+    for total, size in ((between.sum(axis=1), to.sum(axis=1) + loop), (between.sum(axis=0), by.sum(axis=1) + loop)):
+        mine = total[own]
+        gain[row, own] += information(mine + size) - information(mine) - (information(mine) - information(np.maximum(mine - size, 0)))
+    return gain
+
+
+def sweep(found: DataFrame, classes: Classes, between: np.ndarray) -> np.ndarray:
+    """Class of each held word after all moved to where they gain most; only `HELD_WORDS` pairs of numbers come back."""
+    k = classes.count
+    shared = found.sparkSession.sparkContext.broadcast((classes.word, between))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, between = shared.value
+        for batch in batches:
+            words = batch.column(0).to_numpy()
+            entries = batch.column(1)
+            row = np.repeat(np.arange(len(words)), entries.value_lengths().to_numpy())
+            flat = entries.flatten()
+            for low in range(0, len(words), 2048):
+                part = np.flatnonzero((row >= low) & (row < low + 2048))
+                mine = own[words[low : low + 2048]]
+                gain = gains(row[part] - low, flat.field("code").to_numpy()[part], flat.field("n").to_numpy()[part], mine, between)[:, : k - 1]
+                to = gain.argmax(axis=1)
+                rows = np.arange(len(mine))
+                to = np.where(gain[rows, to] > gain[rows, mine] + 1e-9, to, mine)
+                moved = np.flatnonzero(to != mine)
+                yield pa.RecordBatch.from_arrays([pa.array(words[low : low + 2048][moved]), pa.array(to[moved].astype(np.int32))], ["word", "class"])
+
+    counted = found.repartition("word").groupBy("word", "code").agg(F.sum("n").alias("n"))
+    grouped = counted.groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("entries"))
+    moved = grouped.mapInArrow(best, "word int, class int").toArrow()
+    word = classes.word.copy()
+    word[moved["word"].to_numpy()] = moved["class"].to_numpy()
+    return word
+
+
+def cluster(train: DataFrame, text: str, held: Held, own: int, classes: int) -> tuple[Classes, np.ndarray]:
+    """Classes of all held words and of forms, and how often one follows another."""
+    symbol_class = exchange(count_pairs(train, text, held, own), classes)
+    k = int(symbol_class[-1]) + 1
+    now = Classes(symbol_class[held.symbols], symbol_class[own : own + FORMS], k)
+    moving = held.symbols >= own
+    best: tuple[Classes, np.ndarray] | None = None
+    for turn in range(WORD_SWEEPS + 1):
+        last = turn == WORD_SWEEPS
+        found, between = contexts(train, text, held, now, np.zeros_like(moving) if last else moving)
+        if best is not None and told(between) <= told(best[1]):
+            break
+        best = (now, between)
+        if last or not moving.any():
+            break
+        now = Classes(sweep(found, now, between), now.form, k)
+    return best
+
+
 def train_model(train: DataFrame, text: str = "text", own: int = OWN_SYMBOLS, classes: int = CLASSES, most_held: int = HELD_WORDS) -> Model:
     """Count all training texts and cluster; an empty table gives the uniform model."""
     counts = stored(count_words(train, text), "word-counts")
     texts = train.count()
     held = hold(counts, own, most_held)
-    pairs = count_pairs(train, text, held, own)
-    own_class = exchange(pairs, classes)
-    by_form = {r.form: (r.words, r.n) for r in counts.groupBy("form").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()}
-    size = own + FORMS + 1
-    words, mass = np.zeros(size), np.zeros(size)
-    for form, (w, n) in by_form.items():
-        words[own + form], mass[own + form] = w, n
-    frequent = held.symbols < own
-    words[held.symbols[frequent]] = 1
-    mass[held.symbols[frequent]] = held.counts[frequent]
-    forms = {int(s): f for s, f in zip(held.symbols[frequent], held_forms(counts, held, own), strict=True)} if frequent.any() else {}
-    for s, form in forms.items():
-        words[own + form] -= 1
-        mass[own + form] -= mass[s]
-    k = int(own_class.max()) + 1
-    class_words, class_mass = np.bincount(own_class, weights=words, minlength=k), np.bincount(own_class, weights=mass, minlength=k)
-    emissions = np.log10(class_mass + SMOOTHING * (class_words + 1))[own_class]
-    between = np.zeros((k, k))
-    np.add.at(between, (own_class[:, None].repeat(size, 1), own_class[None, :].repeat(size, 0)), pairs)
+    found, between = cluster(train, text, held, own, classes)
+    k = found.count
+    words, mass = np.zeros(FORMS), np.zeros(FORMS)
+    total, distinct = texts, int(texts > 0)
+    for r in counts.groupBy("form").agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect():  # a row per form
+        words[r.form], mass[r.form] = r.words, r.n
+        total, distinct = total + r.n, distinct + r.words
+    # Words that are not held count for the class of their form.
+    words -= np.bincount(held.forms, minlength=FORMS)
+    mass -= np.bincount(held.forms, weights=held.counts, minlength=FORMS)
+    class_words = np.bincount(found.word, minlength=k) + np.bincount(found.form, weights=words, minlength=k)
+    class_mass = np.bincount(found.word, weights=held.counts, minlength=k) + np.bincount(found.form, weights=mass, minlength=k)
+    emissions = np.log10(class_mass + SMOOTHING * (class_words + 1))
     transitions = np.log10((between + SMOOTHING) / (between.sum(axis=1, keepdims=True) + SMOOTHING * k))
-    total = int(sum(n for _, n in by_form.values())) + texts
-    distinct = int(sum(w for w, _ in by_form.values())) + (texts > 0)
-    return Model(held, own_class, transitions, emissions, total, distinct, texts, counts)
-
-
-def held_forms(counts: DataFrame, held: Held, own: int) -> list[int]:
-    """Forms of the words with symbols of their own, in the order of the held words."""
-    mine = held.hashes[held.symbols < own].tolist()
-    found = {r.word: r.form for r in counts.where(F.col("word").isin(mine)).collect()}
-    return [found[h] for h in mine]
+    return Model(held, found, transitions, emissions, int(total), int(distinct), texts, counts)
 
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out_rows: Column | None = None, **settings: int) -> DataFrame:
@@ -257,7 +413,6 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held_o
     """
     rule = held_out(key) if held_out_rows is None else held_out_rows
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), rule.alias("__out"))
-    own = settings.get("own", OWN_SYMBOLS)
     model = train_model(rows.where(~F.col("__out")), "__text", **settings)
     context = docs.sparkSession.sparkContext
     shared = context.broadcast((model.held, model.classes, model.transitions, model.emissions))
@@ -269,12 +424,11 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", held_o
         for batch in batches:
             for a, b, data, offsets in chunks(batch.column(1)):
                 h, form, first = tokens(data, offsets)
-                sequence, ends = symbol_sequence(held, h, form, first, own)
-                path = classes[sequence]
+                path, _, ends = classes.sequence(held, h, form, first)
                 steps = transitions[path[:-1], path[1:]]
                 at_word = np.ones(len(steps), bool)
                 at_word[ends - 1] = False
-                steps[at_word] -= emissions[sequence[1:][at_word]]
+                steps[at_word] -= emissions[path[1:][at_word]]
                 moves = np.add.reduceat(steps, np.concatenate(([0], ends[:-1]))) if len(steps) else steps
                 at, known = held.find(h)
                 value = np.where(known, logs[at] if len(logs) else 0.0, 0.0)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -116,17 +118,97 @@ def test_word_probabilities_stay_below_one(spark):
     """Over all words of training and an unknown one, the probabilities within a class sum to one."""
     docs = spark.createDataFrame([(i, "a b c a b d" if i % 2 else "a c e f") for i in range(1, 40)], "doc_id long, text string")
     model = brown.train_model(docs, own=3, classes=2)
-    size = len(model.classes)
-    symbols = {w: int(s) for w, s in zip(model.held.hashes.tolist(), model.held.symbols, strict=True)}
-    counts = dict(zip(model.held.hashes.tolist(), model.held.counts.tolist(), strict=True))
-    for c in set(model.classes.tolist()) - {model.classes[size - 1]}:
-        mine = [w for w, s in symbols.items() if model.classes[s] == c]
-        if mine:
-            total = sum((counts[w] + 0.1) / 10 ** model.emissions[symbols[w]] for w in mine)
-            assert total + 0.1 / 10 ** model.emissions[symbols[mine[0]]] == pytest.approx(1)
+    for c in range(model.classes.count - 1):
+        mine = model.held.counts[model.classes.word == c]
+        if len(mine):
+            total = sum((n + 0.1) / 10 ** model.emissions[c] for n in mine)
+            assert total + 0.1 / 10 ** model.emissions[c] == pytest.approx(1)
     assert (10**model.transitions).sum(axis=1) == pytest.approx(np.ones(len(model.transitions)))
 
 
+def plain_scores(texts: dict, model: brown.Model) -> dict:
+    """Scores of texts by the model's classes, with counts and transitions taken anew from the texts."""
+    def class_of(word):
+        h, form, _ = brown.tokens(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word.encode())]))
+        at, known = model.held.find(h)
+        return int(model.classes.word[at[0]] if known[0] else model.classes.form[form[0]])
+
+    words = {d: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)) for d, t in texts.items()}
+    train = [w for d, w in words.items() if zlib.crc32(str(d).encode()) % 10]
+    counts = Counter(x for w in train for x in w)
+    classes = {x: class_of(x) for w in words.values() for x in w}
+    k = model.classes.count
+    end, between = k - 1, np.zeros((k, k))
+    mass, distinct = np.zeros(k), np.zeros(k)
+    for w in train:
+        for a, b in itertools.pairwise([end, *(classes[x] for x in w), end]):
+            between[a, b] += 1
+    for x, n in counts.items():
+        mass[classes[x]] += n
+        distinct[classes[x]] += 1
+    out = {}
+    for d, w in words.items():
+        path = [end, *(classes[x] for x in w), end]
+        moves = sum(math.log10((between[a, b] + 0.1) / (between[a].sum() + 0.1 * k)) for a, b in itertools.pairwise(path))
+        out[d] = moves + sum(math.log10((counts[x] + 0.1) / (mass[classes[x]] + 0.1 * (distinct[classes[x]] + 1))) for x in w)
+    return out
+
+
+@pytest.mark.parametrize("most_held", [brown.HELD_WORDS, 300])
+def test_scores_follow_from_the_classes(spark, most_held):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = brown.train_model(docs.where(~brown.held_out()), own=40, classes=6, most_held=most_held)
+    want = plain_scores({r.doc_id: r.text for r in docs.collect()}, model)
+    for r in brown.score_texts(docs, own=40, classes=6, most_held=most_held).collect():
+        assert r.score == pytest.approx(want[r.doc_id], rel=1e-9)
+
+
+def test_gains_are_what_the_classes_tell_more():
+    """Moving one word of a random corpus changes what classes tell by its gain there less its gain at home."""
+    rng = np.random.default_rng(12)
+    k, words = 4, 30
+    text = rng.integers(0, words, 4000)
+    own = np.append(rng.integers(0, k - 1, words), k - 1)  # the last word ends texts
+    text = np.concatenate(([words], text, [words]))
+
+    def table(classes):
+        t = np.zeros((k, k))
+        np.add.at(t, (classes[text[:-1]], classes[text[1:]]), 1)
+        return t
+
+    for w in range(0, words, 5):
+        at = np.flatnonzero(text == w)
+        behind, before = text[at + 1], text[at - 1]
+        codes = [*own[behind[behind != w]], *(k + own[before[before != w]]), *[2 * k] * int((behind == w).sum())]
+        code, n = np.unique(codes, return_counts=True)
+        gain = brown.gains(np.zeros(len(code), np.int64), code, n, own[[w]], table(own))[0]
+        for b in set(range(k - 1)) - {own[w]}:
+            moved = own.copy()
+            moved[w] = b
+            change = brown.told(table(moved)) - brown.told(table(own))
+            assert gain[b] - gain[own[w]] == pytest.approx(change, abs=1e-6)
+
+
+def test_rare_words_join_the_classes_of_their_contexts(spark):
+    """Words that occur three times each, in two kinds of places, part by kind, though their forms are mixed."""
+    rng = random.Random(5)
+    nouns, verbs = [f"n{i}x" for i in range(300)], [f"v{i}x" for i in range(300)]
+    texts = []
+    for i in range(900):
+        noun, verb = nouns[i % 300], verbs[(i * 7) % 300]
+        texts.append(f"the {noun} will {verb} a {rng.choice(nouns)} and {rng.choice(verbs)} it")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = brown.train_model(docs, own=12, classes=6)
+    classes = {int(h): int(c) for h, c in zip(model.held.hashes, model.classes.word, strict=True)}
+
+    def of(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        return classes[int(brown.tokens(data, np.array([0, len(data)]))[0][0])]
+
+    kinds = [Counter(map(of, group)) for group in (nouns, verbs)]
+    assert sum(min(kinds[0][c], kinds[1][c]) for c in range(model.classes.count)) < 15  # of 600 words
+
+
 def test_exchange_finds_planted_classes():
     rng = np.random.default_rng(4)
     size = 13
