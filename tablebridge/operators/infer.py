@@ -48,9 +48,6 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Columns that one pass measures together.
-COLUMNS_AT_ONCE = 40
-
 
 def stripped(text: Column) -> Column:
     """Text without surrounding blanks; empty when nothing is left."""
@@ -60,36 +57,36 @@ def stripped(text: Column) -> Column:
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: ``column_name`` and the ``inferred`` target type.
 
-    Nulls and blank values say nothing. A map task reduces each column to two
-    numbers before the shuffle: the questions every value passes, as bits, and the
-    longest value. Wide tables are measured ``COLUMNS_AT_ONCE`` columns at a time.
+    Nulls and blank values say nothing. ``type_lines`` of several loads of a table, united, give
+    the types of all their rows through ``types_of``, without reading old rows again.
     """
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    names = list(columns or fields)
-    parts = [names[i : i + COLUMNS_AT_ONCE] for i in range(0, len(names), COLUMNS_AT_ONCE)]
-    return reduce(lambda a, b: a.unionByName(b), [_inferred(df, part, fields) for part in parts])
+    lines = type_lines(df, columns)
+    return lines.select("column_name", _verdict(F.col("bits"), F.col("longest")).alias("inferred"))
 
 
-def _inferred(df: DataFrame, names: Sequence[str], fields: Mapping[str, T.DataType]) -> DataFrame:
-    texts = df.select(
-        [stripped(_text(ref(name), fields[name])).alias(f"v{i}") for i, name in enumerate(names)]
-    )
-    values = [F.when(F.col(f"v{i}") != "", F.col(f"v{i}")) for i in range(len(names))]
-    measured = texts.select(
-        [_answers(value).alias(f"a{i}") for i, value in enumerate(values)]
-        + [F.length(value).alias(f"l{i}") for i, value in enumerate(values)]
-    ).agg(
-        *[F.bit_and(f"a{i}").alias(f"a{i}") for i in range(len(names))],
-        *[F.max(f"l{i}").alias(f"l{i}") for i in range(len(names))],
-    )
-    entries = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            _verdict(F.col(f"a{i}"), F.col(f"l{i}")).alias("inferred"),
-        )
-        for i, name in enumerate(names)
-    ]
-    return measured.select(F.inline(F.array(*entries)))
+def types_of(lines: DataFrame) -> DataFrame:
+    """``column_name`` and ``inferred`` of the united ``type_lines`` of any parts of a table."""
+    merged = lines.groupBy("column_name").agg(F.bit_and("bits").alias("bits"), F.max("longest").alias("longest"))
+    return merged.select("column_name", _verdict(F.col("bits"), F.col("longest")).alias("inferred"))
+
+
+def type_lines(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per column: ``column_name``, ``bits`` and ``longest``.
+
+    A map task reduces each column to these two numbers before the shuffle: the questions every value passes, and the
+    longest value. Values of all columns go through one expression, which keeps its code small however wide the table is.
+    """
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    names = list(columns or fields)
+    entries = [F.struct(F.lit(name).alias("column_name"), _text(ref(name), fields[name]).alias("v")) for name in names]
+    texts = df.select(F.inline(F.array(*entries)))
+    bare = texts.select("column_name", stripped(F.col("v")).alias("v"))
+    known = bare.select("column_name", F.when(F.col("v") != "", F.col("v")).alias("v"))
+    measured = known.select("column_name", _answers(F.col("v")).alias("bits"), F.length("v").alias("longest"))
+    lines = measured.groupBy("column_name").agg(F.bit_and("bits").alias("bits"), F.max("longest").alias("longest"))
+    # A table without rows has columns too.
+    every = df.sparkSession.createDataFrame([(name,) for name in names], "column_name string")
+    return every.join(F.broadcast(lines), "column_name", "left")  # a row per column
 
 
 def _text(column: Column, dtype: T.DataType) -> Column:

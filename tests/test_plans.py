@@ -118,4 +118,4 @@ def test_distinct_counts_are_spread_by_value(spark):
 
 def test_one_shuffle_of_two_numbers_per_column(spark):
     plan = plan_of(infer_types(ParquetSource(spark, SMALL).table("documents")))
-    assert plan.count("Exchange") == 1 and "partial_bit_and" in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_bit_and" in plan

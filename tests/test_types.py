@@ -270,4 +270,23 @@ def test_long_blanks_are_quick(spark):
 def test_wide_tables_are_measured_in_parts(spark):
     table = spark.range(3).select(*[(F.col("id") * i).cast("string").alias(f"c{i}") for i in range(95)])
     found = infer_types(table).collect()
-    assert [r.column_name for r in found] == table.columns and {r.inferred for r in found[2:]} == {"INTEGER"}
+    assert {r.column_name: r.inferred for r in found} == {name: "BOOLEAN" if name == "c0" else "INTEGER" for name in table.columns} | {"c1": "INTEGER"}
+
+
+def test_lines_of_loads_merge(spark):
+    from tablebridge.operators.infer import type_lines, types_of
+
+    first = spark.createDataFrame([("1", "2024-01-02", "x"), ("2", None, "")], "a string, b string, c string")
+    second = spark.createDataFrame([("3000000000", "2024-02-30", "y" * 60)], "a string, b string, c string")
+    third = spark.createDataFrame([("1.5", None, None)], "a string, b string, c string")
+
+    def found(lines):
+        return {r.column_name: r.inferred for r in types_of(lines).collect()}
+
+    lines = type_lines(first)
+    assert found(lines) == {"a": "INTEGER", "b": "DATE", "c": "VARCHAR(50)"}
+    lines = lines.union(type_lines(second))
+    assert found(lines) == {"a": "BIGINT", "b": "DATE", "c": "VARCHAR(100)"}
+    assert found(lines.union(type_lines(third)))["a"] == "DECIMAL"
+    whole = first.union(second).union(third)
+    assert found(lines.union(type_lines(third))) == {r.column_name: r.inferred for r in infer_types(whole).collect()}
