@@ -1344,6 +1344,7 @@ def api_types(spark, folder):
 
 
 # Type names for the derived catalogs, with some that no table knows.
+# Type names of the catalogs, known and unknown ones.
 SQLSERVER_NAMES = (
     "int", "bigint", "smallint", "tinyint", "decimal", "numeric", "money", "smallmoney",
     "float", "real", "bit", "char", "nchar", "varchar", "nvarchar", "text", "ntext", "sysname",
