@@ -237,9 +237,9 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return own
 
 
-def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving: np.ndarray) -> DataFrame:
     """word, code, n: how often each class follows a word (code: the class), comes before it (classes more) or the word itself
-    follows (twice the classes), for the held words `moving` marks; and how often each class follows each. One pass over all training texts.
+    follows (twice the classes), for the held words `moving` marks, in all training texts.
     """
     k = classes.count
     shared = train.sparkSession.sparkContext.broadcast((held, classes, moving))
@@ -247,7 +247,6 @@ def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, classes, moving = shared.value
         codes = 2 * k + 1
-        pairs = np.zeros(k * k, np.int64)
 
         def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
             key, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -257,8 +256,7 @@ def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving:
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 path, place, _ = classes.sequence(held, *tokens(data, offsets))
-                pairs += np.bincount(path[:-1] * k + path[1:], minlength=k * k)
-                moves = (place >= 0) & moving[place] if len(moving) else np.zeros(len(place), bool)
+                moves = (place >= 0) & moving[place]
                 at = np.flatnonzero(moves[:-1])
                 loop = place[at] == place[at + 1]
                 behind = place[at] * codes + np.where(loop, 2 * k, path[at + 1])
@@ -271,14 +269,29 @@ def contexts(train: DataFrame, text: str, held: Held, classes: Classes, moving:
                     parts, size = [], 0
         if size:
             yield counted(parts)
-        at = np.flatnonzero(pairs)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), -1, np.int32)), pa.array(at.astype(np.int32)), pa.array(pairs[at])], ["word", "code", "n"])
 
-    found = stored(train.select(text).mapInArrow(count, "word int, code int, n long"), "class-contexts")
-    table = found.where("word < 0").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    return train.select(text).mapInArrow(count, "word int, code int, n long")
+
+
+def class_pairs(train: DataFrame, text: str, held: Held, classes: Classes) -> np.ndarray:
+    """How often each class follows each in all training texts."""
+    k = classes.count
+    shared = train.sparkSession.sparkContext.broadcast((held, classes))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, classes = shared.value
+        sums = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column(0)):
+                path, _, _ = classes.sequence(held, *tokens(data, offsets))
+                sums += np.bincount(path[:-1] * k + path[1:], minlength=k * k)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["pair", "n"])
+
+    found = train.select(text).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     between = np.zeros(k * k)
-    between[table["code"].to_numpy()] = table["n"].to_numpy()
-    return found.where("word >= 0"), between.reshape(k, k)
+    between[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return between.reshape(k, k)
 
 
 def told(between: np.ndarray) -> float:
@@ -364,21 +377,20 @@ def sweep(found: DataFrame, classes: Classes, between: np.ndarray) -> np.ndarray
 
 def cluster(train: DataFrame, text: str, held: Held, own: int, classes: int) -> tuple[Classes, np.ndarray]:
     """Classes of all held words and of forms, and how often one follows another."""
-    symbol_class = exchange(count_pairs(train, text, held, own), classes)
-    k = int(symbol_class[-1]) + 1
+    pairs = count_pairs(train, text, held, own)
+    symbol_class = exchange(pairs, classes)
+    k, size = int(symbol_class[-1]) + 1, len(pairs)
+    between = np.zeros((k, k))
+    np.add.at(between, (symbol_class[:, None].repeat(size, 1), symbol_class[None, :].repeat(size, 0)), pairs)
     now = Classes(symbol_class[held.symbols], symbol_class[own : own + FORMS], k)
     moving = held.symbols >= own
-    best: tuple[Classes, np.ndarray] | None = None
-    for turn in range(WORD_SWEEPS + 1):
-        last = turn == WORD_SWEEPS
-        found, between = contexts(train, text, held, now, np.zeros_like(moving) if last else moving)
-        if best is not None and told(between) <= told(best[1]):
-            break
-        best = (now, between)
-        if last or not moving.any():
+    for _ in range(WORD_SWEEPS if moving.any() else 0):
+        moved = Classes(sweep(contexts(train, text, held, now, moving), now, between), now.form, k)
+        after = class_pairs(train, text, held, moved)
+        if told(after) <= told(between):
             break
-        now = Classes(sweep(found, now, between), now.form, k)
-    return best
+        now, between = moved, after
+    return now, between
 
 
 def train_model(train: DataFrame, text: str = "text", own: int = OWN_SYMBOLS, classes: int = CLASSES, most_held: int = HELD_WORDS) -> Model:
